@@ -19,7 +19,6 @@ _STRICT = {
     "allowNonNumericNumbers": "false",
     "columnNameOfCorruptRecord": _CORRUPT,
 }
-_NO_TEXT = F.lit(None).cast("string")
 
 
 def as_struct(schema: T.StructType | str | None) -> T.StructType | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from docstream.config import MAX_FILES_PER_TRIGGER
 from docstream.sources.record_log import as_record_log
 
 LOG_PARTITIONS = 10
@@ -25,6 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream; the pattern lets the table be one file or a folder of files."""
+    return (
+        spark.readStream.schema(EVENTS_SCHEMA)
+        .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+        .parquet(f"{sf_dir}/events.parquet*")
+    )
+
+
 def event_log(events: DataFrame, value: Column | str = "props", partition: Column | None = None) -> DataFrame:
     """Record log of events: topic per event type, key per user, offset is the event id."""
     return as_record_log(
