@@ -1,12 +1,13 @@
-"""Document codecs, one Column expression per format and direction.
+"""Document codecs by name, as Column expressions.
 
-A decoder maps a value column to ``struct(doc, error_class, error_detail)``. ``decode_error`` marks
-a value that is no document at all, ``reject_error`` one that does not fit the declared schema.
+A codec parses a value once; what follows looks only at the parsed column. A value that is no
+document is a ``decode_error``, a document that does not fit what was declared a ``reject_error``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -14,6 +15,7 @@ DECODE_ERROR = "decode_error"
 REJECT_ERROR = "reject_error"
 
 _CORRUPT = "_corrupt"
+_JSON_SPACE = " \t\r\n"
 _STRICT = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
@@ -27,83 +29,67 @@ def as_struct(schema: T.StructType | str | None) -> T.StructType | None:
     return schema
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``.
-
-    A plain projection would be copied into every filter on its result, and the JSON text parsed
-    again for each.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def not_an_object(value: Column) -> Column:
     """True when the text is not one JSON object."""
     parsed = F.from_json(value, T.StructType([T.StructField(_CORRUPT, T.StringType())]), _STRICT)
-    return _bind(parsed, lambda p: p.isNull() | p[_CORRUPT].isNotNull())
+    return value.isNull() | parsed.isNull() | parsed[_CORRUPT].isNotNull()
 
 
-def _outcome(doc: Column, error_class: Column, error_detail: Column) -> Column:
-    return F.struct(
-        doc.alias("doc"), error_class.alias("error_class"), error_detail.alias("error_detail")
-    )
-
+@dataclass(frozen=True)
+class Codec:
+    """How one format is read.
 
-def _decode_failure(value: Column) -> Column:
-    return F.when(value.isNull(), F.lit("tombstone")).otherwise(F.lit("not a JSON object"))
+    ``parse`` turns the value into the parsed column; ``fits`` and ``document`` judge and shape it.
+    """
 
+    parse: Callable[[Column], Column]
+    fits: Callable[[Column, Column], Column]
+    document: Callable[[Column], Column]
+    reject_detail: str
 
-def _decode_json(value: Column, schema: T.StructType | None) -> Column:
-    if schema is None:
-        return _decode_variant(value, None)
-    fields = schema.fieldNames()
-    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    def error_class(self, fits: Column, value: Column) -> Column:
+        # The second look at the text is taken only where the first one failed.
+        return F.when(fits, F.lit(None)).when(not_an_object(value), F.lit(DECODE_ERROR)).otherwise(
+            F.lit(REJECT_ERROR)
+        )
 
-    def judge(parsed: Column) -> Column:
-        fits = parsed.isNotNull() & parsed[_CORRUPT].isNull() & value.isNotNull()
-        # The second, field-less parse runs only for values the first one refused.
-        return _bind(
-            F.when(fits, F.lit(None)).when(
-                value.isNull() | not_an_object(value), F.lit(DECODE_ERROR)
-            ).otherwise(F.lit(REJECT_ERROR)),
-            lambda error: _outcome(
-                F.when(error.isNull(), F.struct(*[parsed[name].alias(name) for name in fields])),
-                error,
-                F.when(error == DECODE_ERROR, _decode_failure(value)).when(
-                    error == REJECT_ERROR, F.lit("field does not fit the schema")
-                ),
-            ),
+    def error_detail(self, error_class: Column, value: Column) -> Column:
+        return (
+            F.when(error_class == REJECT_ERROR, F.lit(self.reject_detail))
+            .when(value.isNull(), F.lit("tombstone"))
+            .when(error_class == DECODE_ERROR, F.lit("not a JSON object"))
         )
 
-    return _bind(F.from_json(value, wide, _STRICT), judge)
 
+def _json(schema: T.StructType | None) -> Codec:
+    if schema is None:
+        return _variant(None)
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    return Codec(
+        parse=lambda value: F.from_json(value, wide, _STRICT),
+        fits=lambda parsed, value: parsed.isNotNull() & parsed[_CORRUPT].isNull(),
+        document=lambda parsed: F.struct(*[parsed[n].alias(n) for n in schema.fieldNames()]),
+        reject_detail="field does not fit the schema",
+    )
 
-def _decode_variant(value: Column, schema: T.StructType | None) -> Column:
-    def judge(parsed: Column) -> Column:
-        error = (
-            F.when(value.isNull() | not_an_object(value), F.lit(DECODE_ERROR))
-            .when(parsed.isNull(), F.lit(REJECT_ERROR))
-            .otherwise(F.lit(None))
-        )
-        return _bind(
-            error,
-            lambda e: _outcome(
-                F.when(e.isNull(), parsed),
-                e,
-                F.when(e == DECODE_ERROR, _decode_failure(value)).when(
-                    e == REJECT_ERROR, F.lit("repeated field")
-                ),
-            ),
-        )
 
-    return _bind(F.try_parse_json(value), judge)
+def _variant(schema: T.StructType | None) -> Codec:
+    return Codec(
+        parse=F.try_parse_json,
+        # Other roots than objects parse as well; the first sign tells them apart.
+        fits=lambda parsed, value: parsed.isNotNull()
+        & F.ltrim(value, F.lit(_JSON_SPACE)).startswith("{"),
+        document=lambda parsed: parsed,
+        reject_detail="repeated field",
+    )
 
 
-def _decode_raw(value: Column, schema: T.StructType | None) -> Column:
-    missing = value.isNull()
-    return _outcome(
-        F.when(~missing, F.struct(value.alias("text"))),
-        F.when(missing, F.lit(DECODE_ERROR)),
-        F.when(missing, F.lit("tombstone")),
+def _raw(schema: T.StructType | None) -> Codec:
+    return Codec(
+        parse=lambda value: value,
+        fits=lambda parsed, value: value.isNotNull(),
+        document=lambda parsed: F.struct(parsed.alias("text")),
+        reject_detail="",
     )
 
 
@@ -115,21 +101,20 @@ def _encode_raw(doc: Column) -> Column:
     return doc["text"]
 
 
-DECODERS = {"json": _decode_json, "variant": _decode_variant, "raw": _decode_raw}
+CODECS = {"json": _json, "variant": _variant, "raw": _raw}
 ENCODERS = {"json": _encode_json, "variant": _encode_json, "raw": _encode_raw}
 
 
 def check_format(name: str) -> str:
     key = name.lower()
-    if key not in DECODERS:
+    if key not in CODECS:
         raise ValueError(f"Unknown format: {name}")
     return key
 
 
-def decoder(name: str, schema: T.StructType | str | None = None) -> Callable[[Column], Column]:
-    """Decoder of a format by its case-insensitive name."""
-    decode = DECODERS[check_format(name)]
-    return lambda value: decode(value, as_struct(schema))
+def codec(name: str, schema: T.StructType | str | None = None) -> Codec:
+    """Codec of a format by its case-insensitive name."""
+    return CODECS[check_format(name)](as_struct(schema))
 
 
 def encoder(name: str) -> Callable[[Column], Column]:

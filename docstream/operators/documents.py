@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from docstream.functions.codecs import as_struct, check_format, decoder, encoder
+from docstream.functions.codecs import as_struct, check_format, codec, encoder
+
+
+def _parsed_once(log: DataFrame, parsed: Column) -> DataFrame:
+    """Add ``_parsed``, evaluated once per row.
+
+    It comes out of a generator. Catalyst copies a projected expression into every filter on it,
+    and would parse the text again for each; a generator's output it leaves alone.
+    """
+    return log.select("*", F.explode(F.array(parsed)).alias("_parsed"))
 
 
 def classify(
@@ -12,20 +21,31 @@ def classify(
 ) -> DataFrame:
     """Add ``doc``, ``error_class`` and ``error_detail`` to every record.
 
-    The decoder sits in a generator: Catalyst neither copies a generator's output into later
-    filters nor pushes them below it, so each value is parsed once.
+    ``doc`` is null exactly where ``error_class`` is set.
     """
-    outcome = decoder(fmt, schema)(F.col("value"))
-    return log.select("*", F.inline(F.array(outcome)))
+    how, value, parsed = codec(fmt, schema), F.col("value"), F.col("_parsed")
+    fits = how.fits(parsed, value)
+    error_class = how.error_class(fits, value)
+    return _parsed_once(log, how.parse(value)).select(
+        *log.columns,
+        F.when(fits, how.document(parsed)).alias("doc"),
+        error_class.alias("error_class"),
+        how.error_detail(error_class, value).alias("error_detail"),
+    )
+
+
+def is_accepted() -> Column:
+    """Accepted records of a classified log; asking for the document leaves the errors uncomputed."""
+    return F.col("doc").isNotNull()
 
 
 def accepted(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col("error_class").isNull()).drop("error_class", "error_detail")
+    return classified.filter(is_accepted()).drop("error_class", "error_detail")
 
 
 def rejected(classified: DataFrame) -> DataFrame:
     """Records set aside, with the untouched value."""
-    return classified.filter(F.col("error_class").isNotNull()).drop("doc")
+    return classified.filter(~is_accepted()).drop("doc")
 
 
 def decode(log: DataFrame, fmt: str = "json", schema: T.StructType | str | None = None) -> DataFrame:
@@ -73,17 +93,22 @@ def failure_counts(classified: DataFrame) -> DataFrame:
 
 def flatten_fields(log: DataFrame, *keep: str) -> DataFrame:
     """One row per (record, field, value), values as text; a repeated field keeps its last (P5)."""
-    entries = F.map_entries(F.from_json("value", "map<string,string>"))
-    keys = F.transform(entries, lambda e: e["key"])
+    as_map = F.try_variant_get("_parsed", "$", "map<string,string>")
+    # Values the variant parser refuses for a repeated field take the long way.
+    repeated = F.when(
+        F.col("_parsed").isNull(), F.map_entries(F.from_json("value", "map<string,string>"))
+    )
     last = F.transform(
-        F.array_distinct(keys),
+        F.array_distinct(F.transform(repeated, lambda e: e["key"])),
         lambda k: F.struct(
             k.alias("key"),
-            F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value"),
+            F.element_at(F.filter(repeated, lambda e: e["key"] == k), -1)["value"].alias("value"),
         ),
     )
-    unique = F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last)
-    return log.select(*keep, F.inline(unique).alias("field", "field_value"))
+    entries = F.coalesce(F.map_entries(as_map), last)
+    return _parsed_once(log, F.try_parse_json("value")).select(
+        *keep, F.inline(entries).alias("field", "field_value")
+    )
 
 
 _JSON_TYPES = (

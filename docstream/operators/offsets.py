@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from docstream.functions.names import end_key, is_importer_group, lag_key
+from docstream.operators.documents import is_accepted
 from docstream.schema import LOG_POSITION
 from docstream.session import with_known_size
 
@@ -44,7 +45,7 @@ def next_offsets(classified: DataFrame) -> DataFrame:
     A rejected record in the middle is passed over by the next accepted one of its partition.
     """
     return (
-        classified.filter(F.col("error_class").isNull())
+        classified.filter(is_accepted())
         .groupBy(*POSITION)
         .agg(next_offset().alias("next_offset"))
     )
@@ -59,7 +60,7 @@ def commit_ledger(
     when the following round closes. A round without an accepted record commits nothing.
     """
     group = F.lit(group_id) if isinstance(group_id, str) else group_id
-    ok = F.col("error_class").isNull()
+    ok = is_accepted()
     rounds = classified.groupBy(F.window("timestamp", interval).alias("w"), *POSITION).agg(
         (F.max(F.when(ok, F.col("offset"))) + 1).alias("next_offset"),
         F.count_if(ok).alias("n_ok"),

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docstream.config import IngestConfig
 from docstream.functions.names import group_name
-from docstream.operators.documents import accepted, classify, rejected
+from docstream.operators.documents import accepted, classify, is_accepted, rejected
 from docstream.operators.offsets import POSITION
 from docstream.operators.routing import assign_shard, every_shard
 from docstream.operators.upsert import latest_by_key
@@ -34,7 +34,7 @@ def route(current: DataFrame, config: IngestConfig) -> DataFrame:
 
 def batch_offsets(classified: DataFrame, config: IngestConfig) -> DataFrame:
     """What one batch commits per (topic, partition)."""
-    ok = F.col("error_class").isNull()
+    ok = is_accepted()
     core = F.lit(config.core) if config.core else None
     return (
         classified.groupBy(*POSITION)
