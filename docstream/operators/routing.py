@@ -36,11 +36,8 @@ def fan_out(df: DataFrame, targets: DataFrame, inline_limit: int = INLINE_TARGET
         return df.select("*", F.inline(listed))
     blocks = -(-count // inline_limit)
     dealt = targets.withColumn("_block", F.pmod(F.xxhash64(*columns), F.lit(blocks)))
-    return (
-        df.select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("_block"))
-        .join(dealt, "_block")
-        .drop("_block")
-    )
+    numbers = F.sequence(*[F.lit(n).cast("bigint") for n in (0, blocks - 1)])
+    return df.select("*", F.explode(numbers).alias("_block")).join(dealt, "_block").drop("_block")
 
 
 def is_eligible(all_shards: bool, clustered: bool = True) -> Column:
