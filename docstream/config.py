@@ -41,7 +41,8 @@ class IngestConfig:
     commit_interval_ms: int = DEFAULT_COMMIT_INTERVAL_MS
     poll_interval_ms: int = DEFAULT_POLL_INTERVAL_MS
     available_now: bool = False
-    buckets: int = 64
+    # Buckets of a snapshot; by default as many as its size asks for.
+    buckets: int | None = None
     kafka_options: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -63,11 +64,9 @@ class IngestConfig:
         if self.starting_offsets not in ("earliest", "latest"):
             raise ValueError(f"Unknown starting offsets: {self.starting_offsets}")
         object.__setattr__(self, "format", check_format(self.format))
-        for name in ("num_shards", "commit_interval_ms", "poll_interval_ms", "buckets"):
-            if getattr(self, name) <= 0:
+        for name in ("num_shards", "commit_interval_ms", "poll_interval_ms", "buckets", "max_per_trigger"):
+            if getattr(self, name) is not None and getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
-        if self.max_per_trigger is not None and self.max_per_trigger <= 0:
-            raise ValueError("max_per_trigger must be positive")
 
     @property
     def all_shards(self) -> bool:

@@ -222,14 +222,30 @@ def replay_window(log: DataFrame, committed: DataFrame) -> DataFrame:
 def offset_gaps(log: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     """Runs of missing offsets.
 
-    Each partition is cut into blocks of ``block`` offsets, so that a single large partition is
-    searched by many tasks; the edges of the blocks, one row each, are compared afterwards.
+    Each partition is cut into blocks of ``block`` offsets, and each block into words of 64 bits,
+    one per offset seen; a record delivered twice sets its bit once. First offset, last offset and
+    bit count of the blocks show which have holes, and which offsets lie missing between them. Only
+    rows of blocks with holes are then sorted, each block on its own, so neither a dense log nor
+    one large partition is shuffled whole.
     """
+    key = [*POSITION, "_block"]
     cut = log.select(*POSITION, "offset", F.floor(F.col("offset") / block).alias("_block"))
-    within = Window.partitionBy(*POSITION, "_block").orderBy("offset")
-    inside = cut.select(*POSITION, "offset", F.lead("offset").over(within).alias("next_offset"))
-    edges = cut.groupBy(*POSITION, "_block").agg(
-        F.min("offset").alias("first"), F.max("offset").alias("last")
+    words = cut.groupBy(*key, F.shiftright("offset", 6).alias("_word")).agg(
+        F.min("offset").alias("first"),
+        F.max("offset").alias("last"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("offset", F.lit(64)).cast("int"))).alias("bits"),
+    )
+    edges = with_known_size(
+        words.groupBy(*key).agg(
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.sum(F.bit_count("bits")).alias("n"),
+        )
+    )
+    holed = edges.filter(F.col("n") <= F.col("last") - F.col("first")).select(*key)
+    within = Window.partitionBy(*key).orderBy("offset")
+    inside = cut.join(holed, key, "left_semi").select(
+        *POSITION, "offset", F.lead("offset").over(within).alias("next_offset")
     )
     along = Window.partitionBy(*POSITION).orderBy("_block")
     between = edges.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstream.config import IngestConfig
 from docstream.functions.names import base64_text, date_text, group_name
@@ -13,6 +13,7 @@ from docstream.plans.inputs import (
     EVENT_DOC,
     LOG_PARTITIONS,
     damaged_log,
+    damaged_value,
     document_log,
     envelope_log,
     event_log,
@@ -24,7 +25,7 @@ from docstream.plans.inputs import (
 from docstream.session import scratch_dir
 from docstream.sources.generators import random_documents, sample_documents
 from docstream.sources.json_files import as_records, read_documents, write_documents
-from docstream.sources.record_log import with_positions, write_log
+from docstream.sources.record_log import with_positions
 from docstream.streaming.control import Ingest, ingest_status
 from docstream.streaming.ingest import stream_ledger
 
@@ -577,38 +578,41 @@ def seeded_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ---------------------------------------------------------------------------------------
 
 
-def _ingest(spark: SparkSession, log: DataFrame, topics: list[str], **settings) -> Ingest:
-    """Write a record log to the shared folder and run the ingest job over it to its end."""
+TOPICS = ("click", "error", "purchase", "signup", "view")
+
+
+def _ingest(spark: SparkSession, sf_dir: str, value: Column | str = "props", **settings) -> Ingest:
+    """Run the ingest job over the events to their end, into a fresh folder."""
     base = scratch_dir(spark, "ingest")
-    write_log(log, f"{base}/log")
     config = IngestConfig(
         collection=base.rsplit("/", 1)[-1],
-        topics=tuple(topics),
-        source=f"{base}/log",
-        store=f"{base}/store",
+        topics=TOPICS,
+        source=f"{sf_dir}/events.parquet",
+        store=base,
         schema=EVENT_DOC,
-        buckets=8,
         **settings,
     )
-    job = Ingest(spark, config)
+    job = Ingest(
+        spark,
+        config,
+        stream=event_log(stream_events(spark, sf_dir), value),
+        log=event_log(table(spark, sf_dir, "events"), value),
+    )
     job.run_to_end()
     return job
 
 
-TOPICS = ["click", "error", "purchase", "signup", "view"]
-
-
 @registered
 def stream_current_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1, ST4, ST7, S11: the collection after a streaming run."""
-    job = _ingest(spark, log_of(spark, sf_dir), TOPICS, num_shards=SHARDS)
+    job = _ingest(spark, sf_dir, num_shards=SHARDS)
     return _shown(job.store.current())
 
 
 @registered
 def stream_compacted_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U3, ST1: the collection read from a bucketed snapshot."""
-    job = _ingest(spark, log_of(spark, sf_dir), TOPICS, num_shards=SHARDS)
+    job = _ingest(spark, sf_dir, num_shards=SHARDS)
     job.store.compact()
     return _shown(job.store.current())
 
@@ -616,21 +620,21 @@ def stream_compacted_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def stream_all_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2, A8, ST1: documents per shard after a streaming run in all-shard mode."""
-    job = _ingest(spark, log_of(spark, sf_dir), TOPICS, num_shards=SHARDS, routing="all")
+    job = _ingest(spark, sf_dir, num_shards=SHARDS, routing="all")
     return audit.shard_counts(job.store.current())
 
 
 @registered
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a streaming run sets aside."""
-    job = _ingest(spark, damaged_log(spark, sf_dir), TOPICS)
+    job = _ingest(spark, sf_dir, damaged_value())
     return job.store.quarantine().select("topic", "partition", "offset", "key", "value", "error_class")
 
 
 @registered
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7, ST11: lag of every partition after the run; what is left are bad records at the end."""
-    job = _ingest(spark, damaged_log(spark, sf_dir), TOPICS)
+    job = _ingest(spark, sf_dir, damaged_value())
     return job.lag().select("topic", "partition", "end_offset", "committed_offset", "lag")
 
 

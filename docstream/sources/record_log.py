@@ -60,13 +60,31 @@ def _from_kafka(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_log(spark: SparkSession, config: IngestConfig) -> DataFrame:
-    """All records of the configured topics as a batch table."""
+def starting_positions(committed: DataFrame) -> str:
+    """Committed offsets in the form the Kafka source takes: one entry per partition."""
+    row = committed.groupBy("topic", "partition").agg(F.min("committed_offset").alias("o"))
+    by_topic = row.groupBy("topic").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("partition").cast("string"), "o"))).alias("ends")
+    )
+    return by_topic.agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("topic", "ends"))))
+    ).first()[0]
+
+
+def read_log(
+    spark: SparkSession, config: IngestConfig, committed: DataFrame | None = None
+) -> DataFrame:
+    """Records of the configured topics as a batch table.
+
+    With ``committed``, Kafka is read from those offsets on, if there are any.
+    """
     if config.source_kind == "kafka":
         options = kafka_options(config, streaming=False)
+        if committed is not None and not committed.isEmpty():
+            options["startingOffsets"] = starting_positions(committed)
         return _from_kafka(spark.read.format("kafka").options(**options).load())
     log = spark.read.schema(RECORD_LOG).parquet(config.source)
-    return log.filter(in_topics(config.topics))
+    return log.select(*RECORD_COLUMNS).filter(in_topics(config.topics))
 
 
 def stream_log(spark: SparkSession, config: IngestConfig) -> DataFrame:
@@ -78,6 +96,7 @@ def stream_log(spark: SparkSession, config: IngestConfig) -> DataFrame:
         spark.readStream.schema(RECORD_LOG)
         .option("maxFilesPerTrigger", config.batch_limit)
         .parquet(config.source)
+        .select(*RECORD_COLUMNS)
         .filter(in_topics(config.topics))
     )
     return log if config.starting_offsets == "earliest" else _from_latest(spark, config, log)
@@ -133,6 +152,9 @@ def with_positions(
     )
 
 
-def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Record log as parquet files."""
-    records.select(*RECORD_COLUMNS).write.mode(mode).parquet(path)
+def write_log(records: DataFrame, path: str, mode: str = "append", by_topic: bool = False) -> None:
+    """Record log as parquet files (S10); ``by_topic`` gives every topic a folder of its own."""
+    writer = records.select(*RECORD_COLUMNS).write.mode(mode)
+    if by_topic:
+        writer = writer.partitionBy("topic")
+    writer.parquet(path)

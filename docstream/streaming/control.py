@@ -52,6 +52,16 @@ def ingest_status(
     )
 
 
+def reported_ends(spark: SparkSession, latest: str) -> DataFrame:
+    """End offsets out of a progress report, ``{"topic": {"partition": offset}}`` (A2)."""
+    report = spark.createDataFrame([(latest,)], "latest string").select(
+        F.from_json("latest", "map<string,map<string,bigint>>").alias("topics")
+    )
+    return report.select(F.explode("topics").alias("topic", "ends")).select(
+        "topic", F.explode("ends").alias("partition", "end_offset")
+    ).withColumn("partition", F.col("partition").cast("int"))
+
+
 class Ingest:
     """Handle of one collection's ingest job."""
 
@@ -61,11 +71,16 @@ class Ingest:
         config: IngestConfig,
         targets: DataFrame | None = None,
         transform: Transform | None = None,
+        stream: DataFrame | None = None,
+        log: DataFrame | None = None,
     ) -> None:
+        """``stream`` and ``log`` replace the configured source by other record-log columns."""
         self.spark = spark
         self.config = config
         self.targets = targets
         self.transform = transform
+        self.stream = stream
+        self.log = log
 
     @property
     def store(self) -> CollectionStore:
@@ -91,7 +106,7 @@ class Ingest:
         if running is not None:
             return running
         self.store.set_run_state(RUNNING)
-        return start_query(self.spark, self.config, self.transform)
+        return start_query(self.spark, self.config, self.transform, self.stream)
 
     def stop(self) -> None:
         """Stop the job; nothing happens when it does not run."""
@@ -107,7 +122,7 @@ class Ingest:
     def run_to_end(self) -> None:
         """Work off everything the source holds now, then stop (ST7)."""
         once = self.config.with_options(available_now=True)
-        query = Ingest(self.spark, once, self.targets, self.transform).start()
+        query = Ingest(self.spark, once, self.targets, self.transform, self.stream).start()
         query.awaitTermination()
 
     def drain(self) -> None:
@@ -118,13 +133,34 @@ class Ingest:
     def lag(self, include_uncommitted: bool = True) -> DataFrame:
         """Lag of the collection's group against the end of its log (ST11)."""
         committed = self.store.committed()
-        ends = end_offsets(read_log(self.spark, self.config), self.config.topics)
         if committed is None:
             committed = self.spark.createDataFrame(
                 [], "group_id string, topic string, partition int, committed_offset bigint"
             )
+        ends = self.end_offsets(committed)
         return lag_report(committed, ends, self.config.topics, include_uncommitted=include_uncommitted)
 
+    def end_offsets(self, committed: DataFrame) -> DataFrame:
+        """Ends of the log (A2).
+
+        From Kafka they are what the running query was last told, else the log is read from the
+        committed offsets on, never from its start. Of a parquet log two columns are read.
+        """
+        if self.log is not None:
+            return end_offsets(self.log, self.config.topics)
+        if self.config.source_kind == "parquet":
+            return end_offsets(read_log(self.spark, self.config), self.config.topics)
+        running = self.query()
+        if running is not None and running.lastProgress is not None:
+            return reported_ends(self.spark, running.lastProgress.sources[0].latestOffset)
+        rest = end_offsets(read_log(self.spark, self.config, committed), self.config.topics)
+        known = committed.groupBy("topic", "partition").agg(
+            F.max("committed_offset").alias("end_offset")
+        )
+        return rest.unionByName(known).groupBy("topic", "partition").agg(
+            F.max("end_offset").alias("end_offset")
+        )
+
     def _core_flag(self, flag: Column, default: bool) -> bool:
         if self.targets is None or self.config.core is None:
             return default

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docstream.config import IngestConfig
 from docstream.functions.names import group_name
 from docstream.operators.documents import accepted, classify, is_accepted, rejected
-from docstream.operators.offsets import POSITION
+from docstream.operators.offsets import POSITION, in_topics
 from docstream.operators.routing import assign_shard, every_shard
 from docstream.operators.upsert import latest_by_key
 from docstream.sources.record_log import stream_log
@@ -22,7 +22,9 @@ Transform = Callable[[DataFrame], DataFrame]
 
 
 def store_of(spark: SparkSession, config: IngestConfig) -> CollectionStore:
-    return CollectionStore(spark, config.store, config.buckets, config.all_shards)
+    return CollectionStore(
+        spark, config.store, config.buckets, config.all_shards, config.num_shards
+    )
 
 
 def route(current: DataFrame, config: IngestConfig) -> DataFrame:
@@ -59,8 +61,13 @@ def batch_writer(config: IngestConfig, transform: Transform | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         started_ms = int(time.time() * 1000)
         store = store_of(batch.sparkSession, config)
-        # Read and parsed once for the three outputs; what memory cannot hold goes to disk.
-        classified = classify(batch, config.format, config.schema).persist(StorageLevel.MEMORY_AND_DISK)
+        # Read and parsed once for the three outputs; what memory cannot hold goes to disk. The text
+        # is kept only where it has no document.
+        classified = (
+            classify(batch, config.format, config.schema)
+            .withColumn("value", F.when(~is_accepted(), F.col("value")))
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
         try:
             documents = accepted(classified).drop("value")
             if transform is not None:
@@ -76,12 +83,18 @@ def batch_writer(config: IngestConfig, transform: Transform | None = None):
 
 
 def start_query(
-    spark: SparkSession, config: IngestConfig, transform: Transform | None = None
+    spark: SparkSession,
+    config: IngestConfig,
+    transform: Transform | None = None,
+    stream: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Start or resume the job from its checkpoint (ST1, ST2, ST6)."""
+    """Start or resume the job from its checkpoint (ST1, ST2, ST6).
+
+    ``stream`` stands in for the configured source when the records come from elsewhere.
+    """
+    records = stream_log(spark, config) if stream is None else stream.filter(in_topics(config.topics))
     writer = (
-        stream_log(spark, config)
-        .writeStream.queryName(config.collection)
+        records.writeStream.queryName(config.collection)
         .option("checkpointLocation", config.checkpoint)
         .foreachBatch(batch_writer(config, transform))
     )

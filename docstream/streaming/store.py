@@ -24,15 +24,31 @@ from docstream.constants import NOT_INITIALIZED
 from docstream.operators.upsert import latest_by_key, merge_latest
 
 
+# Data per bucket of a snapshot: what one task reads, merges and writes.
+BUCKET_BYTES = 512 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files behind a table, from file metadata alone."""
+    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    return int(files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0])
+
+
 class CollectionStore:
     """Readers and writers of one collection's folders."""
 
     def __init__(
-        self, spark: SparkSession, base: str, buckets: int = 64, all_shards: bool = False
+        self,
+        spark: SparkSession,
+        base: str,
+        buckets: int | None = None,
+        all_shards: bool = False,
+        num_shards: int = 1,
     ) -> None:
         self.spark = spark
         self.base = base.rstrip("/")
         self.buckets = buckets
+        self.num_shards = num_shards
         # In all-shard mode every shard has its own copy of a document.
         self.keys: Sequence[str] = ("shard_id", "key") if all_shards else ("key",)
 
@@ -175,6 +191,23 @@ class CollectionStore:
         """The collection: one row per document, or per document and shard (DM4)."""
         return self._view(self.generation(), self.last_batch())
 
+    def _buckets_for(self, old: Row | None, through: int) -> int:
+        """Buckets of the next snapshot: a multiple of the shards, so that each has one shard only.
+
+        They are kept from one generation to the next, since a new number shuffles the whole
+        collection once, until buckets are four times as large as wanted.
+        """
+        if self.buckets is not None:
+            return self.buckets
+        after = -1 if old is None else old["compacted_through"]
+        parts = [self.changelog(after, through), None if old is None else self.snapshot(old)]
+        size = sum(stored_bytes(part) for part in parts if part is not None)
+        wanted = -(-size // (BUCKET_BYTES * self.num_shards)) * self.num_shards
+        wanted = max(wanted, self.num_shards)
+        if old is not None and wanted <= 4 * old["buckets"]:
+            return old["buckets"]
+        return wanted
+
     def compact(self) -> int | None:
         """Write the current documents as a new generation; returns its number.
 
@@ -187,8 +220,8 @@ class CollectionStore:
         if view is None:
             return None
         gen = 0 if old is None else old["gen"] + 1
-        buckets = self.buckets if old is None else old["buckets"]
-        if old is None:
+        buckets = self._buckets_for(old, through)
+        if old is None or buckets != old["buckets"]:
             view = view.repartition(buckets, "key")
         name = self._table_name(gen)
         columns = view.schema.toDDL()

@@ -173,9 +173,24 @@ def test_gaps_brute_force(spark, block):
     assert totals == [(p, f[-1] - f[0] + 1 - len(f)) for p, f in have.items()]
 
 
-def test_one_large_partition_is_searched_in_blocks(spark, sf_dir):
+def test_gaps_of_a_log_with_redelivery(spark):
+    """As many records as offsets, but one of them twice and one missing."""
+    log = classified(spark, [("t", 0, o, 0.0, True) for o in (0, 1, 1, 3, 70, 70)])
+    assert rows(offsets.offset_gaps(log)) == [("t", 0, 1, 3, 1), ("t", 0, 3, 70, 66)]
+
+
+def test_dense_log_has_no_gaps(spark):
+    log = spark.range(3000).select(
+        F.lit("t").alias("topic"), (F.col("id") % 3).cast("int").alias("partition"), F.floor(F.col("id") / 3).alias("offset")
+    )
+    assert offsets.offset_gaps(log, block=100).count() == 0
+    assert offsets.offset_gaps(log.filter("offset not between 150 and 449"), block=100).count() == 3
+
+
+def test_windows_go_over_blocks_of_a_partition(spark, sf_dir):
     plan = plan_of(offsets.offset_gaps(log_of(spark, sf_dir)))
-    assert "hashpartitioning(topic" in plan and "_block" in plan.split("Exchange hashpartitioning")[1][:120]
+    window = plan[plan.index("Window [lead(offset") :]
+    assert "_block" in window[: window.index("\n")]
 
 
 def test_offsets_read_three_columns(spark, sf_dir):

@@ -297,3 +297,105 @@ def test_stream_ledger_publishes_closed_rounds(spark, tmp_path, sf_dir, one_log)
     closed = published.filter(F.col("round") + F.expr("interval 1 day") > F.lit(last)).count()
     assert closed == 0 and published.count() > 0
     assert published.groupBy("round", "topic", "partition").count().filter("count > 1").count() == 0
+
+
+def test_files_follow_the_shards(spark, tmp_path, one_log):
+    """Shuffle partitions a multiple of the shards: every changelog file holds one shard, unasked."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        job = Ingest(spark, config(tmp_path, one_log, max_per_trigger=100))
+        job.run_to_end()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = list((tmp_path / "store" / "changelog" / "batch_id=0").glob("shard_id=*/*.parquet"))
+    assert 4 <= len(files) <= 8
+    by_file = (
+        job.store.changelog()
+        .groupBy(F.col("_metadata.file_path"))
+        .agg(F.count_distinct("shard_id").alias("n"))
+    )
+    assert {r["n"] for r in by_file.collect()} == {1}
+
+
+def test_every_bucket_has_one_shard_and_one_file(spark, tmp_path, one_log):
+    job = Ingest(spark, config(tmp_path, one_log, buckets=8))
+    job.run_to_end()
+    job.store.compact()
+    files = list((tmp_path / "store" / "snapshot" / "gen=0").glob("*.parquet"))
+    assert len(files) <= 8
+    by_file = (
+        spark.read.parquet(str(tmp_path / "store" / "snapshot" / "gen=0"))
+        .groupBy(F.col("_metadata.file_path"))
+        .agg(F.count_distinct("shard_id").alias("n"))
+    )
+    assert {r["n"] for r in by_file.collect()} == {1}
+
+
+def test_buckets_by_size(spark, tmp_path, one_log, monkeypatch):
+    from docstream.streaming import store as module
+
+    job = Ingest(spark, config(tmp_path, one_log, buckets=None))
+    job.run_to_end()
+    want = shown(job.store.current())
+    job.store.compact()
+    assert job.store.generation()["buckets"] == 4
+    assert shown(job.store.current()) == want
+    source = spark.read.schema(RECORD_LOG).parquet(one_log)
+    write_log(source.filter("topic = 'view'"), one_log)
+    job.run_to_end()
+    monkeypatch.setattr(module, "BUCKET_BYTES", 512)
+    job.store.compact()
+    grown = job.store.generation()["buckets"]
+    assert grown > 16 and grown % 4 == 0
+    assert shown(job.store.current()) == want
+
+
+def test_log_by_topic_is_pruned(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "log")
+    write_log(log_of(spark, sf_dir), path, by_topic=True)
+    settings = config(tmp_path, path, topics="view", max_per_trigger=100)
+    from docstream.sources.record_log import read_log
+
+    assert read_log(spark, settings).schema == RECORD_LOG
+    plan = plan_of(read_log(spark, settings).select("offset"))
+    assert "= view)], PushedFilters: [], ReadSchema: struct<offset:bigint>" in plan
+    job = Ingest(spark, settings)
+    job.run_to_end()
+    views = log_of(spark, sf_dir).filter("topic = 'view'")
+    assert job.store.ledger().agg(F.sum("n_ok")).first()[0] == views.count()
+
+
+def test_ends_out_of_a_progress_report(spark):
+    from docstream.streaming.control import reported_ends
+
+    found = reported_ends(spark, '{"a":{"0":5,"1":7},"b":{"0":9}}')
+    assert rows(found) == [("a", 0, 5), ("a", 1, 7), ("b", 0, 9)]
+    assert dict(found.dtypes)["partition"] == "int"
+
+
+def test_kafka_tail_starts_at_the_committed_offsets(spark):
+    import json
+
+    from docstream.sources.record_log import starting_positions
+
+    committed = spark.createDataFrame(
+        [("g1", "a", 0, 5), ("g1", "a", 1, 7), ("g2", "a", 0, 3), ("g1", "b", 0, 9)],
+        "group_id string, topic string, partition int, committed_offset bigint",
+    )
+    assert json.loads(starting_positions(committed)) == {"a": {"0": 3, "1": 7}, "b": {"0": 9}}
+
+
+def test_rate_log(spark, tmp_path, one_log):
+    lines = []
+    listener = progress.RateLog(lines.append)
+    spark.streams.addListener(listener)
+    try:
+        Ingest(spark, config(tmp_path, one_log)).run_to_end()
+        import time
+
+        deadline = time.time() + 20
+        while time.time() < deadline and not any("stopped" in line for line in lines):
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert any("batch 0" in line for line in lines)
