@@ -69,12 +69,12 @@ def merge_latest(
 ) -> DataFrame:
     """Newest version per key of a table and the changes since it was written.
 
-    With ``current`` bucketed by key into ``buckets``, only the changes are shuffled, into the same
-    buckets; the union keeps that partitioning, so the aggregate needs no exchange of its own and
-    its result can be written bucketed again as it is.
+    With ``current`` bucketed by key into ``buckets``, only the changes are shuffled, brought down
+    to one version per key and dealt into the same buckets. The union keeps that partitioning, so
+    the aggregate over it needs no exchange, and its result can be written bucketed as it is.
     """
     if buckets is not None:
-        changes = changes.repartition(buckets, "key")
+        changes = latest_by_key(changes, keys, order).repartition(buckets, "key")
     return latest_by_key(current.unionByName(changes), keys, order)
 
 

@@ -5,16 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docstream.config import IngestConfig
 from docstream.functions.names import group_name
-from docstream.operators.documents import accepted, classify, is_accepted, rejected
+from docstream.operators.documents import accepted, classify, is_accepted
 from docstream.operators.offsets import POSITION, in_topics
-from docstream.operators.routing import assign_shard, every_shard
-from docstream.operators.upsert import latest_by_key
+from docstream.operators.routing import assign_shard
 from docstream.sources.record_log import stream_log
 from docstream.streaming.store import CollectionStore
 
@@ -27,19 +25,12 @@ def store_of(spark: SparkSession, config: IngestConfig) -> CollectionStore:
     )
 
 
-def route(current: DataFrame, config: IngestConfig) -> DataFrame:
-    """One row per key to its shard, or to every shard."""
-    if config.all_shards:
-        return every_shard(current, config.num_shards)
-    return assign_shard(current, config.num_shards)
-
-
-def batch_offsets(classified: DataFrame, config: IngestConfig) -> DataFrame:
+def batch_offsets(records: DataFrame, config: IngestConfig) -> DataFrame:
     """What one batch commits per (topic, partition)."""
-    ok = is_accepted()
+    ok = F.col("accepted")
     core = F.lit(config.core) if config.core else None
     return (
-        classified.groupBy(*POSITION)
+        records.groupBy(*POSITION)
         .agg(
             (F.max(F.when(ok, F.col("offset"))) + 1).alias("next_offset"),
             F.count_if(ok).alias("n_ok"),
@@ -54,34 +45,39 @@ def batch_offsets(classified: DataFrame, config: IngestConfig) -> DataFrame:
 def batch_writer(config: IngestConfig, transform: Transform | None = None):
     """The function that applies one micro-batch to the collection.
 
-    All outputs are keyed by the batch number and replace what an earlier attempt of the same batch
-    left; the completion mark comes last.
+    Records are read, parsed and written once, task by task; nothing is shuffled or cached. The
+    commit record is then made from four columns of what was written. Both are keyed by the batch
+    number and replace what an earlier attempt left; the completion mark comes last.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started_ms = int(time.time() * 1000)
         store = store_of(batch.sparkSession, config)
-        # Read and parsed once for the three outputs; what memory cannot hold goes to disk. The text
-        # is kept only where it has no document.
-        classified = (
-            classify(batch, config.format, config.schema)
-            .withColumn("value", F.when(~is_accepted(), F.col("value")))
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        try:
-            documents = accepted(classified).drop("value")
-            if transform is not None:
-                documents = transform(documents)
-            store.write_changelog(route(latest_by_key(documents), config), batch_id)
-            store.write_ledger(batch_offsets(classified, config), batch_id)
-            store.write_quarantine(rejected(classified), batch_id)
-        finally:
-            classified.unpersist()
+        judged = classify(batch, config.format, config.schema).withColumn("accepted", is_accepted())
+        # The text is kept only where it has no document.
+        rows = judged.withColumn("value", F.when(~F.col("accepted"), F.col("value")))
+        if transform is not None:
+            rows = transformed(rows, transform)
+        if not config.all_shards:
+            rows = assign_shard(rows, config.num_shards)
+        store.write_records(rows, batch_id)
+        written = store.records(batch_id - 1, batch_id)
+        # A transform may drop records; their offsets are done with all the same.
+        counted = judged if transform is not None or written is None else written
+        store.write_ledger(batch_offsets(counted, config), batch_id)
         store.complete_batch(batch_id, started_ms)
 
     return write
 
 
+def transformed(rows: DataFrame, transform: Transform) -> DataFrame:
+    """Accepted documents changed by the user's step; records set aside pass by."""
+    changed = transform(accepted(rows).drop("value", "accepted"))
+    return changed.withColumn("accepted", F.lit(True)).unionByName(
+        rows.filter(~F.col("accepted")), allowMissingColumns=True
+    )
+
+
 def start_query(
     spark: SparkSession,
     config: IngestConfig,

@@ -1,26 +1,27 @@
-"""A collection on disk: changelog, snapshots, quarantine and commit records.
-
-    changelog/batch_id=K/shard_id=S   newest version per key of one batch
-    quarantine/batch_id=K             records of the batch that were set aside
-    commit_ledger/batch_id=K          next offset per (topic, partition)
-    batches/batch_id=K                one row, written last: the batch is complete
-    snapshot/gen=G                    one row per document, bucketed by key
-    generations/gen=G                 one row, written last: the snapshot is complete
-    run_state                         what was last asked for: RUNNING or STOPPED
-
-Every folder is written once or replaced as a whole by a repeat of the same batch, so a batch that
-failed half-way leaves nothing that a reader would take. There is no rename or lock to rely on.
+"""A collection on disk: record batches, snapshots and completion marks.
+
+    records/batch_id=K/accepted=true   decoded records of one batch, every version
+    records/batch_id=K/accepted=false  records of the batch that were set aside
+    commit_ledger/batch_id=K           next offset per (topic, partition)
+    batches/batch_id=K                 one row, written last: the batch is complete
+    snapshot/gen=G                     one row per document, bucketed by key
+    generations/gen=G                  one row, written last: the snapshot is complete
+    run_state                          what was last asked for: RUNNING or STOPPED
+
+A batch is written in one pass, without a shuffle; the newest version per key is worked out where
+it is read, and for good by ``compact``. Every folder is written once or replaced as a whole by a
+repeat of the same batch, so a batch that failed half-way leaves nothing that a reader would take.
+There is no rename or lock to rely on.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from docstream.constants import NOT_INITIALIZED
+from docstream.operators.routing import every_shard
 from docstream.operators.upsert import latest_by_key, merge_latest
 
 
@@ -48,9 +49,8 @@ class CollectionStore:
         self.spark = spark
         self.base = base.rstrip("/")
         self.buckets = buckets
+        self.all_shards = all_shards
         self.num_shards = num_shards
-        # In all-shard mode every shard has its own copy of a document.
-        self.keys: Sequence[str] = ("shard_id", "key") if all_shards else ("key",)
 
     def path(self, part: str) -> str:
         return f"{self.base}/{part}"
@@ -65,15 +65,18 @@ class CollectionStore:
 
     # Writing one batch -------------------------------------------------------------------------
 
-    def write_changelog(self, rows: DataFrame, batch_id: int) -> None:
+    def write_records(self, rows: DataFrame, batch_id: int) -> None:
         (
             rows.write.mode("overwrite")
-            .partitionBy("shard_id")
-            .parquet(self.path(f"changelog/batch_id={batch_id}"))
+            .partitionBy("accepted")
+            .parquet(self.path(f"records/batch_id={batch_id}"))
         )
 
-    def write_quarantine(self, rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self.path(f"quarantine/batch_id={batch_id}"))
+    def records(self, after: int, through: int) -> DataFrame | None:
+        """What was written for some batches, complete or not."""
+        rows = self._batch_rows("records", after, through)
+        # The value comes out of a folder name, as text.
+        return None if rows is None else rows.withColumn("accepted", F.col("accepted").cast("boolean"))
 
     def write_ledger(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
@@ -134,12 +137,18 @@ class CollectionStore:
             raise
 
     def changelog(self, after: int = -1, through: int | None = None) -> DataFrame | None:
-        rows = self._batch_rows("changelog", after, self.last_batch() if through is None else through)
-        return None if rows is None else rows.drop("batch_id")
+        """Accepted records of complete batches, every version (DM4)."""
+        rows = self.records(after, self.last_batch() if through is None else through)
+        if rows is None:
+            return None
+        return rows.filter(F.col("accepted")).drop(
+            "batch_id", "accepted", "value", "error_class", "error_detail"
+        )
 
     def quarantine(self) -> DataFrame | None:
         """Records set aside in complete batches."""
-        return self._batch_rows("quarantine", -1, self.last_batch())
+        rows = self.records(-1, self.last_batch())
+        return None if rows is None else rows.filter(~F.col("accepted")).drop("accepted", "doc", "shard_id")
 
     def ledger(self) -> DataFrame | None:
         """Next offsets of complete batches; the batch number is the commit round (ST3)."""
@@ -178,18 +187,31 @@ class CollectionStore:
         """Newest version of every document up to a batch."""
         if generation is None:
             changes = self.changelog(-1, through)
-            return None if changes is None else latest_by_key(changes, self.keys)
+            return None if changes is None else latest_by_key(changes)
         snapshot = self.snapshot(generation)
         changes = self.changelog(generation["compacted_through"], through)
         if changes is None:
             return snapshot
         return merge_latest(
-            snapshot, changes.select(*snapshot.columns), self.keys, buckets=generation["buckets"]
+            snapshot, changes.select(*snapshot.columns), buckets=generation["buckets"]
         )
 
     def current(self) -> DataFrame | None:
-        """The collection: one row per document, or per document and shard (DM4)."""
-        return self._view(self.generation(), self.last_batch())
+        """The collection: one row per document, or per document and shard (DM4).
+
+        In all-shard mode all shards hold the same documents. They are stored once and copied to
+        the shards where they are read.
+        """
+        view = self._view(self.generation(), self.last_batch())
+        if view is None or not self.all_shards:
+            return view
+        return every_shard(view, self.num_shards)
+
+    def write_shards(self, path: str) -> None:
+        """The current documents as one folder per shard, copies and all."""
+        current = self.current()
+        if current is not None:
+            current.write.mode("overwrite").partitionBy("shard_id").parquet(path)
 
     def _buckets_for(self, old: Row | None, through: int) -> int:
         """Buckets of the next snapshot: a multiple of the shards, so that each has one shard only.

@@ -105,7 +105,7 @@ def test_all_shards_hold_all(spark, tmp_path, sf_dir, one_log):
     assert rows(audit.shard_counts(job.store.current())) == [(s, n) for s in range(4)]
 
 
-STEPS = ["write_changelog", "write_ledger", "write_quarantine", "complete_batch"]
+STEPS = ["write_records", "write_ledger", "complete_batch"]
 
 
 @pytest.mark.parametrize("step", STEPS)
@@ -141,8 +141,8 @@ def test_half_written_batch_is_not_read(spark, tmp_path, one_log):
     job = Ingest(spark, config(tmp_path, one_log))
     job.run_to_end()
     before = shown(job.store.current())
-    extra = job.store.current().withColumn("offset", F.col("offset") + 1_000_000)
-    job.store.write_changelog(extra, 3)
+    extra = job.store.records(1, 2).withColumn("offset", F.col("offset") + 1_000_000)
+    job.store.write_records(extra.drop("batch_id"), 3)
     assert shown(job.store.current()) == before
 
 
@@ -205,16 +205,17 @@ def test_snapshot_is_not_shuffled(spark, tmp_path, one_log):
     from docstream.operators.upsert import merge_latest
 
     plan = plan_of(merge_latest(snapshot, changes, buckets=generation["buckets"]))
-    assert plan.count("Exchange") == 1
-    assert "Bucketed: true" in plan
-    snapshot_branch = plan[plan.index("Union") :].split("+- Exchange")[0]
-    assert "Bucketed: true" in snapshot_branch
+    over_union, below = plan.split("Union")
+    assert "Exchange" not in over_union
+    snapshot_branch, changes_branch = below.split("Bucketed: true")
+    assert "Exchange" not in snapshot_branch and "partial_max" in changes_branch
 
 
 def test_transform_runs_between_decoding_and_upsert(spark, tmp_path, one_log):
     job = Ingest(spark, config(tmp_path, one_log), transform=lambda df: df.filter("doc.k < 50"))
     job.run_to_end()
     assert job.store.current().agg(F.max("doc.k")).first()[0] < 50
+    assert job.lag().agg(F.max("lag")).first()[0] == 0
 
 
 def test_variant_documents(spark, tmp_path, one_log):
@@ -299,22 +300,23 @@ def test_stream_ledger_publishes_closed_rounds(spark, tmp_path, sf_dir, one_log)
     assert published.groupBy("round", "topic", "partition").count().filter("count > 1").count() == 0
 
 
-def test_files_follow_the_shards(spark, tmp_path, one_log):
-    """Shuffle partitions a multiple of the shards: every changelog file holds one shard, unasked."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        job = Ingest(spark, config(tmp_path, one_log, max_per_trigger=100))
-        job.run_to_end()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = list((tmp_path / "store" / "changelog" / "batch_id=0").glob("shard_id=*/*.parquet"))
-    assert 4 <= len(files) <= 8
-    by_file = (
-        job.store.changelog()
-        .groupBy(F.col("_metadata.file_path"))
-        .agg(F.count_distinct("shard_id").alias("n"))
-    )
-    assert {r["n"] for r in by_file.collect()} == {1}
+def test_a_batch_is_written_in_one_pass(spark, tmp_path, one_log):
+    """No shuffle: as many files as tasks read the source."""
+    job = Ingest(spark, config(tmp_path, one_log, max_per_trigger=100))
+    job.run_to_end()
+    files = list((tmp_path / "store" / "records" / "batch_id=0").glob("accepted=true/*.parquet"))
+    assert len(files) <= 6
+
+
+@pytest.mark.parametrize("routing", ["hash", "all"])
+def test_shards_as_folders(spark, sf_dir, tmp_path, one_log, routing):
+    job = Ingest(spark, config(tmp_path, one_log, routing=routing))
+    job.run_to_end()
+    job.store.write_shards(str(tmp_path / "shards"))
+    n = len(batch_result(spark, sf_dir))
+    counts = dict(rows(audit.shard_counts(spark.read.parquet(str(tmp_path / "shards")))))
+    assert set(counts) == {0, 1, 2, 3}
+    assert sum(counts.values()) == (n if routing == "hash" else 4 * n)
 
 
 def test_every_bucket_has_one_shard_and_one_file(spark, tmp_path, one_log):
