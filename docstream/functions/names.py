@@ -46,7 +46,7 @@ def shard_of(key: Column, num_shards: int, method: str = "murmur3") -> Column:
 
 def base64_text(text: Column) -> Column:
     """Base64 on one line; Spark may break its own into lines of 76."""
-    return F.translate(F.base64(text.cast("binary")), "\r\n", "")
+    return F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
 
 
 def stable_uuid(*parts: Column) -> Column:

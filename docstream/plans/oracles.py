@@ -121,7 +121,7 @@ def _random_text() -> str:
     )
     return f"""
 SELECT {uuid} AS id,
-       base64(encode(array_to_string(list_transform(range(0, {draw('length')} % 100),
+       base64(encode(array_to_string(list_transform(range(1, {draw('length')} % 100 + 1),
          lambda i: CAST(({draw('start')} % 2147483648 + i) * 2654435761 % 4294967296 - 2147483648
                         AS VARCHAR)), ''))) AS text,
        CAST({draw('int')} - 2147483648 AS INTEGER) AS doc_number,

@@ -5,6 +5,8 @@ Every value is a function of (seed, number): a task that runs again makes the sa
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docstream.constants import SAMPLE_IDS, SAMPLE_TITLE
@@ -25,13 +27,11 @@ def _draw(seed: int, number: Column, purpose: str, hex_digits: int = 8) -> Colum
     return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("bigint")
 
 
-def random_text(seed: int, number: Column, size: int) -> Column:
-    """Base64 of the digits of 0 .. size-1 random 32-bit integers."""
-    start = F.pmod(_draw(seed, number, "start"), F.lit(_HALF_RANGE))
-    length = F.pmod(_draw(seed, number, "length"), F.lit(size)).cast("int")
+def digits_text(start: Column, length: Column) -> Column:
+    """Base64 of the digits of ``length`` 32-bit integers drawn from ``start`` on."""
     # Multiplicative hashing of consecutive numbers; the multiplier is 2**32 over the golden ratio.
     digits = F.transform(
-        F.slice(F.sequence(F.lit(0), F.lit(size)), F.lit(1), length),
+        F.when(length > 0, F.sequence(F.lit(1), length)).otherwise(F.array().cast("array<int>")),
         lambda i: (
             F.pmod((start + i) * F.lit(2654435761), F.lit(_INT_RANGE)) - F.lit(_HALF_RANGE)
         ).cast("string"),
@@ -39,21 +39,39 @@ def random_text(seed: int, number: Column, size: int) -> Column:
     return base64_text(F.array_join(digits, ""))
 
 
-def random_documents(numbered: DataFrame, size: int, seed: int = 0, number: str = "number") -> DataFrame:
-    """One random document per row of ``numbered`` (G1)."""
+def random_documents(
+    numbered: DataFrame, size: int, seed: int = 0, number: str = "number", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One random document per row of ``numbered``; the text has 0 .. size-1 integers (G1).
+
+    Columns named in ``keep`` stay beside the document's own.
+    """
     n = F.col(number)
-    return numbered.select(
+    drawn = F.struct(
+        F.pmod(_draw(seed, n, "start"), F.lit(_HALF_RANGE)).alias("start"),
+        F.pmod(_draw(seed, n, "length"), F.lit(size)).cast("int").alias("length"),
+    )
+    # A generator's output is computed once per row, not once per integer of the text.
+    return numbered.select("*", F.explode(F.array(drawn)).alias("_drawn")).select(
+        *keep,
         stable_uuid(F.lit(seed), n).alias("id"),
-        random_text(seed, n, size).alias("text"),
+        digits_text(F.col("_drawn.start"), F.col("_drawn.length")).alias("text"),
         (_draw(seed, n, "int") - F.lit(_HALF_RANGE)).cast("int").alias("doc_number"),
         (_draw(seed, n, "double", 13) / F.lit(float(1 << 52))).alias("doc_double"),
         (F.pmod(_draw(seed, n, "flag"), F.lit(2)) == 1).alias("some_flag"),
     )
 
 
-def sample_documents(numbered: DataFrame, moment: Column, seed: int = 0, number: str = "number") -> DataFrame:
+def sample_documents(
+    numbered: DataFrame,
+    moment: Column,
+    seed: int = 0,
+    number: str = "number",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Small documents of id, title and date text."""
     return numbered.select(
+        *keep,
         sample_id(F.lit(seed), F.col(number)).alias("id"),
         F.lit(SAMPLE_TITLE).alias("title"),
         date_text(moment).alias("date"),
@@ -70,5 +88,4 @@ def probe_documents(spark: SparkSession, moment: Column) -> DataFrame:
 def paced_documents(spark: SparkSession, per_second: int, size: int, seed: int = 0) -> DataFrame:
     """Endless stream of random documents at a fixed pace."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
-    docs = random_documents(ticks.withColumnRenamed("value", "number"), size, seed)
-    return docs
+    return random_documents(ticks, size, seed, number="value")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -26,10 +28,16 @@ def write_documents(docs: DataFrame, path: str, mode: str = "errorifexists") ->
     docs.write.mode(mode).json(path)
 
 
-def as_records(docs: DataFrame, topic: str, id_field: str = "id") -> DataFrame:
-    """Seeded documents as keyed records: the key is the document id."""
+def as_records(
+    docs: DataFrame, topic: str, id_field: str = "id", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Documents as keyed records: the key is the document id.
+
+    Columns named in ``keep`` are not part of the document and stay beside the record.
+    """
     return docs.select(
+        *keep,
         F.lit(topic).alias("topic"),
         F.col(id_field).cast("string").alias("key"),
-        F.to_json(F.struct(*docs.columns)).alias("value"),
+        F.to_json(F.struct(*[c for c in docs.columns if c not in keep])).alias("value"),
     )

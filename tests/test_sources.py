@@ -111,14 +111,13 @@ def test_log_round_trip(spark, tmp_path):
 
 
 def test_positions_are_dense(spark):
-    docs = generators.random_documents(generators.numbers(spark, 50).withColumnRenamed("number", "n"), 5, number="n")
-    records = json_files.as_records(docs, "t").withColumn("seq", F.monotonically_increasing_id())
-    numbered = generators.numbers(spark, 50).select(
-        F.lit("t").alias("topic"), F.col("number").cast("string").alias("key"), F.lit("{}").alias("value"), F.col("number").alias("seq")
-    )
-    placed = record_log.with_positions(numbered, "seq", 4, F.timestamp_seconds("seq"))
+    docs = generators.random_documents(generators.numbers(spark, 50), 5, keep=("number",))
+    records = json_files.as_records(docs, "t", keep=("number",))
+    placed = record_log.with_positions(records, "number", 4, F.timestamp_seconds("number"))
+    assert placed.schema.simpleString() == RECORD_LOG.simpleString()
     assert rows(end_offsets(placed), "partition", "end_offset") == [(0, 13), (1, 13), (2, 12), (3, 12)]
-    assert records.filter("key is null or value not like '%\"id\"%'").count() == 0
+    first = json.loads(placed.first()["value"])
+    assert set(first) == {"id", "text", "doc_number", "doc_double", "some_flag"}
 
 
 def test_array_file_and_line_file(spark, tmp_path):

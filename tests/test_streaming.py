@@ -5,7 +5,6 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.config import IngestConfig
-from docstream.functions.names import stable_uuid
 from docstream.operators import audit
 from docstream.operators.offsets import end_offsets
 from docstream.operators.upsert import latest_by_key
@@ -78,9 +77,9 @@ def test_stream_equals_batch_in_three_batches(spark, sf_dir, tmp_path, one_log):
 
 def test_seeded_documents_are_all_found(spark, tmp_path):
     """N distinct documents sent, N found; shard counts add up; a second run adds nothing."""
-    docs = random_documents(numbers(spark, 500), 20)
-    by_number = numbers(spark, 500).withColumn("id", stable_uuid(F.lit(0), F.col("number")))
-    records = as_records(docs, "t").join(by_number, F.col("key") == F.col("id"))
+    numbered = random_documents(numbers(spark, 500), 20, keep=("number",))
+    docs = numbered.drop("number")
+    records = as_records(numbered, "t", keep=("number",))
     placed = with_positions(records, "number", 10, F.timestamp_seconds(F.lit(0)))
     write_log(placed, str(tmp_path / "log"))
     schema = "id string, text string, doc_number int, doc_double double, some_flag boolean"
