@@ -5,31 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+# Intervals or batches per block of a running total.
+BLOCK = 4096
+
+
 def _millis_between(start: Column, end: Column) -> Column:
     """Whole milliseconds between two moments."""
     return F.floor((F.unix_micros(end) - F.unix_micros(start)) / 1000)
 
 
-def interval_metrics(log: DataFrame, interval: str) -> DataFrame:
-    """Per commit interval: documents, running total, elapsed time and average per document (A10).
+def running_total(df: DataFrame, order: str, value: str, block: Column, name: str) -> DataFrame:
+    """Add the running total of ``value`` by ``order``.
 
-    Records are first counted per interval; the running total goes over these counts, one row per
-    interval whatever the size of the log.
+    Rows are summed within blocks, which ``block`` numbers along the order; only the block totals,
+    one row each, are summed up in a single sequence.
     """
-    per = log.groupBy(F.window("timestamp", interval).alias("w")).agg(
+    cut = df.withColumn("_block", block)
+    blocks = cut.groupBy("_block").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_carried"))
+    within = Window.partitionBy("_block").orderBy(order)
+    return (
+        cut.withColumn("_within", F.sum(value).over(within))
+        .join(carried, "_block")
+        .withColumn(name, F.col("_carried") + F.col("_within"))
+        .drop("_block", "_within", "_carried")
+    )
+
+
+def interval_metrics(log: DataFrame, interval: str, seconds: int) -> DataFrame:
+    """Per commit interval of ``seconds``: documents, running total, elapsed and average time (A10)."""
+    per = log.groupBy(F.window("timestamp", interval)["start"].alias("interval_start")).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.min("timestamp").alias("first_at"),
         F.max("timestamp").alias("last_at"),
     )
+    block = F.floor(F.unix_seconds("interval_start") / (seconds * BLOCK))
     start = log.agg(F.min("timestamp")).scalar()
-    so_far = Window.orderBy("w.start")
     elapsed = _millis_between(start, F.col("last_at"))
-    return per.select(
-        F.col("w.start").alias("interval_start"),
+    return running_total(per, "interval_start", "n_docs", block, "total_docs").select(
+        "interval_start",
         "n_docs",
-        F.sum("n_docs").over(so_far).alias("total_docs"),
+        "total_docs",
         elapsed.alias("elapsed_ms"),
-        (elapsed / F.sum("n_docs").over(so_far)).alias("avg_ms_per_doc"),
+        (elapsed / F.col("total_docs")).alias("avg_ms_per_doc"),
         (_millis_between(F.col("first_at"), F.col("last_at")) / 1000).alias("busy_seconds"),
     )
 

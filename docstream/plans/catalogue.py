@@ -241,9 +241,13 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def flatten_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P5: one row per document field."""
-    return documents.flatten_fields(envelope_log(spark, sf_dir), "offset").filter(
-        F.col("field") != "amount"
+    """P5: one row per document field; what reads as a number is shown as one."""
+    number = F.col("field_value").try_cast("double")
+    return documents.flatten_fields(envelope_log(spark, sf_dir), "offset").select(
+        "offset",
+        "field",
+        F.when(number.isNull(), F.col("field_value")).alias("text"),
+        number.alias("number"),
     )
 
 
@@ -510,7 +514,7 @@ def ingest_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def interval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: documents, running total and average time per hour."""
-    per = metrics.interval_metrics(log_of(spark, sf_dir), "1 hour")
+    per = metrics.interval_metrics(log_of(spark, sf_dir), "1 hour", 3600)
     return per.select(
         F.unix_seconds("interval_start").alias("interval_s"),
         "n_docs",

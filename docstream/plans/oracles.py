@@ -229,9 +229,13 @@ SELECT topic, partition, "offset", key, value, error_class,
             THEN 'not a JSON object' ELSE 'field does not fit the schema' END AS error_detail
 FROM judged WHERE error_class IS NOT NULL""",
         "flatten_fields": f"""
-WITH {ENVELOPE}
-SELECT "offset", 'id' AS field, id AS field_value FROM envelope
-UNION ALL SELECT "offset", 'event_type', event_type FROM envelope""",
+WITH {ENVELOPE},
+fields AS (
+  SELECT "offset", 'id' AS field, id AS v FROM envelope
+  UNION ALL SELECT "offset", 'event_type', event_type FROM envelope
+  UNION ALL SELECT "offset", 'amount', CAST(amount AS VARCHAR) FROM envelope)
+SELECT "offset", field, CASE WHEN TRY_CAST(v AS DOUBLE) IS NULL THEN v END AS text,
+       TRY_CAST(v AS DOUBLE) AS number FROM fields""",
         "field_profile": _field_profile(),
         "key_id_mismatch": f"""
 WITH {ENVELOPE}

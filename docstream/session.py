@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Run something with ``n`` shuffle partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; a local one only where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

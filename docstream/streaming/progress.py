@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from docstream.operators.metrics import BLOCK, running_total
 from docstream.streaming.store import CollectionStore
 
 PROGRESS = T.StructType(
@@ -62,14 +63,14 @@ def batch_metrics(store: CollectionStore) -> DataFrame | None:
     batches = store.batches()
     if batches is None:
         return None
-    so_far = Window.orderBy("batch_id")
-    began = F.min("started_at").over(so_far)
-    elapsed = F.unix_millis("finished_at") - F.unix_millis(began)
-    return batches.select(
+    start = batches.agg(F.min("started_at")).scalar()
+    elapsed = F.unix_millis("finished_at") - F.unix_millis(start)
+    block = F.floor(F.col("batch_id") / BLOCK)
+    return running_total(batches, "batch_id", "n_ok", block, "total_docs").select(
         "batch_id",
         F.col("n_ok").alias("n_docs"),
-        F.sum("n_ok").over(so_far).alias("total_docs"),
+        "total_docs",
         elapsed.alias("elapsed_ms"),
-        F.try_divide(elapsed, F.sum("n_ok").over(so_far)).alias("avg_ms_per_doc"),
+        F.try_divide(elapsed, F.col("total_docs")).alias("avg_ms_per_doc"),
         ((F.unix_millis("finished_at") - F.unix_millis("started_at")) / 1000).alias("busy_seconds"),
     )

@@ -23,6 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from docstream.constants import NOT_INITIALIZED
 from docstream.operators.routing import every_shard
 from docstream.operators.upsert import latest_by_key, merge_latest
+from docstream.session import shuffle_partitions
 
 
 # Data per bucket of a snapshot: what one task reads, merges and writes.
@@ -249,12 +250,15 @@ class CollectionStore:
         columns = view.schema.toDDL()
         # A table of this name can only be left from an attempt that did not finish.
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (
-            view.write.mode("overwrite")
-            .option("path", f"{self.path('snapshot')}/gen={gen}")
-            .bucketBy(buckets, "key")
-            .saveAsTable(name)
-        )
+        # With as many shuffle partitions as buckets, the exchange that brings the changes down to
+        # one version per key is also the one that deals them into buckets.
+        with shuffle_partitions(self.spark, buckets):
+            (
+                view.write.mode("overwrite")
+                .option("path", f"{self.path('snapshot')}/gen={gen}")
+                .bucketBy(buckets, "key")
+                .saveAsTable(name)
+            )
         (
             self.spark.createDataFrame(
                 [(through, buckets, columns)], "compacted_through bigint, buckets int, columns string"

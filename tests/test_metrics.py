@@ -14,7 +14,7 @@ def log(spark, *millis):
 
 
 def test_intervals(spark):
-    found = metrics.interval_metrics(log(spark, 0, 1000, 4000, 9000), "5 seconds").orderBy("interval_start")
+    found = metrics.interval_metrics(log(spark, 0, 1000, 4000, 9000), "5 seconds", 5).orderBy("interval_start")
     assert [tuple(r)[1:] for r in found.collect()] == [(3, 3, 4000, 4000 / 3, 4.0), (1, 4, 9000, 2250.0, 0.0)]
 
 
@@ -33,3 +33,12 @@ def test_send_rate(spark):
         (1, 10, 20, 1900, 1000 * 20 / 1900),
         (2, 5, 25, 2400, 1000 * 25 / 2400),
     ]
+
+
+def test_running_total_across_blocks(spark):
+    df = spark.range(100).select("id", (F.col("id") * 3 % 7).alias("v"))
+    found = metrics.running_total(df, "id", "v", F.floor(F.col("id") / 8), "total").orderBy("id").collect()
+    total = 0
+    for row in found:
+        total += row["v"]
+        assert row["total"] == total

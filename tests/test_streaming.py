@@ -10,6 +10,7 @@ from docstream.operators.offsets import end_offsets
 from docstream.operators.upsert import latest_by_key
 from docstream.plans.inputs import damaged_log, log_of
 from docstream.schema import RECORD_LOG, TARGETS
+from docstream.session import shuffle_partitions
 from docstream.sources.generators import numbers, random_documents
 from docstream.sources.json_files import as_records
 from docstream.sources.record_log import with_positions, write_log
@@ -208,6 +209,10 @@ def test_snapshot_is_not_shuffled(spark, tmp_path, one_log):
     assert "Exchange" not in over_union
     snapshot_branch, changes_branch = below.split("Bucketed: true")
     assert "Exchange" not in snapshot_branch and "partial_max" in changes_branch
+    # As compaction runs it, the changes are shuffled once, after a cut to one version per key.
+    with shuffle_partitions(spark, generation["buckets"]):
+        plan = plan_of(merge_latest(snapshot, changes, buckets=generation["buckets"]))
+    assert plan.count("Exchange") == 1
 
 
 def test_transform_runs_between_decoding_and_upsert(spark, tmp_path, one_log):
