@@ -102,7 +102,10 @@ class IngestConfig:
             routing="all" if settings.get("ignoreShardRouting", "false").lower() == "true" else "hash",
             poll_interval_ms=int(settings.get("kafkaPollInterval", DEFAULT_POLL_INTERVAL_MS)),
             starting_offsets=_starting_offsets(settings.get("autoOffsetResetConfig", "beginning")),
-            max_per_trigger=int(settings["kafkaPollRecords"]) if "kafkaPollRecords" in settings else None,
+            # A limit per poll of one consumer, not per batch.
+            kafka_options={"kafka.max.poll.records": str(int(settings["kafkaPollRecords"]))}
+            if "kafkaPollRecords" in settings
+            else {},
         )
         return cls(collection=collection, store=store, **{**known, **more})
 

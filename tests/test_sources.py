@@ -65,7 +65,8 @@ def test_named_settings():
     )
     assert (read.topics, read.source, read.source_kind, read.format) == (("a", "b"), "h:9092", "kafka", "json")
     assert (read.commit_interval_ms, read.all_shards, read.poll_interval_ms) == (7000, True, 1000)
-    assert (read.batch_limit, read.starting_offsets) == (50, "latest")
+    assert read.starting_offsets == "latest"
+    assert record_log.kafka_options(read)["kafka.max.poll.records"] == "50"
     defaults = IngestConfig.from_settings({"topicNames": "a", "kafkaBroker": "h"}, "c", "/s")
     assert (defaults.commit_interval_ms, defaults.poll_interval_ms, defaults.starting_offsets) == (5000, 45000, "earliest")
     assert not defaults.all_shards
