@@ -33,9 +33,9 @@ def running_total(df: DataFrame, order: str, value: str, block: Column, name: st
     )
 
 
-def interval_metrics(log: DataFrame, interval: str, seconds: int) -> DataFrame:
+def interval_metrics(log: DataFrame, seconds: int) -> DataFrame:
     """Per commit interval of ``seconds``: documents, running total, elapsed and average time (A10)."""
-    per = log.groupBy(F.window("timestamp", interval)["start"].alias("interval_start")).agg(
+    per = log.groupBy(F.window("timestamp", f"{seconds} seconds")["start"].alias("interval_start")).agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.min("timestamp").alias("first_at"),
         F.max("timestamp").alias("last_at"),

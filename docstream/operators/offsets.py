@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from docstream.constants import DEFAULT_COMMIT_INTERVAL_MS
 from docstream.functions.names import end_key, is_importer_group, lag_key
 from docstream.operators.documents import is_accepted
 from docstream.schema import LOG_POSITION
@@ -52,16 +53,16 @@ def next_offsets(classified: DataFrame) -> DataFrame:
 
 
 def commit_ledger(
-    classified: DataFrame, group_id: Column | str, interval: str, seconds: int
+    classified: DataFrame, group_id: Column | str, seconds: int = DEFAULT_COMMIT_INTERVAL_MS // 1000
 ) -> DataFrame:
     """Commit rounds of a group: offsets become durable one round late (ST3, W2).
 
-    A round is a window of ``interval`` (``seconds`` long). It closes at its end, and is published
-    when the following round closes. A round without an accepted record commits nothing.
+    A round is a window of ``seconds``. It closes at its end, and is published when the following
+    round closes. A round without an accepted record commits nothing.
     """
     group = F.lit(group_id) if isinstance(group_id, str) else group_id
     ok = is_accepted()
-    rounds = classified.groupBy(F.window("timestamp", interval).alias("w"), *POSITION).agg(
+    rounds = classified.groupBy(F.window("timestamp", f"{seconds} seconds").alias("w"), *POSITION).agg(
         (F.max(F.when(ok, F.col("offset"))) + 1).alias("next_offset"),
         F.count_if(ok).alias("n_ok"),
         F.count_if(~ok).alias("n_bad"),
@@ -139,8 +140,8 @@ def top_laggards(lag: DataFrame, k: int) -> DataFrame:
     return lag.orderBy(F.desc("lag"), *POSITION, "group_id").limit(k)
 
 
-def lag_history(log: DataFrame, ledger: DataFrame, interval: str, seconds: int) -> DataFrame:
-    """Total positive lag per (group, poll), polls every ``interval``.
+def lag_history(log: DataFrame, ledger: DataFrame, seconds: int) -> DataFrame:
+    """Total positive lag per (group, poll), polls every ``seconds``.
 
     The log is first brought down to one end offset per (topic, partition, poll interval); the
     running maxima then go over polls, not records.
@@ -149,7 +150,7 @@ def lag_history(log: DataFrame, ledger: DataFrame, interval: str, seconds: int)
 
     def poll_after(column: str) -> Column:
         # A record or commit shows at the first poll after it.
-        return F.window(column, interval)["end"].alias("poll")
+        return F.window(column, f"{seconds} seconds")["end"].alias("poll")
 
     ends = log.groupBy(*POSITION, poll_after("timestamp")).agg(next_offset().alias("end_step"))
     # A commit made exactly at a poll is seen by it, so its window is the one that ends there.

@@ -33,7 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 COLLECTION = "events"
 SHARDS = 4
-DAY, DAY_SECONDS = "1 day", 86_400
+DAY = 86_400
 # The moment lag is reported for and a crash is assumed at.
 MOMENT = "2024-01-20 00:00:00"
 ENVELOPE_DOC = "id string, event_type string, amount double"
@@ -78,7 +78,7 @@ def _shown(current: DataFrame) -> DataFrame:
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     classified = documents.classify(log_of(spark, sf_dir), "json", EVENT_DOC)
-    return offsets.commit_ledger(classified, group_name(F.lit(COLLECTION)), DAY, DAY_SECONDS)
+    return offsets.commit_ledger(classified, group_name(F.lit(COLLECTION)), DAY)
 
 
 def _committed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,9 +454,7 @@ def lag_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def lag_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total lag at every daily poll."""
-    history = offsets.lag_history(
-        log_of(spark, sf_dir), _ledger(spark, sf_dir), DAY, DAY_SECONDS
-    )
+    history = offsets.lag_history(log_of(spark, sf_dir), _ledger(spark, sf_dir), DAY)
     return history.select("group_id", F.unix_seconds("poll").alias("poll_s"), "total_lag")
 
 
@@ -466,8 +464,8 @@ def lag_stalls(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = log_of(spark, sf_dir)
     group = group_name(F.col("topic"))
     classified = documents.classify(log, "json", EVENT_DOC)
-    ledger = offsets.commit_ledger(classified, group, DAY, DAY_SECONDS)
-    history = offsets.lag_history(log, ledger, DAY, DAY_SECONDS)
+    ledger = offsets.commit_ledger(classified, group, DAY)
+    history = offsets.lag_history(log, ledger, DAY)
     return offsets.stall_count(history, expected=0)
 
 
@@ -514,7 +512,7 @@ def ingest_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def interval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: documents, running total and average time per hour."""
-    per = metrics.interval_metrics(log_of(spark, sf_dir), "1 hour", 3600)
+    per = metrics.interval_metrics(log_of(spark, sf_dir), 3600)
     return per.select(
         F.unix_seconds("interval_start").alias("interval_s"),
         "n_docs",
@@ -647,7 +645,7 @@ def stream_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST3: commit rounds published by a stream over the events themselves."""
     base = scratch_dir(spark, "ledger")
     query = (
-        stream_ledger(event_log(stream_events(spark, sf_dir)), DAY, "1 hour")
+        stream_ledger(event_log(stream_events(spark, sf_dir)), "1 day", "1 hour")
         .writeStream.option("checkpointLocation", f"{base}/checkpoint")
         .option("path", f"{base}/ledger")
         .trigger(availableNow=True)

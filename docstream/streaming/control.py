@@ -120,10 +120,14 @@ class Ingest:
         return self.start() if self.store.run_state() == RUNNING else None
 
     def run_to_end(self) -> None:
-        """Work off everything the source holds now, then stop (ST7)."""
+        """Work off everything the source holds now, then stop (ST7).
+
+        After a failure the job still counts as running, so ``resume`` takes it up again.
+        """
         once = self.config.with_options(available_now=True)
         query = Ingest(self.spark, once, self.targets, self.transform, self.stream).start()
         query.awaitTermination()
+        self.store.set_run_state(STOPPED)
 
     def drain(self) -> None:
         running = self.query()

@@ -14,7 +14,7 @@ def log(spark, *millis):
 
 
 def test_intervals(spark):
-    found = metrics.interval_metrics(log(spark, 0, 1000, 4000, 9000), "5 seconds", 5).orderBy("interval_start")
+    found = metrics.interval_metrics(log(spark, 0, 1000, 4000, 9000), 5).orderBy("interval_start")
     assert [tuple(r)[1:] for r in found.collect()] == [(3, 3, 4000, 4000 / 3, 4.0), (1, 4, 9000, 2250.0, 0.0)]
 
 

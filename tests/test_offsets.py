@@ -64,7 +64,7 @@ def test_next_offset_passes_over_rejects(spark):
 
 def test_commits_come_one_round_late(spark):
     log = classified(spark, [("t", 0, 0, 0.5, True), ("t", 0, 1, 4.9, True), ("t", 0, 2, 5.0, True), ("t", 0, 3, 12.0, False)])
-    ledger = offsets.commit_ledger(log, GROUP, "5 seconds", 5)
+    ledger = offsets.commit_ledger(log, GROUP)
     assert rows(ledger.select(F.unix_seconds("round"), "next_offset", F.unix_seconds("commit_at"), "n_ok", "n_bad")) == [
         (0, 2, 10, 2, 0),
         (5, 3, 15, 1, 0),
@@ -138,8 +138,8 @@ def test_lag_history_brute_force(spark):
         offset[place] = offset.get(place, -1) + rng.randrange(1, 4)
         data.append((*place, offset[place], float(second), True))
     log = classified(spark, data)
-    ledger = offsets.commit_ledger(log, GROUP, "10 seconds", 10)
-    found = {r["p"]: r["total_lag"] for r in offsets.lag_history(log, ledger, "10 seconds", 10).select(F.unix_seconds("poll").alias("p"), "total_lag").collect()}
+    ledger = offsets.commit_ledger(log, GROUP, 10)
+    found = {r["p"]: r["total_lag"] for r in offsets.lag_history(log, ledger, 10).select(F.unix_seconds("poll").alias("p"), "total_lag").collect()}
     rounds = {}
     for topic, p, o, s, _ in data:
         rounds[(p, int(s) // 10 * 10)] = max(o + 1, rounds.get((p, int(s) // 10 * 10), 0))

@@ -70,7 +70,7 @@ def test_stream_equals_batch_in_three_batches(spark, sf_dir, tmp_path, one_log):
     assert job.store.last_batch() == 2
     assert shown(job.store.current()) == batch_result(spark, sf_dir)
     assert job.lag().agg(F.max("lag")).first()[0] == 0
-    assert job.state() == "STOPPED"
+    assert job.state() == "STOPPED" and job.resume() is None
     metrics = progress.batch_metrics(job.store).orderBy("batch_id").collect()
     total = log_of(spark, sf_dir).count()
     assert [m["batch_id"] for m in metrics] == [0, 1, 2] and metrics[-1]["total_docs"] == total
@@ -129,6 +129,7 @@ def test_crash_at_every_step(spark, sf_dir, tmp_path, one_log, monkeypatch, step
         job.run_to_end()
     done = 1 if (step == "complete_batch" and after) else 0
     assert job.store.last_batch() == done
+    assert job.store.run_state() == "RUNNING"
     assert len(shown(job.store.current())) > 0
     fail["on"] = False
     job.run_to_end()
