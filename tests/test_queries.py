@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_module
+from docstream.plans import catalogue, oracles
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalogue.queries()
+SQL = oracles.oracle_sql()
 ROWS_ONLY = {"infer_schema"}
 
 
