@@ -243,10 +243,22 @@ def qualifying(rows: DataFrame, rule: Rule) -> DataFrame:
 
 
 def opened(rows: DataFrame, asks: DataFrame, rule: Rule) -> DataFrame:
-    """Links (a, b) of asking classes with members of the groups they open: one for each core that a class links with."""
+    """Links (a, b) between cores, found by asking classes among the members of the groups they open.
+
+    A link of two classes joins their cores, so cores stand for their classes here. Of the links that a task finds in
+    a group, those between cores that others have joined already say nothing new and are left out.
+    """
 
     def work(askers: pa.Table, group: pa.Table) -> pa.Table:
         found: list[tuple[int, int]] = []
+        roots: dict[int, int] = {}
+
+        def root(node: int) -> int:
+            while (above := roots.get(node, node)) != node:
+                roots[node] = roots.get(above, above)
+                node = above
+            return node
+
         if askers.num_rows and group.num_rows:
             own = [np.array(x, np.int64) for x in group["shared"].to_pylist()]
             cls, home, sizes = (group[c].to_numpy() for c in ("cls", "home", "n"))
@@ -264,8 +276,11 @@ def opened(rows: DataFrame, asks: DataFrame, rule: Rule) -> DataFrame:
                 where = np.repeat(bounds[at] - np.append(0, np.cumsum(lengths)[:-1]), lengths) + np.arange(lengths.sum())
                 both = np.bincount(who[where], minlength=len(own))
                 link = rule.linked(both, n, sizes) & (home != h) & (cls != c)
-                _, one = np.unique(home[link], return_index=True)
-                found += [(c, b) for b in cls[link][one].tolist()]
+                for b in np.unique(home[link]).tolist():
+                    one, other = root(h), root(b)
+                    if one != other:
+                        roots[max(one, other)] = min(one, other)
+                        found.append((h, b))
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     parts = asks.groupBy("grp").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("parts"))
