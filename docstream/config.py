@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from docstream.constants import DEFAULT_COMMIT_INTERVAL_MS, DEFAULT_POLL_INTERVAL_MS
 from docstream.functions.codecs import check_format
 
-# Upper bound of one micro-batch, so that a backlog of any size is worked off in steps.
+# Defaults of ``max_per_trigger``: bounds of one micro-batch, so that a backlog of any size is worked off in steps.
 MAX_OFFSETS_PER_TRIGGER = 50_000_000
 MAX_FILES_PER_TRIGGER = 2_000
 
@@ -41,7 +41,9 @@ class IngestConfig:
     commit_interval_ms: int = DEFAULT_COMMIT_INTERVAL_MS
     poll_interval_ms: int = DEFAULT_POLL_INTERVAL_MS
     available_now: bool = False
-    # Buckets of a snapshot; by default as many as its size asks for.
+    # Field of a document that holds its id; without one, or where it is empty, the record key is the id.
+    id_field: str | None = None
+    # Buckets of the first snapshot, by default one per shard; ``compact`` can be told a new number.
     buckets: int | None = None
     kafka_options: Mapping[str, str] = field(default_factory=dict)
 

@@ -12,8 +12,7 @@ STARTED_MESSAGE = "started"
 STOPPING_MESSAGE = "stopping"
 UNKNOWN_MESSAGE = "Unknown command provided"
 
-# Replica types and the state of a usable replica.
-REPLICA_TYPES = ("NRT", "TLOG", "PULL")
+# Fixed value: the state of a usable replica.
 ACTIVE_STATE = "active"
 
 # Settings defaults.
@@ -23,7 +22,3 @@ DEFAULT_POLL_INTERVAL_MS = 45000
 # Sample documents.
 SAMPLE_TITLE = "Hi mom"
 SAMPLE_ID_PREFIX = "doc_"
-SAMPLE_IDS = (
-    "doc_4e1dd29c-85fc-4221-a25a-b84fcf24f4af",
-    "doc_ff595762-b312-489a-8720-a8157855f781",
-)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from docstream.constants import ACTIVE_STATE
+
 
 def doc_count(current: DataFrame, key: str = "key") -> DataFrame:
     """Documents of the collection (A5, L1)."""
@@ -35,7 +37,7 @@ def of_collection(targets: DataFrame, collection: str) -> DataFrame:
 
 def inactive_targets(targets: DataFrame) -> DataFrame:
     """Replicas that are not active."""
-    return targets.filter(~F.col("state").eqNullSafe("active"))
+    return targets.filter(~F.col("state").eqNullSafe(ACTIVE_STATE))
 
 
 def replica_mismatches(targets: DataFrame) -> DataFrame:
@@ -53,14 +55,13 @@ def replica_mismatches(targets: DataFrame) -> DataFrame:
 
 
 def error_report(mismatches: DataFrame) -> DataFrame:
-    """One message per collection, a line per disagreeing shard."""
-    line = F.format_string(
-        "shard %d: between %d and %d documents", "shard_id", "min_docs", "max_docs"
-    )
-    return mismatches.groupBy("collection").agg(
-        F.concat_ws(
-            "\n", F.transform(F.sort_array(F.collect_list(F.struct("shard_id", line.alias("m")))), lambda e: e["m"])
-        ).alias("report")
+    """One message per disagreeing shard."""
+    return mismatches.select(
+        "collection",
+        "shard_id",
+        F.format_string(
+            "shard %d: between %d and %d documents", "shard_id", "min_docs", "max_docs"
+        ).alias("message"),
     )
 
 

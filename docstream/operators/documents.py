@@ -43,6 +43,37 @@ def accepted(classified: DataFrame) -> DataFrame:
     return classified.filter(is_accepted()).drop("error_class", "error_detail")
 
 
+def document_id(doc: Column, kind: T.DataType, field: str) -> Column:
+    """Text of a document's id field; null where the document has none."""
+    if isinstance(kind, T.VariantType):
+        return F.try_variant_get(doc, f"$.{field}", "string")
+    if not isinstance(kind, T.StructType) or field not in kind.fieldNames():
+        raise ValueError(f"Documents have no field {field}")
+    return doc[field].cast("string")
+
+
+def identify(classified: DataFrame, id_field: str | None = None) -> DataFrame:
+    """Accepted records under their document's id.
+
+    ``key`` becomes the id field of the document where one is named and filled, else it stays the
+    record key. Accepted records with neither are set aside as ``reject_error``: they are no
+    version of each other. Records set aside keep their key.
+    """
+    ok = is_accepted()
+    own = F.col("key")
+    if id_field is not None:
+        own = F.coalesce(document_id(F.col("doc"), classified.schema["doc"].dataType, id_field), own)
+    nameless = ok & own.isNull()
+    return classified.withColumns(
+        {
+            "key": F.when(ok, own).otherwise(F.col("key")),
+            "doc": F.when(~nameless, F.col("doc")),
+            "error_class": F.when(nameless, "reject_error").otherwise(F.col("error_class")),
+            "error_detail": F.when(nameless, "neither a document id nor a key").otherwise(F.col("error_detail")),
+        }
+    )
+
+
 def rejected(classified: DataFrame) -> DataFrame:
     """Records set aside, with the untouched value."""
     return classified.filter(~is_accepted()).drop("doc")
@@ -142,6 +173,28 @@ def infer_schema(log: DataFrame) -> DataFrame:
     return log.agg(F.schema_of_variant_agg(F.try_parse_json("value")).alias("doc_schema"))
 
 
+def inferred_fields(log: DataFrame) -> DataFrame:
+    """One merged type per field of all documents: JSON types that were seen, widened where they differ.
+
+    ``integer`` and ``number`` make ``number``; any other difference makes ``mixed``; ``null`` fits all.
+    ``n_docs`` counts the documents that have the field.
+    """
+    kinds = field_profile(log).groupBy("field").agg(
+        F.array_sort(F.collect_set(F.when(F.col("json_type") != "null", F.col("json_type")))).alias("kinds"),
+        F.sum("n_docs").alias("n_docs"),
+    )
+    numbers = F.array(F.lit("integer"), F.lit("number"))
+    return kinds.select(
+        "field",
+        F.when(F.size("kinds") == 0, "null")
+        .when(F.size("kinds") == 1, F.col("kinds")[0])
+        .when(F.size(F.array_except("kinds", numbers)) == 0, "number")
+        .otherwise("mixed")
+        .alias("json_type"),
+        "n_docs",
+    )
+
+
 def key_mismatches(decoded: DataFrame, id_field: str = "id") -> DataFrame:
     """Records whose key is not the id of their document."""
     doc_id = F.col("doc")[id_field].cast("string")

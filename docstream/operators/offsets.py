@@ -10,7 +10,6 @@ from docstream.constants import DEFAULT_COMMIT_INTERVAL_MS
 from docstream.functions.names import end_key, is_importer_group, lag_key
 from docstream.operators.documents import is_accepted
 from docstream.schema import LOG_POSITION
-from docstream.session import with_known_size
 
 POSITION = list(LOG_POSITION)
 
@@ -97,7 +96,7 @@ def lag_report(
     """Lag per (group, topic, partition) of every importer group (J1, ST11).
 
     Partitions a group has committed nothing for have no row, unless ``include_uncommitted``: then
-    they count from offset 0. Lag is kept raw and may be negative.
+    those of the topics it reads count from offset 0. Lag is kept raw and may be negative.
     """
     groups = committed.filter(is_importer_group(F.col("group_id")))
     if collection is not None:
@@ -105,11 +104,12 @@ def lag_report(
     if topics is not None:
         groups, ends = groups.filter(in_topics(topics)), ends.filter(in_topics(topics))
     if include_uncommitted:
-        # Every group has to see every partition: a short list of groups beside each end offset.
-        names = groups.agg(F.collect_set("group_id")).scalar()
-        expected = ends.select("*", F.explode(names).alias("group_id"))
-        joined = expected.join(groups, ["group_id", *POSITION], "left").withColumn(
-            "committed_offset", F.coalesce("committed_offset", F.lit(0).cast("bigint"))
+        # Every group has to see every partition of the topics it reads.
+        reads = groups.select("group_id", "topic").distinct()
+        joined = (
+            ends.join(reads, "topic")
+            .join(groups, ["group_id", *POSITION], "left")
+            .withColumn("committed_offset", F.coalesce("committed_offset", F.lit(0).cast("bigint")))
         )
     else:
         joined = groups.join(ends, POSITION)
@@ -143,8 +143,9 @@ def top_laggards(lag: DataFrame, k: int) -> DataFrame:
 def lag_history(log: DataFrame, ledger: DataFrame, seconds: int) -> DataFrame:
     """Total positive lag per (group, poll), polls every ``seconds``.
 
-    The log is first brought down to one end offset per (topic, partition, poll interval); the
-    running maxima then go over polls, not records.
+    The log is first brought down to one end offset per (topic, partition, poll interval). Running
+    maxima go over the polls at which a partition moved; the changes of its lag are added up per
+    group and poll, and only these sums are spread over all polls.
     """
     step = F.make_dt_interval(secs=F.lit(seconds))
 
@@ -159,25 +160,28 @@ def lag_history(log: DataFrame, ledger: DataFrame, seconds: int) -> DataFrame:
         .groupBy("group_id", *POSITION, poll_after("_at"))
         .agg(F.max("next_offset").alias("commit_step"))
     )
-    span = ends.agg(F.min("poll").alias("a"), F.max("poll").alias("b"))
-    polls = F.explode(F.sequence(span.select("a").scalar(), span.select("b").scalar(), step))
-    grid = commits.select("group_id", *POSITION).distinct().select("*", polls.alias("poll"))
-    so_far = Window.partitionBy("group_id", *POSITION).orderBy("poll")
-    seen = (
-        grid.join(ends, [*POSITION, "poll"], "left")
-        .join(commits, ["group_id", *POSITION, "poll"], "left")
-        .select(
-            "group_id",
-            "poll",
-            F.max("end_step").over(so_far).alias("end_offset"),
-            F.max("commit_step").over(so_far).alias("committed_offset"),
-        )
+    readers = commits.select("group_id", *POSITION).distinct()
+    moves = (
+        ends.join(readers, POSITION)
+        .unionByName(commits, allowMissingColumns=True)
+        .groupBy("group_id", *POSITION, "poll")
+        .agg(F.max("end_step").alias("end_step"), F.max("commit_step").alias("commit_step"))
     )
-    lag = F.col("end_offset") - F.col("committed_offset")
-    return (
-        seen.filter(lag.isNotNull())
-        .groupBy("group_id", "poll")
-        .agg(F.sum(F.greatest(lag, F.lit(0))).alias("total_lag"))
+    so_far = Window.partitionBy("group_id", *POSITION).orderBy("poll")
+    lag = F.greatest(F.max("end_step").over(so_far) - F.max("commit_step").over(so_far), F.lit(0))
+    known = moves.withColumn("_lag", F.when(
+        F.max("end_step").over(so_far).isNotNull() & F.max("commit_step").over(so_far).isNotNull(), lag
+    )).filter(F.col("_lag").isNotNull())
+    changes = known.select(
+        "group_id", "poll", (F.col("_lag") - F.coalesce(F.lag("_lag").over(so_far), F.lit(0))).alias("change")
+    ).groupBy("group_id", "poll").agg(F.sum("change").alias("change"))
+    last = ends.agg(F.max("poll")).scalar()
+    changes = changes.filter(F.col("poll") <= last)
+    spread = changes.groupBy("group_id").agg(F.min("poll").alias("_first"))
+    polls = spread.select("group_id", F.explode(F.sequence("_first", last, step)).alias("poll"))
+    total = Window.partitionBy("group_id").orderBy("poll")
+    return polls.join(changes, ["group_id", "poll"], "left").select(
+        "group_id", "poll", F.sum(F.coalesce("change", F.lit(0))).over(total).alias("total_lag")
     )
 
 
@@ -209,10 +213,10 @@ def stall_count(history: DataFrame, expected: int, limit: int = 10, order: str =
 def replay_window(log: DataFrame, committed: DataFrame) -> DataFrame:
     """Records read again after a crash: those at or above the committed offset (ST5, U2).
 
-    A partition without a commit starts over. The committed side has one row per partition of the
-    log; its size is measured before the join.
+    A partition without a commit starts over. The join is planned from the sizes seen at its
+    shuffle; nothing is kept between calls.
     """
-    start = with_known_size(committed.select(*POSITION, "committed_offset"))
+    start = committed.select(*POSITION, "committed_offset")
     return (
         log.join(start, POSITION, "left")
         .filter(F.col("offset") >= F.coalesce("committed_offset", F.lit(0)))
@@ -223,37 +227,41 @@ def replay_window(log: DataFrame, committed: DataFrame) -> DataFrame:
 def offset_gaps(log: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     """Runs of missing offsets.
 
-    Each partition is cut into blocks of ``block`` offsets, and each block into words of 64 bits,
-    one per offset seen; a record delivered twice sets its bit once. First offset, last offset and
-    bit count of the blocks show which have holes, and which offsets lie missing between them. Only
-    rows of blocks with holes are then sorted, each block on its own, so neither a dense log nor
-    one large partition is shuffled whole.
+    The log is read once and brought down to words of 64 bits, one bit per offset seen; a record
+    delivered twice sets its bit once. Gaps inside a word come from its bits, gaps between words
+    from the next word of the same block of ``block`` offsets, gaps between blocks from their edges.
+    Windows go over the words of a block and over blocks, never over the records of a partition.
     """
     key = [*POSITION, "_block"]
-    cut = log.select(*POSITION, "offset", F.floor(F.col("offset") / block).alias("_block"))
-    words = cut.groupBy(*key, F.shiftright("offset", 6).alias("_word")).agg(
-        F.min("offset").alias("first"),
-        F.max("offset").alias("last"),
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("offset", F.lit(64)).cast("int"))).alias("bits"),
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("offset", F.lit(64)).cast("int"))
+    words = (
+        log.select(*POSITION, "offset", F.floor(F.col("offset") / block).alias("_block"))
+        .groupBy(*key, F.shiftright("offset", 6).alias("_word"))
+        .agg(F.min("offset").alias("first"), F.max("offset").alias("last"), F.bit_or(bit).alias("bits"))
     )
-    edges = with_known_size(
-        words.groupBy(*key).agg(
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
-            F.sum(F.bit_count("bits")).alias("n"),
-        )
-    )
-    holed = edges.filter(F.col("n") <= F.col("last") - F.col("first")).select(*key)
-    within = Window.partitionBy(*key).orderBy("offset")
-    inside = cut.join(holed, key, "left_semi").select(
-        *POSITION, "offset", F.lead("offset").over(within).alias("next_offset")
+    pair = lambda a, b: F.struct(a.alias("offset"), b.alias("next_offset"))
+    seen = F.filter(
+        F.sequence("first", "last"), lambda o: F.getbit("bits", F.pmod(o, F.lit(64)).cast("int")) == 1
     )
+    inside = F.when(
+        F.bit_count("bits") <= F.col("last") - F.col("first"),
+        F.zip_with(F.slice(seen, 1, F.size(seen) - 1), F.slice(seen, 2, F.size(seen)), pair),
+    ).otherwise(F.array())
+    within = Window.partitionBy(*key).orderBy("_word")
+    after = F.array(pair(F.col("last"), F.lead("first").over(within)))
+    of_words = words.select(*POSITION, F.concat(inside, after).alias("_pairs"))
+    edges = words.groupBy(*key).agg(F.min("first").alias("first"), F.max("last").alias("last"))
     along = Window.partitionBy(*POSITION).orderBy("_block")
-    between = edges.select(
-        *POSITION, F.col("last").alias("offset"), F.lead("first").over(along).alias("next_offset")
+    of_blocks = edges.select(
+        *POSITION, F.array(pair(F.col("last"), F.lead("first").over(along))).alias("_pairs")
     )
     missing = F.col("next_offset") - F.col("offset") - 1
-    return inside.unionByName(between).filter(missing > 0).withColumn("n_missing", missing)
+    return (
+        of_words.unionByName(of_blocks)
+        .select(*POSITION, F.inline("_pairs"))
+        .filter(missing > 0)
+        .withColumn("n_missing", missing)
+    )
 
 
 def gap_totals(log: DataFrame) -> DataFrame:

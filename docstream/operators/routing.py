@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docstream.functions.names import shard_of
 
-# Targets above this number are joined instead of being placed in the plan.
-INLINE_TARGETS = 4096
+# Copies of each target that documents of its collection are dealt to.
+SALTS = 32
 
 
 def assign_shard(df: DataFrame, num_shards: int, key: str = "key", method: str = "murmur3") -> DataFrame:
@@ -23,21 +23,23 @@ def every_shard(df: DataFrame, num_shards: int) -> DataFrame:
     return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(num_shards - 1))).alias("shard_id"))
 
 
-def fan_out(df: DataFrame, targets: DataFrame, inline_limit: int = INLINE_TARGETS) -> DataFrame:
-    """One copy of every row per target, with the target's columns.
+def fan_out(df: DataFrame, targets: DataFrame, key: str = "key", salts: int = SALTS) -> DataFrame:
+    """One copy of every row per target of its own collection, with the target's columns.
 
-    The targets are counted first. Up to ``inline_limit`` of them are one array value that each
-    task expands. More are dealt to blocks, and rows meet each block by an equi-join on its number.
+    An equi-join on the collection and a salt: rows get a salt by hash of their key, and the
+    targets, a few for each collection, are repeated for every salt. So a collection with most of
+    the rows is met by many tasks, and adaptive execution broadcasts the targets where they are
+    small. The plan is the same for every number of targets.
     """
-    columns = targets.columns
-    count = targets.count()
-    if count <= inline_limit:
-        listed = targets.agg(F.sort_array(F.collect_list(F.struct(*columns)))).scalar()
-        return df.select("*", F.inline(listed))
-    blocks = -(-count // inline_limit)
-    dealt = targets.withColumn("_block", F.pmod(F.xxhash64(*columns), F.lit(blocks)))
-    numbers = F.sequence(*[F.lit(n).cast("bigint") for n in (0, blocks - 1)])
-    return df.select("*", F.explode(numbers).alias("_block")).join(dealt, "_block").drop("_block")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return salted.join(targets.withColumn("_salt", numbers), ["collection", "_salt"]).drop("_salt")
+
+
+def fan_out_counts(df: DataFrame, targets: DataFrame) -> DataFrame:
+    """Copies that every target gets: rows are counted per collection, and the counts are joined."""
+    counts = df.groupBy("collection").agg(F.count(F.lit(1)).alias("n_docs"))
+    return targets.join(counts, "collection")
 
 
 def is_eligible(all_shards: bool, clustered: bool = True) -> Column:

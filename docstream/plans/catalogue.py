@@ -16,8 +16,13 @@ from docstream.plans.inputs import (
     damaged_value,
     document_log,
     envelope_log,
+    envelope_value,
     event_log,
+    gapped_key,
     log_of,
+    lost_copy,
+    shifted_log,
+    shifted_time,
     stream_events,
     table,
     targets_of,
@@ -27,7 +32,6 @@ from docstream.sources.generators import random_documents, sample_documents
 from docstream.sources.json_files import as_records, read_documents, write_documents
 from docstream.sources.record_log import with_positions
 from docstream.streaming.control import Ingest, ingest_status
-from docstream.streaming.ingest import stream_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +110,22 @@ def current_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_current(spark, sf_dir))
 
 
+@registered
+def current_docs_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 with clocks that run backwards: within a partition the offset decides, not the time."""
+    log = documents.decode(shifted_log(spark, sf_dir), "json", EVENT_DOC)
+    return _shown(upsert.latest_by_key(log))
+
+
+@registered
+def current_docs_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 by document id: from the document, else the record key; records with neither are left out."""
+    log = envelope_log(spark, sf_dir, with_gaps=True)
+    found = documents.identify(documents.classify(log, "json", ENVELOPE_DOC), "id")
+    current = upsert.latest_by_key(documents.accepted(found).drop("value"))
+    return current.select("key", "topic", "partition", "offset", F.col("doc.amount").alias("amount"))
+
+
 @registered
 def current_docs_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 by ranking with a partial limit per task."""
@@ -130,8 +150,9 @@ def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot up to a moment merged with the changes since."""
     log = _decoded(spark, sf_dir)
-    snapshot = upsert.latest_by_key(log.filter(F.col("timestamp") < _moment()))
-    return _shown(upsert.merge_latest(snapshot, log.filter(F.col("timestamp") >= _moment())))
+    snapshot = upsert.latest_per_partition(log.filter(F.col("timestamp") < _moment()))
+    merged = upsert.merge_latest(snapshot, log.filter(F.col("timestamp") >= _moment()))
+    return _shown(upsert.between_partitions(merged))
 
 
 @registered
@@ -163,7 +184,9 @@ def conversation_latest_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def page_latest_by_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest page per host, with its whole HTML."""
-    host = F.regexp_extract("url", "^[a-z]+://([^/?#:]+)", 1)
+    # A URL without a host stands for itself.
+    found = F.regexp_extract("url", "^[a-z]+://([^/?#:]+)", 1)
+    host = F.when(found != "", found).otherwise(F.col("url"))
     pages = table(spark, sf_dir, "pages").withColumn("host", host)
     return upsert.latest_by_key(pages, ("host",), ("page_id",)).select(
         "host", "page_id", "url", "html"
@@ -260,8 +283,9 @@ def field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One schema for all documents of the log."""
-    return documents.infer_schema(envelope_log(spark, sf_dir))
+    """One merged type per field over two kinds of documents."""
+    both = upsert.union_logs(document_log(spark, sf_dir), envelope_log(spark, sf_dir))
+    return documents.inferred_fields(both)
 
 
 @registered
@@ -296,11 +320,19 @@ def shard_route_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, sf_dir: str, routing_: str) -> tuple[DataFrame, DataFrame]:
+    """The collection after a streaming run, and its documents as stored in a folder per shard."""
+    job = _ingest(spark, sf_dir, num_shards=SHARDS, routing=routing_)
+    path = scratch_dir(spark, "shards")
+    job.store.write_shards(path)
+    return job.store.current(), spark.read.parquet(path)
+
+
 @registered
 def shard_sum_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard counts add up to the number of documents."""
-    counts = audit.shard_counts(routing.assign_shard(_keys_only(spark, sf_dir), SHARDS))
-    return audit.shard_sum_check(counts, audit.doc_count(_decoded(spark, sf_dir)))
+    """Documents counted in the stored shards add up to those of the collection."""
+    current, stored = _stored(spark, sf_dir, "hash")
+    return audit.shard_sum_check(audit.shard_counts(stored), audit.doc_count(current))
 
 
 @registered
@@ -315,26 +347,39 @@ def fanout_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_current(spark, sf_dir)).transform(lambda d: routing.every_shard(d, SHARDS))
 
 
+def _collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document keys with their collection."""
+    return _keys_only(spark, sf_dir).withColumn(
+        "collection", F.concat(F.lit("c"), F.pmod(F.col("key").cast("bigint"), F.lit(2)).cast("string"))
+    )
+
+
+def _cores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.eligible_targets(targets_of(spark, sf_dir), all_shards=True).select(
+        "collection", "shard_id", "core"
+    )
+
+
+@registered
+def fanout_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document on every eligible core of its own collection."""
+    return routing.fan_out(_collections(spark, sf_dir), _cores(spark, sf_dir))
+
+
 @registered
 def fanout_target_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per eligible core in all-shard mode."""
-    cores = routing.eligible_targets(targets_of(spark, sf_dir), all_shards=True).select(
-        "collection", "shard_id", "core"
-    )
-    return (
-        routing.fan_out(_keys_only(spark, sf_dir), cores)
-        .groupBy("collection", "shard_id", "core")
-        .agg(F.count(F.lit(1)).alias("n_docs"))
+    return routing.fan_out_counts(_collections(spark, sf_dir), _cores(spark, sf_dir)).select(
+        "collection", "shard_id", "core", "n_docs"
     )
 
 
 @registered
 def shard_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In routed mode no shard holds everything, so every shard is reported."""
-    counts = audit.shard_counts(
-        routing.assign_shard(_keys_only(spark, sf_dir), SHARDS, method="md5")
-    )
-    return audit.shard_count_check(counts, audit.doc_count(_decoded(spark, sf_dir)))
+    """Every stored shard must hold every document; the copy in shard 2 has lost some."""
+    current, stored = _stored(spark, sf_dir, "all")
+    damaged = stored.filter(~lost_copy())
+    return audit.shard_count_check(audit.shard_counts(damaged), audit.doc_count(current))
 
 
 @registered
@@ -357,16 +402,27 @@ def inactive_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stored copies of every shard, one of them damaged, counted and compared."""
+    _, stored = _stored(spark, sf_dir, "hash")
+    copies = routing.assign_shard(stored.select("key"), SHARDS, method="md5").select("*", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("core"))
+    kept = copies.filter(~(lost_copy() & (F.col("core") == "b")))
+    found = kept.groupBy("shard_id", "core").agg(F.count(F.lit(1)).alias("num_docs"))
+    # A copy that has lost everything counts as empty.
+    counts = copies.select("shard_id", "core").distinct().join(found, ["shard_id", "core"], "left").fillna(0)
+    return audit.replica_mismatches(counts.withColumn("collection", F.lit(COLLECTION)))
+
+
 @registered
 def replica_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards whose replicas differ."""
-    return audit.replica_mismatches(targets_of(spark, sf_dir))
+    """Shards whose stored copies differ."""
+    return _mismatches(spark, sf_dir)
 
 
 @registered
 def error_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per collection."""
-    return audit.error_report(audit.replica_mismatches(targets_of(spark, sf_dir)))
+    """One message per shard that differs."""
+    return audit.error_report(_mismatches(spark, sf_dir))
 
 
 @registered
@@ -502,8 +558,11 @@ def group_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def ingest_status_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST10: the status row of a stopped job at a moment."""
-    return ingest_status(_lag(spark, sf_dir), "STOPPED", "core1").drop("consumer_group_lag")
+    """ST10: the status row of a stopped job at a moment, with the lag of every partition."""
+    status = ingest_status(_lag(spark, sf_dir), "STOPPED", "core1")
+    entries = F.array_sort(F.map_entries("consumer_group_lag"))
+    shown = F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return status.withColumn("consumer_group_lag", shown)
 
 
 # Rates -----------------------------------------------------------------------------------------
@@ -580,27 +639,36 @@ def seeded_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams ---------------------------------------------------------------------------------------
 
 
-TOPICS = ("click", "error", "purchase", "signup", "view")
-
+def _ingest(
+    spark: SparkSession,
+    sf_dir: str,
+    value: Column | str = "props",
+    log: Callable[[DataFrame], DataFrame] | None = None,
+    run: bool = True,
+    **settings,
+) -> Ingest:
+    """Run the ingest job over the events to their end, into a fresh folder.
 
-def _ingest(spark: SparkSession, sf_dir: str, value: Column | str = "props", **settings) -> Ingest:
-    """Run the ingest job over the events to their end, into a fresh folder."""
-    base = scratch_dir(spark, "ingest")
+    The topics are those of the table: every event type.
+    """
+    log = log or (lambda events: event_log(events, value))
+    events = table(spark, sf_dir, "events")
+    topics = [row[0] for row in events.select("event_type").filter("event_type IS NOT NULL").distinct().collect()]
     config = IngestConfig(
-        collection=base.rsplit("/", 1)[-1],
-        topics=TOPICS,
+        collection=COLLECTION,
+        topics=sorted(topics) or ["none"],
         source=f"{sf_dir}/events.parquet",
-        store=base,
-        schema=EVENT_DOC,
-        **settings,
+        store=scratch_dir(spark, "ingest"),
+        **{"schema": EVENT_DOC, **settings},
     )
     job = Ingest(
         spark,
         config,
-        stream=event_log(stream_events(spark, sf_dir), value),
-        log=event_log(table(spark, sf_dir, "events"), value),
+        stream=log(stream_events(spark, sf_dir)),
+        log=log(events),
     )
-    job.run_to_end()
+    if run:
+        job.run_to_end()
     return job
 
 
@@ -619,6 +687,34 @@ def stream_compacted_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(job.store.current())
 
 
+@registered
+def stream_docs_by_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1, ST1, U3 with clocks that run backwards: the collection after a run, compacted."""
+    job = _ingest(spark, sf_dir, log=lambda e: event_log(e.withColumn("ts", shifted_time())), num_shards=SHARDS)
+    job.store.compact()
+    return _shown(job.store.current())
+
+
+def _by_id(spark: SparkSession, sf_dir: str) -> Ingest:
+    log = lambda e: event_log(e, envelope_value(with_gaps=True), key=gapped_key())
+    return _ingest(spark, sf_dir, log=log, schema=ENVELOPE_DOC, id_field="id", num_shards=SHARDS)
+
+
+@registered
+def stream_docs_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1, ST1 by document id."""
+    current = _by_id(spark, sf_dir).store.current()
+    return current.select("key", "topic", "partition", "offset", F.col("doc.amount").alias("amount"))
+
+
+@registered
+def stream_nameless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with neither a document id nor a key are set aside."""
+    return _by_id(spark, sf_dir).store.quarantine().select(
+        "topic", "partition", "offset", "key", "value", "error_class", "error_detail"
+    )
+
+
 @registered
 def stream_all_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2, A8, ST1: documents per shard after a streaming run in all-shard mode."""
@@ -628,30 +724,29 @@ def stream_all_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a streaming run sets aside."""
+    """What a streaming run sets aside; of the reason in words, whether there is one."""
     job = _ingest(spark, sf_dir, damaged_value())
-    return job.store.quarantine().select("topic", "partition", "offset", "key", "value", "error_class")
+    return job.store.quarantine().select(
+        "topic", "partition", "offset", "key", "value", "error_class", F.col("error_detail").isNotNull().alias("has_detail")
+    )
 
 
 @registered
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST7, ST11: lag of every partition after the run; what is left are bad records at the end."""
-    job = _ingest(spark, sf_dir, damaged_value())
-    return job.lag().select("topic", "partition", "end_offset", "committed_offset", "lag")
+    return _ingest(spark, sf_dir, damaged_value()).lag()
+
+
+@registered
+def stream_lag_before_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST11: lag of a job that has not run yet: everything the log holds."""
+    return offsets.lag_summary(_ingest(spark, sf_dir, run=False).lag())
 
 
 @registered
 def stream_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST3: commit rounds published by a stream over the events themselves."""
-    base = scratch_dir(spark, "ledger")
-    query = (
-        stream_ledger(event_log(stream_events(spark, sf_dir)), "1 day", "1 hour")
-        .writeStream.option("checkpointLocation", f"{base}/checkpoint")
-        .option("path", f"{base}/ledger")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{base}/ledger").select(
-        F.unix_seconds("round").alias("round_s"), "topic", "partition", "next_offset", "n_ok"
+    """ST3, W2: commit rounds of a streaming run over a damaged log: a batch is a round."""
+    ledger = _ingest(spark, sf_dir, damaged_value()).store.ledger()
+    return ledger.groupBy("group_id", "topic", "partition").agg(
+        F.max("next_offset").alias("next_offset"), F.sum("n_ok").alias("n_ok"), F.sum("n_bad").alias("n_bad")
     )

@@ -35,14 +35,19 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_log(events: DataFrame, value: Column | str = "props", partition: Column | None = None) -> DataFrame:
+def event_log(
+    events: DataFrame,
+    value: Column | str = "props",
+    partition: Column | None = None,
+    key: Column | str = "user_id",
+) -> DataFrame:
     """Record log of events: topic per event type, key per user, offset is the event id."""
     return as_record_log(
         events,
         topic="event_type",
         partition=F.pmod(F.col("user_id"), F.lit(LOG_PARTITIONS)) if partition is None else partition,
         offset="event_id",
-        key="user_id",
+        key=key,
         value=value,
         timestamp="ts",
     )
@@ -69,13 +74,35 @@ def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(table(spark, sf_dir, "events"), damaged_value())
 
 
-def envelope_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as whole documents that carry their id; every 41st id is wrong."""
-    doc_id = F.concat(
-        F.col("user_id").cast("string"), F.when(F.col("event_id") % 41 == 0, "x").otherwise("")
-    )
-    value = F.to_json(F.struct(doc_id.alias("id"), "event_type", F.col("value").alias("amount")))
-    return event_log(table(spark, sf_dir, "events"), value)
+def envelope_value(with_gaps: bool = False) -> Column:
+    """Events as whole documents that carry their id; every 41st id is wrong.
+
+    ``with_gaps``: every 43rd document has no id.
+    """
+    number = F.col("event_id")
+    doc_id = F.concat(F.col("user_id").cast("string"), F.when(number % 41 == 0, "x").otherwise(""))
+    if with_gaps:
+        doc_id = F.when(number % 43 != 0, doc_id)
+    return F.to_json(F.struct(doc_id.alias("id"), "event_type", F.col("value").alias("amount")))
+
+
+def gapped_key() -> Column:
+    """User as key; every third event has none."""
+    return F.when(F.col("event_id") % 3 != 0, F.col("user_id"))
+
+
+def envelope_log(spark: SparkSession, sf_dir: str, with_gaps: bool = False) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return event_log(events, envelope_value(with_gaps), key=gapped_key() if with_gaps else "user_id")
+
+
+def shifted_time() -> Column:
+    """Event times as clocks that run backwards by up to six days tell them."""
+    return F.col("ts") - F.make_dt_interval(days=(F.col("event_id") % 7).cast("int"))
+
+
+def shifted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log(table(spark, sf_dir, "events").withColumn("ts", shifted_time()))
 
 
 def document_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +119,11 @@ def document_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lost_copy() -> Column:
+    """Documents that the damaged copy of shard 2 has lost: those with odd keys."""
+    return (F.col("shard_id") == 2) & (F.col("key").cast("bigint") % 2 == 1)
+
+
 def targets_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replicas of two collections of four shards, dealt from the suppliers."""
     number = F.col("s_suppkey")

@@ -35,6 +35,41 @@ envelope AS (
          event_type, value AS amount
   FROM events)"""
 
+NAMED = """
+named AS (
+  SELECT *, coalesce(id, key) AS own,
+         replace(to_json(struct_pack(id := id, event_type := event_type, amount := amount)), '"id":null,', '') AS value
+  FROM (SELECT event_type AS topic, CAST(user_id % 10 AS INTEGER) AS partition, event_id AS "offset",
+               ts AS timestamp,
+               CASE WHEN event_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END AS key,
+               CASE WHEN event_id % 43 <> 0 THEN
+                 CAST(user_id AS VARCHAR) || CASE WHEN event_id % 41 = 0 THEN 'x' ELSE '' END END AS id,
+               event_type, value AS amount
+        FROM events))"""
+
+BY_ID = f"""
+WITH {NAMED},
+arrived AS (
+  SELECT own AS key, topic, partition, max("offset") AS "offset",
+         arg_max(timestamp, "offset") AS timestamp, arg_max(amount, "offset") AS amount
+  FROM named WHERE own IS NOT NULL GROUP BY own, topic, partition)
+SELECT key, topic, partition, "offset", amount FROM arrived
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY timestamp DESC, topic DESC, partition DESC) = 1"""
+
+BY_OFFSET = """
+WITH shifted AS (
+  SELECT event_type AS topic, CAST(user_id % 10 AS INTEGER) AS partition, event_id AS "offset",
+         CAST(user_id AS VARCHAR) AS key, props, ts - to_days(CAST(event_id % 7 AS INTEGER)) AS ts
+  FROM events),
+arrived AS (
+  SELECT key, topic, partition, max("offset") AS "offset", arg_max(ts, "offset") AS ts,
+         arg_max(props, "offset") AS props
+  FROM shifted GROUP BY key, topic, partition)
+SELECT key, topic, partition, "offset", epoch_us(ts) AS ts_us,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+FROM arrived
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, topic DESC, partition DESC) = 1"""
+
 TARGETS = """
 targets AS (
   SELECT 'c' || CAST(s_suppkey % 2 AS VARCHAR) AS collection,
@@ -159,6 +194,19 @@ SELECT field,
 FROM fields GROUP BY 1, 2"""
 
 
+def _inferred() -> str:
+    return f"""
+WITH profile AS ({_field_profile()}),
+kinds AS (
+  SELECT field, list_sort(list(DISTINCT json_type) FILTER (json_type <> 'null')) AS kinds,
+         CAST(sum(n_docs) AS BIGINT) AS n_docs FROM profile GROUP BY field)
+SELECT field,
+       CASE WHEN kinds IS NULL OR len(kinds) = 0 THEN 'null' WHEN len(kinds) = 1 THEN kinds[1]
+            WHEN len(list_filter(kinds, lambda k: k NOT IN ('integer', 'number'))) = 0 THEN 'number'
+            ELSE 'mixed' END AS json_type, n_docs
+FROM kinds"""
+
+
 def oracle_sql() -> dict[str, str]:
     ledger = f"WITH {LOG}, {LEDGER}"
     lag = f"{ledger}, {COMMITTED}, {LAG}"
@@ -176,14 +224,15 @@ SELECT topic, partition, "offset", key, value, error_class FROM judged
 WHERE error_class IS NOT NULL"""
     shards = f"SELECT {SHARD} AS shard_id, count(DISTINCT key) AS n_docs FROM log GROUP BY 1"
     eligible = "SELECT * FROM targets WHERE replica_type = 'NRT' OR is_leader"
-    mismatch = """
-SELECT collection, shard_id, min(num_docs) AS min_docs, max(num_docs) AS max_docs,
-       count(*) AS n_replicas, count(*) FILTER (num_docs IS NULL) AS n_unknown
-FROM targets GROUP BY collection, shard_id
-HAVING min(num_docs) <> max(num_docs) OR count(*) FILTER (num_docs IS NULL) > 0"""
+    mismatch = f"""
+SELECT 'events' AS collection, 2 AS shard_id, count(*) FILTER (CAST(key AS BIGINT) % 2 = 0) AS min_docs,
+       count(*) AS max_docs, CAST(2 AS BIGINT) AS n_replicas, CAST(0 AS BIGINT) AS n_unknown
+FROM (SELECT DISTINCT key FROM log) WHERE {SHARD} = 2 HAVING min_docs < max_docs"""
     return {
         "current_docs": CURRENT,
         "current_docs_ranked": CURRENT,
+        "current_docs_by_offset": BY_OFFSET,
+        "current_docs_by_id": BY_ID,
         "current_docs_per_topic": f"""
 WITH {LOG}
 SELECT key, topic, arg_max(partition, "offset") AS partition, max("offset") AS "offset",
@@ -202,7 +251,7 @@ FROM documents GROUP BY 1""",
 SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role, arg_max(text, turn) AS text
 FROM conversations GROUP BY conv_id""",
         "page_latest_by_host": """
-SELECT regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host, max(page_id) AS page_id,
+SELECT coalesce(nullif(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1), ''), url) AS host, max(page_id) AS page_id,
        arg_max(url, page_id) AS url, arg_max(html, page_id) AS html
 FROM pages GROUP BY 1""",
         "key_partition_violations": """
@@ -236,6 +285,7 @@ fields AS (
   UNION ALL SELECT "offset", 'amount', CAST(amount AS VARCHAR) FROM envelope)
 SELECT "offset", field, CASE WHEN TRY_CAST(v AS DOUBLE) IS NULL THEN v END AS text,
        TRY_CAST(v AS DOUBLE) AS number FROM fields""",
+        "infer_schema": _inferred(),
         "field_profile": _field_profile(),
         "key_id_mismatch": f"""
 WITH {ENVELOPE}
@@ -254,14 +304,22 @@ FROM log CROSS JOIN range(4) t(s) GROUP BY 1""",
         "fanout_documents": f"""
 WITH {LOG}, current AS ({LATEST_LOG})
 SELECT current.*, CAST(s AS INTEGER) AS shard_id FROM current CROSS JOIN range(4) t(s)""",
-        "fanout_target_counts": f"""
+        "fanout_targets": f"""
 WITH {LOG}, {TARGETS}
-SELECT collection, shard_id, core, (SELECT count(DISTINCT key) FROM log) AS n_docs
-FROM targets WHERE replica_type = 'NRT' OR is_leader""",
+SELECT collection, shard_id, core, key
+FROM targets JOIN (SELECT DISTINCT key, 'c' || CAST(CAST(key AS BIGINT) % 2 AS VARCHAR) AS collection FROM log)
+  USING (collection)
+WHERE replica_type = 'NRT' OR is_leader""",
+        "fanout_target_counts": f"""
+WITH {LOG}, {TARGETS},
+counts AS (
+  SELECT 'c' || CAST(CAST(key AS BIGINT) % 2 AS VARCHAR) AS collection, count(DISTINCT key) AS n_docs FROM log GROUP BY 1)
+SELECT collection, shard_id, core, n_docs FROM targets JOIN counts USING (collection)
+WHERE replica_type = 'NRT' OR is_leader""",
         "shard_count_check": f"""
-WITH {LOG}, counts AS ({shards})
-SELECT shard_id, n_docs, (SELECT count(DISTINCT key) FROM log) AS expected FROM counts
-WHERE n_docs <> (SELECT count(DISTINCT key) FROM log)""",
+WITH {LOG}
+SELECT 2 AS shard_id, count(DISTINCT key) FILTER (CAST(key AS BIGINT) % 2 = 0) AS n_docs,
+       count(DISTINCT key) AS expected FROM log""",
         "eligible_targets": f"WITH {TARGETS} {eligible}",
         "mode_precondition": f"""
 WITH {TARGETS}
@@ -272,12 +330,12 @@ FROM targets GROUP BY collection""",
 WITH {TARGETS}
 SELECT collection, shard_id, core, state FROM targets
 WHERE collection = 'c0' AND state <> 'active'""",
-        "replica_mismatch": f"WITH {TARGETS} {mismatch}",
+        "replica_mismatch": f"WITH {LOG} {mismatch}",
         "error_report": f"""
-WITH {TARGETS}, wrong AS ({mismatch})
-SELECT collection, string_agg('shard ' || shard_id || ': between ' || min_docs || ' and ' ||
-       max_docs || ' documents', chr(10) ORDER BY shard_id) AS report
-FROM wrong GROUP BY collection""",
+WITH {LOG}, wrong AS ({mismatch})
+SELECT collection, shard_id,
+       'shard ' || shard_id || ': between ' || min_docs || ' and ' || max_docs || ' documents' AS message
+FROM wrong""",
         "doc_count": f"WITH {LOG} SELECT count(DISTINCT key) AS n_docs FROM log",
         "seeded_vs_end": f"""
 WITH {LOG},
@@ -309,7 +367,7 @@ committed AS (
 ends AS (
   SELECT topic, partition, max("offset") + 1 AS end_offset
   FROM log WHERE timestamp < {early} GROUP BY 1, 2),
-expected AS (SELECT * FROM ends CROSS JOIN (SELECT DISTINCT group_id FROM committed))
+expected AS (SELECT * FROM ends JOIN (SELECT DISTINCT group_id, topic FROM committed) USING (topic))
 SELECT group_id, topic, partition, end_offset, coalesce(committed_offset, 0) AS committed_offset,
        end_offset - coalesce(committed_offset, 0) AS lag,
        topic || '-' || CAST(partition AS VARCHAR) || ':' || group_id AS lag_key
@@ -354,7 +412,8 @@ SELECT core, 'KafkaImporterGroup:' || collection AS routed_group,
        'KafkaImporterGroup:' || collection || ':' || core AS all_shard_group FROM targets""",
         "ingest_status_report": f"""
 {lag}
-SELECT 'core1' AS current_core, 'STOPPED' AS status, {SUMMARY},
+SELECT 'core1' AS current_core, 'STOPPED' AS status,
+       string_agg(lag_key || '=' || lag, ',' ORDER BY lag_key) AS consumer_group_lag, {SUMMARY},
        false AS should_run, true AS leader, true AS eligible FROM lags""",
         "interval_metrics": f"""
 WITH {LOG},
@@ -390,20 +449,38 @@ SELECT 'docs' AS topic, CAST(doc_id % 10 AS INTEGER) AS partition, doc_id // 10
        CAST(doc_id AS VARCHAR) AS key, doc_id, lang, source, n_chars, text FROM documents""",
         "stream_current_docs": CURRENT,
         "stream_compacted_docs": CURRENT,
+        "stream_docs_by_offset": BY_OFFSET,
+        "stream_docs_by_id": BY_ID,
+        "stream_nameless": f"""
+WITH {NAMED}
+SELECT topic, partition, "offset", key, value, 'reject_error' AS error_class,
+       'neither a document id nor a key' AS error_detail
+FROM named WHERE own IS NULL""",
         "stream_all_shards": f"""
 WITH {LOG}
 SELECT CAST(s AS INTEGER) AS shard_id, count(DISTINCT key) AS n_docs
 FROM log CROSS JOIN range(4) t(s) GROUP BY 1""",
-        "stream_quarantine": quarantine,
+        "stream_quarantine": f"""
+WITH {DAMAGED}
+SELECT topic, partition, "offset", key, value, error_class, true AS has_detail FROM judged
+WHERE error_class IS NOT NULL""",
         "stream_lag": f"""
+WITH {DAMAGED}, ends AS (
+SELECT 'KafkaImporterGroup:events' AS group_id, topic, partition, max("offset") + 1 AS end_offset,
+       coalesce(max("offset") FILTER (error_class IS NULL) + 1, 0) AS committed_offset
+FROM judged GROUP BY topic, partition)
+SELECT *, end_offset - committed_offset AS lag,
+       topic || '-' || CAST(partition AS VARCHAR) || ':' || group_id AS lag_key FROM ends""",
+        "stream_lag_before_start": f"""
+WITH {LOG}, lags AS (
+SELECT 'KafkaImporterGroup:events' AS group_id, topic, partition, max("offset") + 1 AS lag,
+       topic || '-' || CAST(partition AS VARCHAR) || ':KafkaImporterGroup:events' AS lag_key
+FROM log GROUP BY topic, partition)
+SELECT {SUMMARY} FROM lags""",
+        "stream_commit_ledger": f"""
 WITH {DAMAGED}
-SELECT topic, partition, max("offset") + 1 AS end_offset,
-       coalesce(max("offset") FILTER (error_class IS NULL) + 1, 0) AS committed_offset,
-       max("offset") + 1 - coalesce(max("offset") FILTER (error_class IS NULL) + 1, 0) AS lag
+SELECT 'KafkaImporterGroup:events' AS group_id, topic, partition,
+       max("offset") FILTER (error_class IS NULL) + 1 AS next_offset,
+       count(*) FILTER (error_class IS NULL) AS n_ok, count(*) FILTER (error_class IS NOT NULL) AS n_bad
 FROM judged GROUP BY topic, partition""",
-        "stream_commit_ledger": f"""
-WITH {LOG}, last AS (SELECT max(timestamp) - INTERVAL 1 HOUR AS mark FROM log)
-SELECT CAST(epoch(date_trunc('day', timestamp)) AS BIGINT) AS round_s, topic, partition,
-       max("offset") + 1 AS next_offset, count(*) AS n_ok
-FROM log, last WHERE date_trunc('day', timestamp) + INTERVAL 1 DAY <= mark GROUP BY 1, 2, 3""",
     }

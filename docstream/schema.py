@@ -60,5 +60,5 @@ SAMPLE_DOCUMENT = T.StructType(
 
 LOG_POSITION = ("topic", "partition")
 
-# A total order over record versions, also for a key seen in several topics.
-VERSION_ORDER = ("timestamp", "topic", "partition", "offset")
+# Order between the last arrivals of a key in several partitions.
+PARTITION_ORDER = ("timestamp", *LOG_POSITION)

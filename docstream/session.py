@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,19 +40,29 @@ def shuffle_partitions(spark: SparkSession, n: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a local one only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared if shared else tempfile.mkdtemp(prefix="docstream-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+_local: dict[str, str] = {}
+
 
+def _local_root(spark: SparkSession) -> str:
+    """A folder of this machine, for sessions that run on it alone; removed when Python ends."""
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="docstream-")
+        atexit.register(shutil.rmtree, _local[application], ignore_errors=True)
+    return _local[application]
 
-def with_known_size(df: DataFrame) -> DataFrame:
-    """Materialise a small side so that its exact size, not a guess, decides on a broadcast.
 
-    The cached relation reports its real size: below ``autoBroadcastJoinThreshold`` the join
-    broadcasts it, above that both sides are shuffled.
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A path that does not exist yet under ``spark.checkpoint.dir``; its content goes when the JVM ends.
+
+    Where that is unset, a local folder; on a cluster it has to be set.
     """
-    cached = df.persist()
-    cached.count()
-    return cached
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    path = f"{(shared or _local_root(spark)).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{path}/data"

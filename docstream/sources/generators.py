@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docstream.constants import SAMPLE_IDS, SAMPLE_TITLE
+from docstream.constants import SAMPLE_TITLE
 from docstream.functions.names import base64_text, date_text, sample_id, stable_uuid
 
 _INT_RANGE = 1 << 32
@@ -79,10 +79,8 @@ def sample_documents(
 
 
 def probe_documents(spark: SparkSession, moment: Column) -> DataFrame:
-    """The two documents of fixed id that show which shard a key goes to."""
-    return spark.createDataFrame([(i,) for i in SAMPLE_IDS], "id string").select(
-        "id", F.lit(SAMPLE_TITLE).alias("title"), date_text(moment).alias("date")
-    )
+    """Two documents whose ids are the same in every run, to show which shard a key goes to."""
+    return sample_documents(numbers(spark, 2), moment)
 
 
 def paced_documents(spark: SparkSession, per_second: int, size: int, seed: int = 0) -> DataFrame:

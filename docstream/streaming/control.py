@@ -14,6 +14,7 @@ from docstream.constants import (
     STOPPING_MESSAGE,
     UNKNOWN_MESSAGE,
 )
+from docstream.functions.names import group_name
 from docstream.operators.offsets import end_offsets, lag_report
 from docstream.operators.routing import check_mode, is_eligible
 from docstream.sources.record_log import read_log
@@ -142,7 +143,23 @@ class Ingest:
                 [], "group_id string, topic string, partition int, committed_offset bigint"
             )
         ends = self.end_offsets(committed)
-        return lag_report(committed, ends, self.config.topics, include_uncommitted=include_uncommitted)
+        if include_uncommitted:
+            # The job's own group reads every partition of its topics, from the first record on.
+            core = F.lit(self.config.core) if self.config.core else None
+            group = group_name(F.lit(self.config.collection), core, self.config.all_shards)
+            committed = (
+                committed.unionByName(
+                    ends.select(
+                        group.alias("group_id"),
+                        "topic",
+                        "partition",
+                        F.lit(0).cast("bigint").alias("committed_offset"),
+                    )
+                )
+                .groupBy("group_id", "topic", "partition")
+                .agg(F.max("committed_offset").alias("committed_offset"))
+            )
+        return lag_report(committed, ends, self.config.topics)
 
     def end_offsets(self, committed: DataFrame) -> DataFrame:
         """Ends of the log (A2).

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docstream.config import IngestConfig
 from docstream.functions.names import group_name
-from docstream.operators.documents import accepted, classify, is_accepted
+from docstream.operators.documents import accepted, classify, identify, is_accepted
 from docstream.operators.offsets import POSITION, in_topics
 from docstream.operators.routing import assign_shard
 from docstream.sources.record_log import stream_log
@@ -53,7 +53,8 @@ def batch_writer(config: IngestConfig, transform: Transform | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         started_ms = int(time.time() * 1000)
         store = store_of(batch.sparkSession, config)
-        judged = classify(batch, config.format, config.schema).withColumn("accepted", is_accepted())
+        judged = identify(classify(batch, config.format, config.schema), config.id_field)
+        judged = judged.withColumn("accepted", is_accepted())
         # The text is kept only where it has no document.
         rows = judged.withColumn("value", F.when(~F.col("accepted"), F.col("value")))
         if transform is not None:
@@ -61,11 +62,12 @@ def batch_writer(config: IngestConfig, transform: Transform | None = None):
         if not config.all_shards:
             rows = assign_shard(rows, config.num_shards)
         store.write_records(rows, batch_id)
-        written = store.records(batch_id - 1, batch_id)
+        columns = rows.drop("accepted").schema
+        written = store.records(batch_id - 1, batch_id, columns)
         # A transform may drop records; their offsets are done with all the same.
         counted = judged if transform is not None or written is None else written
         store.write_ledger(batch_offsets(counted, config), batch_id)
-        store.complete_batch(batch_id, started_ms)
+        store.complete_batch(batch_id, started_ms, columns)
 
     return write
 
@@ -89,6 +91,8 @@ def start_query(
     ``stream`` stands in for the configured source when the records come from elsewhere.
     """
     records = stream_log(spark, config) if stream is None else stream.filter(in_topics(config.topics))
+    if transform is None:
+        store_of(spark, config).check_schema(classify(records, config.format, config.schema).schema["doc"].dataType)
     writer = (
         records.writeStream.queryName(config.collection)
         .option("checkpointLocation", config.checkpoint)
@@ -102,17 +106,3 @@ def start_query(
 def drain(query: StreamingQuery) -> None:
     """Work off everything the source holds (ST7)."""
     query.processAllAvailable()
-
-
-def stream_ledger(stream: DataFrame, interval: str, delay: str) -> DataFrame:
-    """Commit rounds of a stream by record time (ST3).
-
-    A round appears once the watermark has passed its end; rounds still open when the query stops
-    stay unpublished and are read again.
-    """
-    return (
-        stream.withWatermark("timestamp", delay)
-        .groupBy(F.window("timestamp", interval).alias("w"), *POSITION)
-        .agg((F.max("offset") + 1).alias("next_offset"), F.count(F.lit(1)).alias("n_ok"))
-        .select(F.col("w.start").alias("round"), *POSITION, "next_offset", "n_ok")
-    )

@@ -33,11 +33,6 @@ def _row(progress) -> tuple:
     )
 
 
-def recent_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The progress reports a query still holds (a fixed number of the newest)."""
-    return spark.createDataFrame([_row(p) for p in query.recentProgress], PROGRESS)
-
-
 class RateLog(StreamingQueryListener):
     """Prints one line of rates per batch."""
 

@@ -3,13 +3,17 @@
     records/batch_id=K/accepted=true   decoded records of one batch, every version
     records/batch_id=K/accepted=false  records of the batch that were set aside
     commit_ledger/batch_id=K           next offset per (topic, partition)
-    batches/batch_id=K                 one row, written last: the batch is complete
-    snapshot/gen=G                     one row per document, bucketed by key
-    generations/gen=G                  one row, written last: the snapshot is complete
+    batches/batch_id=K                 one row, written last: the batch is complete, with its columns
+    snapshot/gen=G                     last arrivals per document and partition, bucketed by key
+    folded/commit_ledger/gen=G         commit rows of the batches since the generation before
+    folded/quarantine/gen=G            records set aside in those batches
+    folded/committed/gen=G             committed offset per (group, topic, partition) so far
+    generations/gen=G                  one row, written last: the generation is complete
     run_state                          what was last asked for: RUNNING or STOPPED
 
 A batch is written in one pass, without a shuffle; the newest version per key is worked out where
-it is read, and for good by ``compact``. Every folder is written once or replaced as a whole by a
+it is read, and for good by ``compact``, which also folds what batches committed and set aside, so
+that readers open only the folders of later batches. Every folder is written once or replaced as a whole by a
 repeat of the same batch, so a batch that failed half-way leaves nothing that a reader would take.
 There is no rename or lock to rely on.
 """
@@ -17,23 +21,69 @@ There is no rename or lock to rely on.
 from __future__ import annotations
 
 import hashlib
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from docstream.constants import NOT_INITIALIZED
 from docstream.operators.routing import every_shard
-from docstream.operators.upsert import latest_by_key, merge_latest
+from docstream.operators.upsert import between_partitions, latest_per_partition, merge_latest
 from docstream.session import shuffle_partitions
 
 
-# Data per bucket of a snapshot: what one task reads, merges and writes.
-BUCKET_BYTES = 512 << 20
-
-
-def stored_bytes(df: DataFrame) -> int:
-    """Size of the files behind a table, from file metadata alone."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return int(files.agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0])
+def merged_type(old: T.DataType, new: T.DataType, name: str = "document") -> T.DataType:
+    """A type that holds values of both: fields of structs are joined by name.
+
+    Anything else has to be the same in both, or the change is refused.
+    """
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        known = {f.name: f.dataType for f in old.fields}
+        fields = dict(known)
+        for field in new.fields:
+            kept = known.get(field.name, field.dataType)
+            fields[field.name] = merged_type(kept, field.dataType, f"{name}.{field.name}")
+        return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(merged_type(old.elementType, new.elementType, f"{name}[]"))
+    if old != new:
+        raise ValueError(f"{name} was stored as {old.simpleString()}, not {new.simpleString()}")
+    return old
+
+
+def widened(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    """A value as a type that has all its fields; the others are null."""
+    if old == new:
+        return value
+    if isinstance(new, T.StructType):
+        known = {f.name: f.dataType for f in old.fields}
+        fields = [
+            (
+                widened(value[f.name], known[f.name], f.dataType)
+                if f.name in known
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
+            for f in new.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(new, T.ArrayType):
+        return F.transform(value, lambda x: widened(x, old.elementType, new.elementType))
+    return value.cast(new)
+
+
+def with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly these columns, filled in by name at every depth."""
+    known = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[
+            (
+                widened(F.col(f.name), known[f.name], f.dataType)
+                if f.name in known
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 class CollectionStore:
@@ -73,17 +123,46 @@ class CollectionStore:
             .parquet(self.path(f"records/batch_id={batch_id}"))
         )
 
-    def records(self, after: int, through: int) -> DataFrame | None:
-        """What was written for some batches, complete or not."""
-        rows = self._batch_rows("records", after, through)
-        # The value comes out of a folder name, as text.
-        return None if rows is None else rows.withColumn("accepted", F.col("accepted").cast("boolean"))
+    def records(
+        self, after: int, through: int, schema: T.StructType | None = None
+    ) -> DataFrame | None:
+        """What was written for some batches, complete or not.
+
+        They are read with the columns of all of them together, so that fields declared later are
+        there, and null where a batch did not have them.
+        """
+        schema = self.columns(after, through) if schema is None else schema
+        rows = None if schema is None else self._batch_rows("records", after, through, schema)
+        # The value comes out of a folder name, as text; batches without a record have no such folder.
+        if rows is None or "accepted" not in rows.columns:
+            return None
+        return rows.withColumn("accepted", F.col("accepted").cast("boolean"))
+
+    def columns(self, after: int = -1, through: int | None = None) -> T.StructType | None:
+        """Columns of complete batches, joined by name; None without a batch."""
+        through = self.last_batch() if through is None else through
+        marks = self._batch_rows("batches", after, through)
+        if marks is None:
+            return None
+        found = marks.groupBy("columns").agg(F.min("batch_id").alias("n")).orderBy("n").collect()
+        return reduce(merged_type, [T.StructType.fromDDL(row["columns"]) for row in found])
+
+    def check_schema(self, doc: T.DataType) -> None:
+        """Raise if documents of this type can't be kept beside those that are stored."""
+        generation = self.generation()
+        after = -1 if generation is None else generation["compacted_through"]
+        kept = [self.columns(after)]
+        if generation is not None:
+            kept.append(T.StructType.fromDDL(generation["columns"]))
+        for columns in kept:
+            if columns is not None:
+                merged_type(columns["doc"].dataType, doc)
 
     def write_ledger(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
 
-    def complete_batch(self, batch_id: int, started_ms: int) -> None:
-        """Mark a batch complete, with its counts and times."""
+    def complete_batch(self, batch_id: int, started_ms: int, columns: T.StructType) -> None:
+        """Mark a batch complete, with its counts, times and columns."""
         (
             self.spark.read.parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
             .agg(
@@ -95,6 +174,7 @@ class CollectionStore:
                 "n_bad",
                 F.timestamp_millis(F.lit(started_ms)).alias("started_at"),
                 F.current_timestamp().alias("finished_at"),
+                F.lit(columns.toDDL()).alias("columns"),
             )
             .write.mode("overwrite")
             .parquet(self.path(f"batches/batch_id={batch_id}"))
@@ -107,12 +187,21 @@ class CollectionStore:
         return self._read("batches")
 
     def last_batch(self) -> int:
-        """Highest complete batch, -1 before the first. Batches complete in order."""
-        batches = self.batches()
-        if batches is None:
+        """Highest complete batch, -1 before the first. Batches complete in order.
+
+        Told by the names of the completion marks; none of them is opened.
+        """
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("batches"))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
             return -1
-        last = batches.agg(F.max("batch_id")).first()[0]
-        return -1 if last is None else int(last)
+        last = -1
+        for status in files.listStatus(folder):
+            name = status.getPath().getName()
+            mark = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if name.startswith("batch_id=") and int(name[9:]) > last and files.exists(mark):
+                last = int(name[9:])
+        return last
 
     def generation(self) -> Row | None:
         """The newest complete snapshot: gen, compacted_through, buckets, columns."""
@@ -124,19 +213,39 @@ class CollectionStore:
     def _batch_paths(self, part: str, after: int, through: int) -> list[str]:
         return [self.path(f"{part}/batch_id={k}") for k in range(after + 1, through + 1)]
 
-    def _batch_rows(self, part: str, after: int, through: int) -> DataFrame | None:
+    def _batch_rows(
+        self, part: str, after: int, through: int, schema: T.StructType | None = None
+    ) -> DataFrame | None:
         """Rows of complete batches; only their folders are listed."""
         paths = self._batch_paths(part, after, through)
         if not paths:
             return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return self.spark.read.option("basePath", self.path(part)).parquet(*paths)
+            return reader.option("basePath", self.path(part)).parquet(*paths)
         except AnalysisException as empty:
             # Batches without an accepted record have no files.
             if empty.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return None
             raise
 
+    def _folded(self, part: str, generation: Row | None) -> DataFrame | None:
+        """Rows folded into the generations up to one."""
+        if generation is None:
+            return None
+        numbers = range(generation["gen"] + 1)
+        return self._together(*[self._read(f"folded/{part}/gen={k}") for k in numbers])
+
+    @staticmethod
+    def _together(*parts: DataFrame | None) -> DataFrame | None:
+        found = [part for part in parts if part is not None]
+        if not found:
+            return None
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+
+    def _since(self, generation: Row | None) -> int:
+        return -1 if generation is None else generation["compacted_through"]
+
     def changelog(self, after: int = -1, through: int | None = None) -> DataFrame | None:
         """Accepted records of complete batches, every version (DM4)."""
         rows = self.records(after, self.last_batch() if through is None else through)
@@ -146,27 +255,47 @@ class CollectionStore:
             "batch_id", "accepted", "value", "error_class", "error_detail"
         )
 
+    def _set_aside(self, after: int, through: int) -> DataFrame | None:
+        rows = self.records(after, through)
+        return None if rows is None else rows.filter(~F.col("accepted")).drop("accepted", "doc", "shard_id")
+
     def quarantine(self) -> DataFrame | None:
         """Records set aside in complete batches."""
-        rows = self.records(-1, self.last_batch())
-        return None if rows is None else rows.filter(~F.col("accepted")).drop("accepted", "doc", "shard_id")
+        generation = self.generation()
+        later = self._set_aside(self._since(generation), self.last_batch())
+        return self._together(self._folded("quarantine", generation), later)
 
     def ledger(self) -> DataFrame | None:
         """Next offsets of complete batches; the batch number is the commit round (ST3)."""
-        return self._batch_rows("commit_ledger", -1, self.last_batch())
+        generation = self.generation()
+        later = self._batch_rows("commit_ledger", self._since(generation), self.last_batch())
+        return self._together(self._folded("commit_ledger", generation), later)
 
     def committed(self, rounds_late: int = 0) -> DataFrame | None:
         """Committed offset per (group, topic, partition).
 
         The checkpoint is exact, so a finished batch counts at once; ``rounds_late=1`` shows the
-        view of a group that publishes every round when the next one closes.
+        view of a group that publishes every round when the next one closes. Commits of compacted
+        batches come folded, one row each.
         """
-        ledger = self.ledger()
-        if ledger is None:
-            return None
+        last = self.last_batch() - rounds_late
+        generation = self.generation()
+        if generation is not None and generation["compacted_through"] > last:
+            rows = self.ledger().filter(F.col("batch_id") <= last)
+        else:
+            folded = None
+            if generation is not None:
+                folded = self._read(f"folded/committed/gen={generation['gen']}")
+            rows = self._together(folded, self._batch_rows("commit_ledger", self._since(generation), last))
+        if rows is None:
+            rows = self.ledger()
+            rows = None if rows is None else rows.filter(F.col("batch_id") <= last)
+        return None if rows is None else self._commits(rows)
+
+    @staticmethod
+    def _commits(rows: DataFrame) -> DataFrame:
         return (
-            ledger.filter(F.col("batch_id") <= self.last_batch() - rounds_late)
-            .filter(F.col("next_offset").isNotNull())
+            rows.filter(F.col("next_offset").isNotNull())
             .groupBy("group_id", "topic", "partition")
             .agg(F.max("next_offset").alias("committed_offset"))
         )
@@ -185,16 +314,18 @@ class CollectionStore:
         return f"docstream_{hashlib.md5(self.base.encode()).hexdigest()[:12]}_{gen}"
 
     def _view(self, generation: Row | None, through: int) -> DataFrame | None:
-        """Newest version of every document up to a batch."""
+        """Last arrivals of every document and partition up to a batch."""
+        changes = self.changelog(self._since(generation), through)
         if generation is None:
-            changes = self.changelog(-1, through)
-            return None if changes is None else latest_by_key(changes)
+            return None if changes is None else latest_per_partition(changes)
         snapshot = self.snapshot(generation)
-        changes = self.changelog(generation["compacted_through"], through)
         if changes is None:
             return snapshot
+        schema = merged_type(snapshot.schema, changes.schema)
         return merge_latest(
-            snapshot, changes.select(*snapshot.columns), buckets=generation["buckets"]
+            with_columns(snapshot, schema),
+            with_columns(changes, schema),
+            buckets=generation["buckets"],
         )
 
     def current(self) -> DataFrame | None:
@@ -204,9 +335,10 @@ class CollectionStore:
         the shards where they are read.
         """
         view = self._view(self.generation(), self.last_batch())
-        if view is None or not self.all_shards:
-            return view
-        return every_shard(view, self.num_shards)
+        if view is None:
+            return None
+        documents = between_partitions(view)
+        return every_shard(documents, self.num_shards) if self.all_shards else documents
 
     def write_shards(self, path: str) -> None:
         """The current documents as one folder per shard, copies and all."""
@@ -214,36 +346,35 @@ class CollectionStore:
         if current is not None:
             current.write.mode("overwrite").partitionBy("shard_id").parquet(path)
 
-    def _buckets_for(self, old: Row | None, through: int) -> int:
-        """Buckets of the next snapshot: a multiple of the shards, so that each has one shard only.
-
-        They are kept from one generation to the next, since a new number shuffles the whole
-        collection once, until buckets are four times as large as wanted.
-        """
-        if self.buckets is not None:
-            return self.buckets
-        after = -1 if old is None else old["compacted_through"]
-        parts = [self.changelog(after, through), None if old is None else self.snapshot(old)]
-        size = sum(stored_bytes(part) for part in parts if part is not None)
-        wanted = -(-size // (BUCKET_BYTES * self.num_shards)) * self.num_shards
-        wanted = max(wanted, self.num_shards)
-        if old is not None and wanted <= 4 * old["buckets"]:
-            return old["buckets"]
-        return wanted
-
-    def compact(self) -> int | None:
+    def _fold(self, old: Row | None, through: int, gen: int) -> None:
+        """Carry what the batches since the last generation committed and set aside."""
+        after, commits = self._since(old), self.committed()
+        parts = {
+            "commit_ledger": self._batch_rows("commit_ledger", after, through),
+            "quarantine": self._set_aside(after, through),
+            "committed": None if commits is None else commits.withColumnRenamed("committed_offset", "next_offset"),
+        }
+        for part, rows in parts.items():
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(self.path(f"folded/{part}/gen={gen}"))
+
+    def compact(self, buckets: int | None = None) -> int | None:
         """Write the current documents as a new generation; returns its number.
 
+        The number of buckets is that of the collection's settings or, once there is a generation,
+        that generation's; only ``buckets`` given here changes it, at the price of one shuffle of
+        the whole collection. It should be a multiple of the shards, so that each bucket has one.
         The old generation is left for readers that already use it.
         """
         old, through = self.generation(), self.last_batch()
-        if old is not None and old["compacted_through"] >= through:
+        kept = (self.buckets or self.num_shards) if old is None else old["buckets"]
+        buckets = kept if buckets is None else buckets
+        if old is not None and old["compacted_through"] >= through and buckets == old["buckets"]:
             return old["gen"]
         view = self._view(old, through)
         if view is None:
             return None
         gen = 0 if old is None else old["gen"] + 1
-        buckets = self._buckets_for(old, through)
         if old is None or buckets != old["buckets"]:
             view = view.repartition(buckets, "key")
         name = self._table_name(gen)
@@ -259,6 +390,7 @@ class CollectionStore:
                 .bucketBy(buckets, "key")
                 .saveAsTable(name)
             )
+        self._fold(old, through, gen)
         (
             self.spark.createDataFrame(
                 [(through, buckets, columns)], "compacted_through bigint, buckets int, columns string"

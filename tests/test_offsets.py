@@ -7,7 +7,7 @@ from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.functions.names import end_key, group_name, lag_key
-from docstream.operators import offsets
+from docstream.operators import documents, offsets
 from docstream.plans.inputs import log_of
 from docstream.schema import RECORD_LOG
 
@@ -187,12 +187,38 @@ def test_dense_log_has_no_gaps(spark):
     assert offsets.offset_gaps(log.filter("offset not between 150 and 449"), block=100).count() == 3
 
 
-def test_windows_go_over_blocks_of_a_partition(spark, sf_dir):
+def test_windows_go_over_words_of_a_block(spark, sf_dir):
     plan = plan_of(offsets.offset_gaps(log_of(spark, sf_dir)))
-    window = plan[plan.index("Window [lead(offset") :]
+    window = plan[plan.index("Window [lead(first") :]
     assert "_block" in window[: window.index("\n")]
 
 
+def test_later_calls_see_new_files(spark, tmp_path):
+    path = str(tmp_path / "log")
+
+    def add(*values):
+        spark.createDataFrame([("t", 0, o) for o in values], "topic string, partition int, offset bigint").write.mode("append").parquet(path)
+
+    def read():
+        return spark.read.parquet(path)
+
+    add(1, 5)
+    assert rows(offsets.offset_gaps(read()), "offset", "next_offset") == [(1, 5)]
+    start = committed(spark, (GROUP, "t", 0, 4))
+    assert rows(offsets.replay_window(read(), start), "offset") == [(5,)]
+    add(9, 20)
+    assert rows(offsets.offset_gaps(read()), "offset", "next_offset") == [(1, 5), (5, 9), (9, 20)]
+    assert set(rows(offsets.replay_window(read(), start), "offset")) == {(5,), (9,), (20,)}
+
+
+def test_lag_history_has_no_grid(spark, sf_dir):
+    log = log_of(spark, sf_dir)
+    ledger = offsets.commit_ledger(documents.classify(log, "json", "k int"), GROUP, 86_400)
+    plan = plan_of(offsets.lag_history(log, ledger, 86_400))
+    spread = plan[plan.index("Generate explode(sequence") :]
+    assert "[group_id" in spread[: spread.index("\n")] and "partition" not in spread[: spread.index("\n")]
+
+
 def test_offsets_read_three_columns(spark, sf_dir):
     plan = plan_of(offsets.end_offsets(log_of(spark, sf_dir)))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in plan

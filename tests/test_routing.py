@@ -46,19 +46,21 @@ def test_every_shard_holds_all(spark):
     assert audit.shard_count_check(counts.filter("shard_id < 2").union(spark.createDataFrame([(2, 499)], "a int, b bigint")), expected).count() == 1
 
 
-def test_fan_out_is_no_cross_join(spark, sf_dir):
-    cores = targets_of(spark, sf_dir).select("shard_id", "core")
-    out = routing.fan_out(keys(spark), cores)
+def test_fan_out_is_an_equi_join(spark, sf_dir):
+    cores = targets_of(spark, sf_dir).select("collection", "core")
+    out = routing.fan_out(keys(spark).withColumn("collection", F.lit("c0")), cores)
     plan = plan_of(out)
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Generate" in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("limit", [4096, 7])
-def test_fan_out_reaches_every_target_once(spark, limit):
-    cores = spark.range(40).select(F.concat(F.lit("core"), F.col("id")).alias("core"))
-    out = routing.fan_out(keys(spark, 20), cores, inline_limit=limit)
-    assert out.count() == 800
-    assert out.distinct().count() == 800
+@pytest.mark.parametrize("salts", [1, 7])
+def test_fan_out_reaches_every_target_of_its_collection_once(spark, salts):
+    name = F.concat(F.lit("c"), F.pmod(F.col("id"), F.lit(2)))
+    cores = spark.range(40).select(name.alias("collection"), F.concat(F.lit("core"), F.col("id")).alias("core"))
+    docs = keys(spark, 20).withColumn("collection", F.lit("c1"))
+    out = routing.fan_out(docs, cores, salts=salts)
+    assert out.count() == out.distinct().count() == 400
+    assert rows(routing.fan_out_counts(docs, cores), "n_docs") == [(20,)] * 20
 
 
 T = [
@@ -91,7 +93,7 @@ def test_replica_audits(spark):
     assert rows(audit.inactive_targets(df), "core") == [("d",)]
     wrong = audit.replica_mismatches(df)
     assert rows(wrong) == [("c", 1, 6, 7, 2, 0)]
-    assert audit.error_report(wrong).first()["report"] == "shard 1: between 6 and 7 documents"
+    assert audit.error_report(wrong).first()["message"] == "shard 1: between 6 and 7 documents"
     unknown = targets(spark, ("c", 0, "a", "NRT", "active", True, None), ("c", 0, "b", "NRT", None, False, 3))
     assert audit.replica_mismatches(unknown).first()["n_unknown"] == 1
     assert audit.inactive_targets(unknown).count() == 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docstream.config import IngestConfig
 from docstream.operators import audit
 from docstream.operators.offsets import end_offsets
-from docstream.operators.upsert import latest_by_key
+from docstream.operators.upsert import between_partitions, latest_by_key, merge_latest
 from docstream.plans.inputs import damaged_log, log_of
 from docstream.schema import RECORD_LOG, TARGETS
 from docstream.session import shuffle_partitions
@@ -60,7 +60,8 @@ def test_empty_collection(spark, tmp_path, one_log):
     assert job.store.compact() is None
     assert job.store.last_batch() == -1
     assert job.state() == "NOT_INITIALIZED"
-    assert job.status().first()["total_lag"] == 0
+    whole = spark.read.parquet(one_log)
+    assert job.status().first()["total_lag"] == end_offsets(whole).agg(F.sum("end_offset")).first()[0]
     job.stop()
 
 
@@ -192,7 +193,7 @@ def test_compaction_keeps_the_collection(spark, sf_dir, tmp_path, one_log):
     # A session that has never seen the snapshot reads it from its folder.
     generation = job.store.generation()
     spark.sql(f"DROP TABLE {job.store._table_name(1)}")
-    assert shown(job.store.snapshot(generation)) == newer
+    assert shown(between_partitions(job.store.snapshot(generation))) == newer
 
 
 def test_snapshot_is_not_shuffled(spark, tmp_path, one_log):
@@ -203,17 +204,16 @@ def test_snapshot_is_not_shuffled(spark, tmp_path, one_log):
     generation = store.generation()
     snapshot = store.snapshot(generation)
     changes = store.changelog(0, 2).select(*snapshot.columns)
-    from docstream.operators.upsert import merge_latest
-
+    assert "Exchange" not in plan_of(between_partitions(snapshot))
     plan = plan_of(merge_latest(snapshot, changes, buckets=generation["buckets"]))
     over_union, below = plan.split("Union")
     assert "Exchange" not in over_union
     snapshot_branch, changes_branch = below.split("Bucketed: true")
     assert "Exchange" not in snapshot_branch and "partial_max" in changes_branch
-    # As compaction runs it, the changes are shuffled once, after a cut to one version per key.
+    # The changes are shuffled twice, both times after a cut to one version per key and partition.
     with shuffle_partitions(spark, generation["buckets"]):
         plan = plan_of(merge_latest(snapshot, changes, buckets=generation["buckets"]))
-    assert plan.count("Exchange") == 1
+    assert plan.count("Exchange") == 2
 
 
 def test_transform_runs_between_decoding_and_upsert(spark, tmp_path, one_log):
@@ -252,7 +252,7 @@ def test_continuous_run_stop_and_resume(spark, sf_dir, tmp_path, one_log):
     status = job.act()
     assert status["status"] == "RUNNING" and status["should_run"] and status["total_lag"] == 0
     assert set(status["consumer_group_lag"].values()) == {0}
-    assert progress.recent_progress(spark, job.query()).agg(F.sum("n_records")).first()[0] == log_of(spark, sf_dir).count()
+    assert progress.batch_metrics(job.store).agg(F.sum("n_docs")).first()[0] == log_of(spark, sf_dir).count()
     assert job.act("STOP") == {"message": "stopping", "running": False}
     assert job.state() == "STOPPED"
     assert job.resume() is None
@@ -291,22 +291,72 @@ def test_mode_is_checked_before_the_start(spark, tmp_path, one_log):
     assert (status["current_core"], status["leader"], status["eligible"]) == ("core1", False, False)
 
 
-def test_stream_ledger_publishes_closed_rounds(spark, tmp_path, sf_dir, one_log):
-    stream = spark.readStream.schema(RECORD_LOG).option("maxFilesPerTrigger", 2).parquet(one_log)
-    query = (
-        ingest.stream_ledger(stream, "1 day", "1 hour")
-        .writeStream.option("checkpointLocation", str(tmp_path / "cp"))
-        .option("path", str(tmp_path / "ledger"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    published = spark.read.parquet(str(tmp_path / "ledger"))
-    log = log_of(spark, sf_dir)
-    last = log.agg(F.max("timestamp")).first()[0]
-    closed = published.filter(F.col("round") + F.expr("interval 1 day") > F.lit(last)).count()
-    assert closed == 0 and published.count() > 0
-    assert published.groupBy("round", "topic", "partition").count().filter("count > 1").count() == 0
+def test_fields_declared_later_are_kept(spark, tmp_path):
+    """Two runs with different declared fields, before and after a compaction."""
+    source = str(tmp_path / "log")
+
+    def send(offset, value):
+        record = [("t", 0, offset, f"k{offset}", value, offset)]
+        log = spark.createDataFrame(record, "topic string, partition int, offset bigint, key string, value string, ts bigint")
+        write_log(log.select("topic", "partition", "offset", "key", "value", F.timestamp_seconds("ts").alias("timestamp")), source)
+
+    def run(schema):
+        job = Ingest(spark, config(tmp_path, source, topics="t", schema=schema, num_shards=1, buckets=1))
+        job.run_to_end()
+        return job.store
+
+    send(0, '{"k": 1}')
+    store = run("k int")
+    for offset, compact in ((1, False), (2, True), (3, True)):
+        if compact:
+            store.compact()
+        send(offset, f'{{"k": {offset}, "z": {10 * offset}, "y{offset}": "v"}}')
+        store = run(f"k int, z int, y{offset} string")
+        found = {r["key"]: r["doc"].asDict() for r in store.current().collect()}
+        assert found["k0"]["k"] == 1 and found["k0"]["z"] is None
+        for seen in range(1, offset + 1):
+            assert found[f"k{seen}"]["z"] == 10 * seen and found[f"k{seen}"][f"y{seen}"] == "v"
+    store.compact()
+    assert {r["key"]: r["doc"].asDict() for r in store.current().collect()} == found
+    with pytest.raises(ValueError, match="stored as"):
+        run("k string")
+
+
+def test_documents_go_by_their_id(spark, tmp_path):
+    source = str(tmp_path / "log")
+    data = [("x", '{"id": "a"}'), ("x", '{"id": "b"}'), (None, '{"id": "a"}'), (None, '{"id": null}'), ("c", "{}"), (None, "{}")]
+    numbered = [("t", 0, i, k, v, i) for i, (k, v) in enumerate(data)]
+    log = spark.createDataFrame(numbered, "topic string, partition int, offset bigint, key string, value string, ts bigint")
+    write_log(log.select("topic", "partition", "offset", "key", "value", F.timestamp_seconds("ts").alias("timestamp")), source)
+    job = Ingest(spark, config(tmp_path, source, topics="t", schema="id string", id_field="id"))
+    job.run_to_end()
+    assert rows(job.store.current(), "key", "offset") == [("a", 2), ("b", 1), ("c", 4)]
+    assert rows(job.store.quarantine(), "offset", "error_class") == [(3, "reject_error"), (5, "reject_error")]
+    keyed = Ingest(spark, config(tmp_path, source, "keyed", topics="t", schema="id string"))
+    keyed.run_to_end()
+    assert rows(keyed.store.current(), "key", "offset") == [("c", 4), ("x", 1)]
+    assert keyed.store.quarantine().count() == 3
+
+
+def test_readers_open_only_later_batches(spark, tmp_path, one_log, monkeypatch):
+    job = Ingest(spark, config(tmp_path, one_log, max_per_trigger=1))
+    job.run_to_end()
+    store = job.store
+    before = rows(store.committed()), rows(store.ledger().drop("batch_id"))
+    store.compact()
+    opened = []
+    paths = store._batch_paths
+    monkeypatch.setattr(store, "_batch_paths", lambda *a: opened.append(paths(*a)) or paths(*a))
+    assert (rows(store.committed()), rows(store.ledger().drop("batch_id"))) == before
+    assert store.quarantine().count() == 0 and store.last_batch() == 5
+    assert not any(opened)
+
+
+def test_lag_before_the_first_commit(spark, tmp_path, one_log, sf_dir):
+    job = Ingest(spark, config(tmp_path, one_log), log=log_of(spark, sf_dir))
+    status = job.status().first()
+    ends = end_offsets(log_of(spark, sf_dir)).agg(F.sum("end_offset")).first()[0]
+    assert status["total_lag"] == ends > 0
 
 
 def test_a_batch_is_written_in_one_pass(spark, tmp_path, one_log):
@@ -342,9 +392,7 @@ def test_every_bucket_has_one_shard_and_one_file(spark, tmp_path, one_log):
     assert {r["n"] for r in by_file.collect()} == {1}
 
 
-def test_buckets_by_size(spark, tmp_path, one_log, monkeypatch):
-    from docstream.streaming import store as module
-
+def test_buckets_change_only_when_told(spark, tmp_path, one_log):
     job = Ingest(spark, config(tmp_path, one_log, buckets=None))
     job.run_to_end()
     want = shown(job.store.current())
@@ -354,10 +402,10 @@ def test_buckets_by_size(spark, tmp_path, one_log, monkeypatch):
     source = spark.read.schema(RECORD_LOG).parquet(one_log)
     write_log(source.filter("topic = 'view'"), one_log)
     job.run_to_end()
-    monkeypatch.setattr(module, "BUCKET_BYTES", 512)
     job.store.compact()
-    grown = job.store.generation()["buckets"]
-    assert grown > 16 and grown % 4 == 0
+    assert job.store.generation()["buckets"] == 4
+    job.store.compact(buckets=16)
+    assert job.store.generation()["buckets"] == 16
     assert shown(job.store.current()) == want
 
 
