@@ -1,0 +1,85 @@
+"""Pseudonyms: validity, linkage, permutation, what is left alone."""
+
+import datetime
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from docstream.llm import pii
+
+
+def luhn(number):
+    digits = [int(c) for c in re.sub(r"\D", "", number)][::-1]
+    return sum(d if k % 2 == 0 else d * 2 % 10 + d * 2 // 10 for k, d in enumerate(digits)) % 10 == 0
+
+
+def iban_ok(text):
+    compact = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
+
+
+@pytest.fixture(scope="module")
+def replaced(spark):
+    texts = {
+        "card": "a 4041 8949-7460 8795 b 4041894974608795",
+        "bad_card": "4041894974608796",
+        "iban": "GB82 WEST 1234 5698 7654 32 and GB82WEST12345698765432",
+        "phone": "+1 (988) 555-2485 or 988-555-2485",
+        "world": "+44 20 7946 0958",
+        "ssn": "123-45-6789 and 666-12-1234",
+        "ip": "42.144.35.254 and 300.1.1.1",
+        "date": "1984-02-29, 29/02/1984, 2/29/1984, 29.2.1984",
+        "bad_date": "2023-02-30 1850-01-01",
+        "mail": "Bob.42@mail8.example.com bob.42@mail8.example.com",
+        "none": "nothing 12 here",
+        "empty": "",
+        "null": None,
+        "long": "x" * 300_000 + " 42.144.35.254",
+    }
+    rows = [(k, v, 7) for k, v in texts.items()]
+    found = pii.pseudonymise(spark.createDataFrame(rows, "id string, text string, n_found int"), "key")
+    assert found.columns == ["id", "text", "n_found"]
+    return {r["id"]: (texts[r["id"]], r["text"], r["n_found"]) for r in found.collect()}
+
+
+def test_validity_and_links(replaced):
+    _, card, n = replaced["card"]
+    a, b = re.match(r"a (\d{4} \d{4}-\d{4} \d{4}) b (\d{16})$", card).groups()
+    assert luhn(a) and re.sub(r"\D", "", a) == b != "4041894974608795" and n == 2
+    a, b = replaced["iban"][1].split(" and ")
+    assert iban_ok(a) and a.replace(" ", "") == b != "GB82WEST12345698765432" and b[:2] == "GB" and b[4:8] == "WEST"
+    a, b = replaced["phone"][1].split(" or ")
+    assert re.fullmatch(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", a) and re.sub(r"\D", "", a)[1:] == b.replace("-", "")
+    assert re.fullmatch(r"\+44 \d\d \d{4} \d{4}", replaced["world"][1]) and replaced["world"][1] != replaced["world"][0]
+    new, old = replaced["ssn"][1].split(" and ")
+    assert re.fullmatch(r"\d{3}-\d\d-\d{4}", new) and new != "123-45-6789" and old == "666-12-1234"
+    new, old = replaced["ip"][1].split(" and ")
+    assert all(int(x) < 256 for x in new.split(".")) and new != "42.144.35.254" and old == "300.1.1.1"
+    a, b, c, d = replaced["date"][1].split(", ")
+    day = datetime.date.fromisoformat(a)
+    assert b == day.strftime("%d/%m/%Y") and c == day.strftime("%m/%d/%Y") and d == day.strftime("%d.%m.%Y")
+    a, b = replaced["mail"][1].split()
+    assert a == b != "bob.42@mail8.example.com" and re.fullmatch(r"[a-z0-9]{3}\.[a-z0-9]{2}@mail8\.example\.com", a)
+    assert replaced["long"][1].startswith("x" * 300_000) and replaced["long"][2] == 1
+
+
+def test_left_alone(replaced):
+    for name in ("bad_card", "bad_date", "none", "empty", "null"):
+        old, new, n = replaced[name]
+        assert new == old and n == 0
+
+
+def test_permutations(spark):
+    rows = spark.range(35).select(pii.permuted("k", "t", F.col("id"), 5, 7).alias("x"))
+    assert sorted(r[0] for r in rows.collect()) == list(range(35))
+    texts = spark.range(1000).select(pii.permuted_text("k", "t", F.lpad(F.col("id").cast("string"), 3, "0"), "0123456789").alias("x"))
+    assert sorted(r[0] for r in texts.collect()) == [f"{k:03d}" for k in range(1000)]
+    other = spark.range(35).select(pii.permuted("k2", "t", F.col("id"), 5, 7).alias("x"))
+    assert [r[0] for r in rows.collect()] != [r[0] for r in other.collect()]
+
+
+def test_main_path_is_native(spark, documents):
+    plan = pii.pseudonymise(documents, "k")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    assert pii.pseudonymise(documents.limit(0), "k").count() == 0
