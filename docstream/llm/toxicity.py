@@ -91,7 +91,7 @@ def screened(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (counts >= LEAST_TEXTS) & (np.abs(toxic - counts * share) > LEAST_SCORE * spread)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 30, rate: float = 0.1, threshold: float = 2e-4, batch: int = 256, seed: int = 7) -> Machine:
+def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 20, rate: float = 0.1, threshold: float = 1e-4, batch: int = 256, seed: int = 7) -> Machine:
     """A machine learnt from the distinct places of texts and their labels, by adaptive gradient steps."""
     size, rng = 1 << BITS, np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.0

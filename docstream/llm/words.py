@@ -111,7 +111,8 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     value = np.zeros(len(words.hash), dtype=np.uint64)
     for k in range(size):
         moved = np.zeros_like(value)
-        moved[: len(value) - k] = words.hash[k:] if k else words.hash
+        if k < len(value):
+            moved[: len(value) - k] = words.hash[k:]
         value = value * np.uint64(_FACTOR) + moved
     counts = np.maximum(n_words - size + 1, np.minimum(n_words, 1))
     bounds = np.zeros(len(counts) + 1, dtype=np.int64)
