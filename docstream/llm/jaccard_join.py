@@ -82,14 +82,15 @@ def class_of(own: np.ndarray) -> int:
 
 
 def members(docs: DataFrame, size: int) -> DataFrame:
-    """(key, n, cls) of each row, saved; ``cls`` is null for the empty set."""
+    """(key, mark, n, cls) of each row, saved; ``cls`` is null for the empty set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = list(sets_of(batch.column(1), size))
-            yield pa.record_batch([batch.column(0), pa.array([len(s) for s in own], pa.int64()), pa.array([class_of(s) if len(s) else None for s in own], pa.int64())], names=["key", "n", "cls"])
+            n, cls = [len(s) for s in own], [class_of(s) if len(s) else None for s in own]
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64())], names=["key", "mark", "n", "cls"])
 
-    return saved(docs.mapInArrow(work, "key long, n long, cls long"), "members")
+    return saved(docs.withColumn("mark", F.xxhash64("text")).mapInArrow(work, "key long, mark long, n long, cls long"), "members")
 
 
 def sieve(rows: DataFrame, rule: Rule, size: int, parts: int) -> DataFrame:
@@ -301,8 +302,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, rule: Rule) -> DataFra
     return found.unionByName(rows.filter("home <> cls").select(F.col("cls").alias("a"), F.col("home").alias("b")))
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach, for each row."""
+def labelled(docs: DataFrame, size: int, percent: int, text: str, key: str) -> DataFrame:
+    """(key, mark, n, group, component) of each row: its group, and the smallest key in it.
+
+    ``mark`` is a hash of the text. A row with the empty set is a group with those that repeat it.
+    """
     ship(docs.sparkSession)
     rule = Rule(percent)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).cast("string").alias("text"))
@@ -311,16 +315,22 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, text:
     found = components(links(rows, classes, size, rule))
     named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("key").alias("component"))
-    named = named.join(least, "root").select("cls", "component")
-    real = lambda c: F.nullif(c, F.lit(NO_KEY))
-    joined = own.join(named, "cls", "left")
-    return joined.select(real(F.col("key")).alias(key), F.col("n").alias("n_shingles"), real(F.coalesce("component", "key")).alias("component_id"))
+    named = named.join(least, "root").select("cls", "root", "component")
+    group = F.coalesce("root", F.xxhash64(F.lit("empty"), "key", "mark"))
+    return own.join(named, "cls", "left").select("key", "mark", "n", group.alias("group"), F.coalesce("component", "key").alias("component"))
+
+
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key``, ``n_shingles`` and ``component_id``, the smallest key that links reach, for each row."""
+    real = lambda c: F.nullif(F.col(c), F.lit(NO_KEY))
+    return labelled(docs, size, percent, text, key).select(real("key").alias(key), F.col("n").alias("n_shingles"), real("component").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest key (of equal keys, the smallest text)."""
-    found = jaccard_components(docs, size, percent, text, key)
-    heads = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.coalesce(key, F.lit(NO_KEY)).alias("_key")).distinct()
-    kept = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY))).join(heads, "_key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy(text))
-    return kept.withColumn("_row", first).filter("_row = 1").select(*docs.columns)
+    """``docs`` with one row of each component: that of the smallest key, of equal keys that of one text."""
+    groups = labelled(docs, size, percent, text, key)
+    heads = groups.groupBy("group").agg(F.min(F.struct("key", "mark")).alias("_head")).select("_head").distinct()
+    own = F.struct(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.xxhash64(F.col(text).cast("string")).alias("mark"))
+    kept = docs.withColumn("_head", own).join(heads, "_head", "left_semi")
+    repeat = F.row_number().over(Window.partitionBy("_head").orderBy(F.xxhash64(*docs.columns)))
+    return kept.withColumn("_row", repeat).filter("_row = 1").select(*docs.columns)
