@@ -52,7 +52,8 @@ def default_rules() -> list[Rule]:
         Rule("short_words", chars < 3 * n),
         Rule("long_words", chars > 10 * n),
         Rule("symbols", share(F.col("n_symbols"), n, 10)),
-        Rule("repeated_lines", share(F.col("n_dup_lines"), F.size(lines), 30)),
+        # One repeated line among three says little.
+        Rule("repeated_lines", (F.col("n_dup_lines") > 1) & share(F.col("n_dup_lines"), F.size(lines), 30)),
         Rule("few_letters", share(matching(words, r"^[^\p{L}]+$"), n, 20)),
         Rule("ellipsis_lines", share(matching(lines, r"(\.\.\.|…)\s*$"), F.size(lines), 30)),
         Rule("bullet_lines", share(matching(lines, r"^\s*[-*•●]"), F.size(lines), 90)),

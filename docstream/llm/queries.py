@@ -148,7 +148,7 @@ told AS (
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM told)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 100 * n_symbols > 10 * n_words
-    OR 100 * n_dup_lines > 30 * len(l) OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) > 20 * n_words
+    OR (n_dup_lines > 1 AND 100 * n_dup_lines > 30 * len(l)) OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) > 20 * n_words
     OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) > 30 * len(l)
     OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•●]'))) > 90 * len(l)
     OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '(?i)lorem ipsum|javascript'))) > 10 * len(l)) AS kept
