@@ -5,8 +5,8 @@ sigmoid(bias + sum of weights + sum over pairs of terms of the dot product of th
 as an insult and the mention of a group can weigh more, or less, than its parts. Terms that are about as frequent in either kind of text are not learnt, and
 weights that stay small are set to zero (a soft threshold), so ordinary prose has no say in long texts.
 
-Learning takes a sample of the labelled rows, bounded by ``SAMPLE_ROWS`` and ``SAMPLE_TERMS``, chosen by hash so that
-it doesn't depend on the order of rows. Scoring is one pass over all rows and whole texts without a shuffle; the
+Learning takes a sample of the labelled rows, bounded by ``SAMPLE_ROWS`` and ``SAMPLE_TERMS``, chosen by hash of the
+key, so it doesn't depend on the order of rows. Scoring is one pass over all rows and whole texts without a shuffle; the
 broadcast model has a fixed size.
 
 A null or empty text has no terms and gets the score of the bias; repeated rows get equal scores; rows with a null
@@ -33,6 +33,7 @@ BITS, RANK = 20, 4
 HEADS = (4, 5, 6)
 #: Most labelled rows, and most terms of them, that are learnt from.
 SAMPLE_ROWS, SAMPLE_TERMS = 20_000, 20_000_000
+PARTS = 1 << 30
 #: Terms in fewer sampled texts, or nearer to equal frequency in both kinds, are not learnt.
 LEAST_TEXTS, LEAST_SCORE = 5, 4.0
 
@@ -133,24 +134,31 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = 20, rate: floa
 
 
 def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """A machine learnt from at most ``sample_rows`` rows with a label 0 or 1, those with the smallest hashes of ``key``."""
+    """A machine learnt from about ``sample_rows`` rows with a label 0 or 1, never more than a tenth over.
+
+    Where there are more, those are taken whose hash of ``key`` is below the share wanted; they are turned into terms
+    where they lie, and only the terms come to the driver.
+    """
     ship(labelled.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             terms = [t.astype(np.int32).tobytes() for t in terms_of(batch.column(0))]
-            yield pa.record_batch([pa.array(terms, pa.binary()), batch.column(1)], names=["terms", "label"])
-
-    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(F.col(key)).alias("_order"))
-    rows = rows.filter(F.col("label").isin(0, 1)).orderBy("_order", "label", "text").limit(sample_rows).select("text", "label")
-    data, labels, held = [], [], 0
-    for row in rows.mapInArrow(work, "terms binary, label int").toLocalIterator():
-        data.append(np.frombuffer(row[0], np.int32).astype(np.int64))
-        labels.append(row[1])
-        held += len(data[-1])
-        if held >= SAMPLE_TERMS:
+            yield pa.record_batch([pa.array(terms, pa.binary()), batch.column(1), batch.column(2)], names=["terms", "label", "place"])
+
+    rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label"), F.pmod(F.xxhash64(F.col(key)), F.lit(PARTS)).alias("place"))
+    rows = rows.filter(F.col("label").isin(0, 1))
+    total = rows.select("label").count()
+    if total > sample_rows:
+        rows = rows.filter(F.col("place") < PARTS * sample_rows // total)
+    taken, held = [], 0
+    for terms, label, place in rows.mapInArrow(work, "terms binary, label int, place long").toLocalIterator():
+        taken.append((place, label, terms))
+        held += len(terms) // 4
+        if held >= SAMPLE_TERMS or len(taken) >= 1.1 * sample_rows:
             break
-    return fit(data, np.array(labels, np.float64))
+    taken.sort()
+    return fit([np.frombuffer(terms, np.int32).astype(np.int64) for _, _, terms in taken], np.array([y for _, y, _ in taken], np.float64))
 
 
 def score(docs: DataFrame, machine: Machine, text: str = "text", key: str = "doc_id") -> DataFrame:
