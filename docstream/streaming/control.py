@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -212,3 +215,8 @@ class Ingest:
         if name == "status":
             return self.status().first().asDict(recursive=True)
         return {"message": UNKNOWN_MESSAGE}
+
+
+def lag_of_groups(jobs: Sequence[Ingest]) -> DataFrame:
+    """Lag of the importer groups of several collections in one report (ST11)."""
+    return reduce(DataFrame.unionByName, [job.lag() for job in jobs])

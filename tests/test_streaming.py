@@ -15,7 +15,7 @@ from docstream.sources.generators import numbers, random_documents
 from docstream.sources.json_files import as_records
 from docstream.sources.record_log import with_positions, write_log
 from docstream.streaming import ingest, progress
-from docstream.streaming.control import Ingest
+from docstream.streaming.control import Ingest, lag_of_groups
 from docstream.streaming.store import CollectionStore
 
 TOPICS = ("click", "error", "purchase", "signup", "view")
@@ -357,6 +357,9 @@ def test_lag_before_the_first_commit(spark, tmp_path, one_log, sf_dir):
     status = job.status().first()
     ends = end_offsets(log_of(spark, sf_dir)).agg(F.sum("end_offset")).first()[0]
     assert status["total_lag"] == ends > 0
+    other = Ingest(spark, config(tmp_path, one_log, "other"), log=log_of(spark, sf_dir))
+    both = lag_of_groups([job, other]).groupBy("group_id").agg(F.sum("lag").alias("lag"))
+    assert both.count() == 2 and {r["lag"] for r in both.collect()} == {ends}
 
 
 def test_a_batch_is_written_in_one_pass(spark, tmp_path, one_log):
