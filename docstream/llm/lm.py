@@ -2,8 +2,9 @@
 
 Words and pairs of neighbouring words of the training rows are counted exactly by a shuffle. A count c is quantised
 to the level 1 + floor(log2 c), and the filter holds (n-gram, j) for every level j up to its own; a count is read back
-by probing j = 1, 2, ... until a probe fails. The filter is broadcast; its size follows the counts up to
-``FILTER_BYTES``, and where that does not suffice the pairs of the lowest levels are left to the words' own counts.
+by probing j = 1, 2, ... until a probe fails. The filter is in parts, one for each bucket of hashes, and is nowhere
+in one piece: the distinct n-grams of each chunk of rows are dealt to the buckets, counted there, made into the part
+and probed, and only their levels go back to the chunk. So its size has no bound, and no n-gram is left out for it.
 
     P(w | h) = weight[level of h] * count(h w) / count(h)  +  (1 - weight[level of h]) * (count(w) + 1) / (N + V + 1)
 
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,9 @@ from docstream.llm.words import Words, blocks, mix
 
 #: Word that stands for the end of a text, before its first word and after its last.
 END = np.uint64(0x5EED0FE4D0000001)
-#: Tokens that a task counts at once; words whose counts are broadcast; bound of the broadcast filter.
-CHUNK_TOKENS, HEAD_WORDS, FILTER_BYTES = 2_000_000, 1 << 18, 1 << 26
+#: Tokens that a task counts at once; bytes of text in a chunk of rows (a longer text is a chunk of its own); words
+#: whose counts are broadcast; default bound of ``build_filter``, which ``score`` doesn't use.
+CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS, FILTER_BYTES = 2_000_000, 12 << 20, 1 << 18, 1 << 26
 #: Bits of the filter for each (n-gram, level) it holds, and probes for each.
 ENTRY_BITS, PROBES = 10, 5
 #: Pairs seen less often are not in the filter.
@@ -141,13 +144,21 @@ class CountFilter:
                 found[self.places(own, j, probe)] = True
         return np.packbits(found)
 
+    @classmethod
+    def of_bucket(cls, n: int, hashes: np.ndarray, counts: np.ndarray, least: dict[int, int]) -> CountFilter:
+        """A filter of one part that holds all these n-grams of one bucket."""
+        entries = int(np.maximum(level(counts) - least[n] + 1, 0).sum())
+        made = cls(0, -(-entries * ENTRY_BITS // 64) * 64, least)
+        made.parts = made.part(n, hashes, counts)
+        return made
+
     def levels(self, n: int, hashes: np.ndarray) -> np.ndarray:
         """The level that each n-gram has in the filter; 0 if it is not there."""
         found = np.zeros(len(hashes), dtype=np.int64)
         if self.part_bits == 0:
             return found
         alive = np.arange(len(hashes))
-        start = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) * self.part_bits
+        start = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) * self.part_bits if self.bits else np.zeros(len(hashes), np.int64)
         for j in range(self.least[n], LEVELS):
             for probe in range(PROBES):
                 bit = start[alive] + self.places(hashes[alive], j, probe)
@@ -159,7 +170,10 @@ class CountFilter:
 
 
 def build_filter(grams: DataFrame, limit_bytes: int = FILTER_BYTES) -> CountFilter:
-    """The filter of saved counts, not larger than ``limit_bytes``."""
+    """A filter in one piece of saved counts, for a caller who wants it not larger than ``limit_bytes``.
+
+    What doesn't fit is left out, the pairs of the lowest levels first; ``score`` doesn't use it.
+    """
     bits = bucket_bits(grams.sparkSession)
     held = {n: np.zeros(LEVELS, np.int64) for n in (1, 2)}
     for n, j, total in grams.select("n", F.posexplode("held")).groupBy("n", "pos").agg(F.sum("col")).collect():
@@ -188,54 +202,140 @@ def build_filter(grams: DataFrame, limit_bytes: int = FILTER_BYTES) -> CountFilt
     return made
 
 
+def chunked(rows: DataFrame) -> DataFrame:
+    """Saved ``rows`` (key, held_out, text), about ``CHUNK_BYTES`` of text packed into each: (chunk, rows)."""
+    kind = rows.schema["key"].dataType.simpleString()
+
+    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
+        own = pa.StructArray.from_arrays(columns, names=["key", "held_out", "text"])
+        return pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)], names=["rows"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            first = 0
+            for row, length in enumerate(lengths.tolist()):
+                if size and size + length > CHUNK_BYTES:
+                    if row > first:
+                        parts.append(batch.slice(first, row - first))
+                    yield packed(parts)
+                    parts, size, first = [], 0, row
+                size += length + 8
+            if len(lengths) > first:
+                parts.append(batch.slice(first))
+        if parts:
+            yield packed(parts)
+
+    found = rows.mapInArrow(work, f"rows array<struct<key:{kind},held_out:boolean,text:string>>")
+    return saved(found.withColumn("chunk", F.monotonically_increasing_id()), "lm-chunks")
+
+
+def read_grams(chunks: DataFrame) -> DataFrame:
+    """Saved (bucket, n, hashes, counts) for the exact counts of words and (chunk, bucket, n, levels) for the n-grams of chunks.
+
+    The distinct n-grams of a chunk, those of held-out rows too, meet the counts of the training rows in their bucket;
+    ``levels`` has what the filter says of each, in the order of their hashes.
+    """
+    bits = bucket_bits(chunks.sparkSession)
+    least = {1: 1, 2: int(level(np.array([LEAST_PAIRS]))[0])}
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, chunk in enumerate(batch.column(0).to_pylist()):
+                texts, held_out = batch.column(1)[at].values, batch.column(2)[at].values.to_numpy(zero_copy_only=False).astype(bool)
+                grams, trained = [[], []], []
+                for first, last, words in blocks(texts):
+                    word, before, bounds = tokens(words)
+                    grams[0].append(word)
+                    grams[1].append(pair(before, word))
+                    trained.append(np.repeat(~held_out[first:last], np.diff(bounds)))
+                trained = np.concatenate(trained)
+                for n, values in enumerate(grams, 1):
+                    own, place = np.unique(np.concatenate(values), return_inverse=True)
+                    counts = np.bincount(place[trained], minlength=len(own)).astype(np.uint32)
+                    rows = [(chunk, b, n, h.tobytes(), c.tobytes()) for b, h, (c,) in dealt(own, bits, counts)]
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "hashes", "counts"])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, n), (chunks, hashes, counts) in by_bucket(in_order(batches), 2).items():
+            hashes = [np.frombuffer(x, np.uint64) for x in hashes]
+            own, total = summed(hashes, [np.frombuffer(x, np.uint32) for x in counts])
+            seen = total >= (LEAST_PAIRS if n == 2 else 1)
+            levels = CountFilter.of_bucket(n, own[seen], total[seen], least).levels(n, own).astype(np.uint8)
+            rows = [(c, bucket, n, None, None, levels[np.searchsorted(own, h)].tobytes()) for c, h in zip(chunks, hashes, strict=True)]
+            if n == 1 and seen.any():
+                rows.append((None, bucket, n, own[seen].tobytes(), total[seen].tobytes(), None))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "hashes", "counts", "levels"])
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.select(["bucket", "n", "chunk", "hashes", "counts"])
+
+    schema = "chunk long, bucket int, n int, hashes binary, counts binary"
+    found = chunks.select("chunk", "rows.text", "rows.held_out").mapInArrow(partial, schema)
+    return saved(found.repartition("bucket").mapInArrow(merged, f"{schema}, levels binary"), "gram-levels")
+
+
 class Model:
-    """Smoothed probabilities of tokens from the filter."""
+    """Smoothed probabilities of tokens from the levels of their n-grams."""
 
-    def __init__(self, counts: CountFilter, total: int, distinct: int):
-        self.counts, self.size = counts, total + distinct + 1
+    def __init__(self, total: int, distinct: int):
+        self.size = total + distinct + 1
         self.weights = np.full(LEVELS, 0.2)
 
-    def parts(self, word: np.ndarray, before: np.ndarray, left_out: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(level of the context, share of the pair in its context, probability of the word alone) by token."""
-        words, place = np.unique(word, return_inverse=True)
-        levels = self.counts.levels(1, words)
-        single = typical(levels)[place]
-        at = np.searchsorted(words, before)
-        at[at == len(words)] = 0
-        known = words[at] == before if len(words) else np.zeros(0, bool)
-        context = np.where(known, levels[at], 0) if len(words) else np.zeros(0, np.int64)
-        pairs, where = np.unique(pair(before, word), return_inverse=True)
-        both = typical(self.counts.levels(2, pairs))[where]
-        around = typical(context)
+    def parts(self, words: np.ndarray, pairs: np.ndarray, bounds: np.ndarray, left_out: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(level of the context, share of the pair in its context, probability of the word alone) by token.
+
+        ``words`` and ``pairs`` are levels; the last token of a text is its end, which also stands before its first.
+        """
+        context = np.zeros(len(words), np.int64)
+        context[1:] = words[:-1]
+        context[bounds[:-1]] = words[bounds[1:] - 1]
+        single, both, around = typical(words.astype(np.int64)), typical(pairs.astype(np.int64)), typical(context)
         if left_out:
             both, around, single = np.maximum(both - 1, 0), around - 1, np.maximum(single - 1, 0)
         share = np.minimum(np.where(around > 0, both / np.maximum(around, 1), 0), 1)
         return context, share, (single + 1) / self.size
 
-    def scores(self, words: Words) -> np.ndarray:
+    def scores(self, words: np.ndarray, pairs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """log10 of the probability of each text of a block."""
-        word, before, bounds = tokens(words)
-        context, share, single = self.parts(word, before)
+        context, share, single = self.parts(words, pairs, bounds)
         weight = self.weights[context]
         return np.add.reduceat(np.log10(weight * share + (1 - weight) * single), bounds[:-1])
 
 
-def fit_weights(model: Model, train: DataFrame, text: str = "text") -> None:
+def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, one past the last, word levels, pair levels, bounds) of some rows at a time."""
+    words, pairs = (batch.column(batch.schema.get_field_index(c)) for c in ("word_levels", "pair_levels"))
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False))])
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + CHUNK_TOKENS, side="right")) - 1)
+        told = [np.frombuffer(b"".join(x.slice(first, last - first).to_pylist()), np.uint8) for x in (words, pairs)]
+        yield first, last, *told, ends[first : last + 1] - ends[first]
+        first = last
+
+
+def fit_weights(model: Model, train: DataFrame) -> None:
     """One expectation step over all training rows: how often the pair, not the word alone, explains a token."""
     shared = train.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told, seen = np.zeros(LEVELS), np.zeros(LEVELS)
         for batch in batches:
-            for _, _, words in blocks(batch.column(0)):
-                word, before, _ = tokens(words)
-                context, share, single = shared.value.parts(word, before, left_out=True)
+            for _, _, words, pairs, bounds in unpacked(batch):
+                context, share, single = shared.value.parts(words, pairs, bounds, left_out=True)
                 weight = shared.value.weights[context]
                 told += np.bincount(context, weight * share / (weight * share + (1 - weight) * single), LEVELS)
                 seen += np.bincount(context, minlength=LEVELS)
         yield pa.record_batch([pa.array(range(LEVELS), pa.int32()), pa.array(told), pa.array(seen)], names=["level", "told", "seen"])
 
-    found = train.select(F.col(text).cast("string")).mapInArrow(work, "level int, told double, seen double")
+    found = train.select("word_levels", "pair_levels").mapInArrow(work, "level int, told double, seen double")
     for at, told, seen in found.groupBy("level").agg(F.sum("told"), F.sum("seen")).collect():
         model.weights[at] = (told + 0.01) / (seen + 1)
 
@@ -245,44 +345,73 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).cast("string").alias("text"))
-    train = rows.filter(~F.col("held_out"))
-    grams = count_grams(train)
-    vocabulary = word_counts(grams)
+    chunks = chunked(rows)
+    grams = read_grams(chunks)
+    vocabulary = word_counts(grams.filter("chunk is null"))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     head = vocabulary.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toPandas().sort_values("word")
-    model = Model(build_filter(grams), total, distinct)
-    fit_weights(model, train)
-    shared = spark.sparkContext.broadcast((model, head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
-    names = ["key", "held_out", "n_tokens", "n_known", "logs", "score", "words", "times"]
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+    shared = spark.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+    names = ["key", "held_out", "n_tokens", "n_known", "logs", "words", "times", "word_levels", "pair_levels"]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent, counts = shared.value
+    def work(own: pa.Table, answers: pa.Table) -> pa.Table:
+        frequent, counts = shared.value
         logs = np.log10(counts + 1.0)
+        told: dict[int, list[tuple[int, bytes]]] = {1: [], 2: []}
+        for bucket, n, levels in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "levels")), strict=True):
+            told[n].append((bucket, levels))
+        texts, made = own.column("text").combine_chunks(), []
+        cut = [(first, last, *tokens(words)) for first, last, words in blocks(texts)]
+        levels = []
+        for n, values in ((1, [word for _, _, word, _, _ in cut]), (2, [pair(before, word) for _, _, word, before, _ in cut])):
+            distinct, place = np.unique(np.concatenate(values), return_inverse=True)
+            # The hashes of a bucket are next to each other, so levels by bucket are levels by hash.
+            found = np.frombuffer(b"".join(x for _, x in sorted(told[n])), np.uint8)
+            if len(found) != len(distinct):
+                raise ValueError(f"levels of {len(found)} of {len(distinct)} n-grams came back")
+            levels.append(found[place])
+        start = 0
+        for first, last, word, _, bounds in cut:
+            word = word.view(np.int64)
+            at = np.searchsorted(frequent, word)
+            at[at == len(frequent)] = 0
+            known = frequent[at] == word if len(frequent) else np.zeros(len(word), bool)
+            sums = np.add.reduceat(np.where(known, logs[at] if len(frequent) else 0.0, 0.0), bounds[:-1])
+            n_known = np.add.reduceat(known.astype(np.int64), bounds[:-1])
+            rest, times = [], []
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                rare, n = np.unique(word[a:b][~known[a:b]], return_counts=True)
+                rest.append(rare)
+                times.append(n)
+            columns = [pa.array(list(c), k) for c, k in zip((np.diff(bounds), n_known, sums, rest, times), kinds, strict=True)]
+            columns += [pa.array([x[start + a : start + b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()) for x in levels]
+            start += len(word)
+            part = own.slice(first, last - first)
+            made.append(pa.table([part.column("key"), part.column("held_out"), *columns], names=names))
+        return pa.concat_tables(made)
+
+    kind = rows.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, logs double, words array<long>, times array<int>, word_levels binary, pair_levels binary"
+    of_rows = chunks.select("chunk", F.explode("rows").alias("r")).select("chunk", "r.*")
+    of_grams = grams.filter("chunk is not null").select("chunk", "bucket", "n", "levels")
+    found = of_rows.groupBy("chunk").cogroup(of_grams.groupBy("chunk")).applyInArrow(work, schema)
+    table = saved(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    model = Model(total, distinct)
+    fit_weights(model, table.filter(~F.col("held_out")))
+    fitted = spark.sparkContext.broadcast(model)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last, words in blocks(batch.column(2)):
-                word, _, bounds = tokens(words)
-                word = word.view(np.int64)
-                at = np.searchsorted(frequent, word)
-                at[at == len(frequent)] = 0
-                known = frequent[at] == word if len(frequent) else np.zeros(len(word), bool)
-                sums = np.add.reduceat(np.where(known, logs[at] if len(frequent) else 0.0, 0.0), bounds[:-1])
-                n_known = np.add.reduceat(known.astype(np.int64), bounds[:-1])
-                rest, times = [], []
-                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                    own, n = np.unique(word[a:b][~known[a:b]], return_counts=True)
-                    rest.append(own)
-                    times.append(n)
-                columns = (np.diff(bounds), n_known, sums, model.scores(words), rest, times)
-                part = batch.slice(first, last - first)
-                yield pa.record_batch([part.column(0), part.column(1), *[pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]], names=names)
-
-    schema = f"key {rows.schema['key'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, logs double, score double, words array<long>, times array<int>"
-    table = saved(rows.mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+            rest = batch.select(["row", "key", "held_out", "n_tokens", "n_known", "logs"])
+            for first, last, words, pairs, bounds in unpacked(batch):
+                score = pa.array(fitted.value.scores(words, pairs, bounds))
+                yield pa.record_batch([*rest.slice(first, last - first).columns, score], names=[*rest.schema.names, "score"])
+
+    told = table.drop("words", "times").mapInArrow(scored, f"row long, key {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double")
     rare = table.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("n"))
     met = rare.join(vocabulary, "word").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
     size = float(np.log10(total + distinct + 1))
-    return table.join(met, "row", "left").select(
+    return told.join(met, "row", "left").select(
         F.col("key").alias(key),
         "held_out",
         "n_tokens",

@@ -70,6 +70,18 @@ def test_small_filter_and_empty_tables(spark, frame, documents):
     assert [r["train_tokens"] for r in untrained] == [0, 0, 0] and all(r["n_known"] == 0 for r in untrained)
 
 
+def test_no_pair_is_left_out_for_size(frame, documents, monkeypatch):
+    """Scores don't change with the bound of the filter in one piece, nor with the number of chunks."""
+    docs = documents.select("doc_id", "text").limit(100).unionByName(frame([(7_000_000 + k, "one two " * 40) for k in range(8)], "doc_id long, text string"))
+    scores = lambda: {r["doc_id"]: round(r["score"], 9) for r in lm.score(docs, F.lit(False)).collect()}
+    whole = scores()
+    monkeypatch.setattr(lm, "FILTER_BYTES", 1 << 8)
+    monkeypatch.setattr(lm.build_filter, "__defaults__", (1 << 8,))
+    assert scores() == whole
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 12)
+    assert scores() == whole
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
