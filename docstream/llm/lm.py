@@ -1,6 +1,6 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Words and pairs of neighbouring words of the training rows are counted exactly by a shuffle. A count c is quantised
+Words and pairs of neighbouring words of the training rows, those seen once too, are counted exactly by a shuffle. A count c is quantised
 to the level 1 + floor(log2 c), and the filter holds (n-gram, j) for every level j up to its own; a count is read back
 by probing j = 1, 2, ... until a probe fails. The filter is in parts, one for each bucket of hashes, and is nowhere
 in one piece: the distinct n-grams of each chunk of rows are dealt to the buckets, counted there, made into the part
@@ -39,8 +39,6 @@ END = np.uint64(0x5EED0FE4D0000001)
 CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS, FILTER_BYTES = 2_000_000, 12 << 20, 1 << 18, 1 << 26
 #: Bits of the filter for each (n-gram, level) it holds, and probes for each.
 ENTRY_BITS, PROBES = 10, 5
-#: Pairs seen less often are not in the filter.
-LEAST_PAIRS = 2
 LEVELS = 64
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 
@@ -102,8 +100,6 @@ def count_grams(train: DataFrame, text: str = "text") -> DataFrame:
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, n), (hashes, counts) in by_bucket(batches, 2).items():
             own, total = summed([np.frombuffer(x, np.uint64) for x in hashes], [np.frombuffer(x, np.uint32) for x in counts])
-            if n == 2:
-                own, total = own[total >= LEAST_PAIRS], total[total >= LEAST_PAIRS]
             held = np.bincount(level(total), minlength=LEVELS).tolist() if len(total) else [0] * LEVELS
             yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([n], pa.int32()), pa.array([own.tobytes()]), pa.array([total.astype(np.int64).tobytes()]), pa.array([held], pa.list_(pa.int64()))], names=["bucket", "n", "hashes", "counts", "held"])
 
@@ -145,10 +141,9 @@ class CountFilter:
         return np.packbits(found)
 
     @classmethod
-    def of_bucket(cls, n: int, hashes: np.ndarray, counts: np.ndarray, least: dict[int, int]) -> CountFilter:
+    def of_bucket(cls, n: int, hashes: np.ndarray, counts: np.ndarray) -> CountFilter:
         """A filter of one part that holds all these n-grams of one bucket."""
-        entries = int(np.maximum(level(counts) - least[n] + 1, 0).sum())
-        made = cls(0, -(-entries * ENTRY_BITS // 64) * 64, least)
+        made = cls(0, -(-int(level(counts).sum()) * ENTRY_BITS // 64) * 64, {n: 1})
         made.parts = made.part(n, hashes, counts)
         return made
 
@@ -179,7 +174,7 @@ def build_filter(grams: DataFrame, limit_bytes: int = FILTER_BYTES) -> CountFilt
     for n, j, total in grams.select("n", F.posexplode("held")).groupBy("n", "pos").agg(F.sum("col")).collect():
         held[n][j] = total
     above = {n: x[::-1].cumsum()[::-1] for n, x in held.items()}
-    least = {1: 1, 2: int(level(np.array([LEAST_PAIRS]))[0])}
+    least = {1: 1, 2: 1}
     entries = lambda: sum(int(above[n][least[n] :].sum()) for n in (1, 2))
     while entries() * ENTRY_BITS > 8 * limit_bytes:
         least[2 if least[2] < LEVELS - 1 else 1] += 1
@@ -240,7 +235,6 @@ def read_grams(chunks: DataFrame) -> DataFrame:
     ``levels`` has what the filter says of each, in the order of their hashes.
     """
     bits = bucket_bits(chunks.sparkSession)
-    least = {1: 1, 2: int(level(np.array([LEAST_PAIRS]))[0])}
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,8 +258,8 @@ def read_grams(chunks: DataFrame) -> DataFrame:
         for (bucket, n), (chunks, hashes, counts) in by_bucket(in_order(batches), 2).items():
             hashes = [np.frombuffer(x, np.uint64) for x in hashes]
             own, total = summed(hashes, [np.frombuffer(x, np.uint32) for x in counts])
-            seen = total >= (LEAST_PAIRS if n == 2 else 1)
-            levels = CountFilter.of_bucket(n, own[seen], total[seen], least).levels(n, own).astype(np.uint8)
+            seen = total > 0
+            levels = CountFilter.of_bucket(n, own[seen], total[seen]).levels(n, own).astype(np.uint8)
             rows = [(c, bucket, n, None, None, levels[np.searchsorted(own, h)].tobytes()) for c, h in zip(chunks, hashes, strict=True)]
             if n == 1 and seen.any():
                 rows.append((None, bucket, n, own[seen].tobytes(), total[seen].tobytes(), None))

@@ -82,6 +82,18 @@ def test_no_pair_is_left_out_for_size(frame, documents, monkeypatch):
     assert scores() == whole
 
 
+def test_pairs_seen_once_are_in_the_model(frame):
+    """A passage that occurs once in training scores above the same words in another order."""
+    trained = [(k, " ".join(f"w{(k * 7 + j * (k % 5 + 1)) % 50}" for j in range(50))) for k in range(20)]
+    passage = trained[3][1].split()
+    docs = frame([*trained, (100, " ".join(passage)), (101, " ".join(passage[::-1]))], "doc_id long, text string")
+    grams = lm.read_grams(lm.chunked(docs.filter("doc_id < 20").selectExpr("doc_id AS key", "false AS held_out", "text")))
+    once = [np.frombuffer(r["levels"], np.uint8) for r in grams.filter("n = 2 AND chunk IS NOT NULL").collect()]
+    assert (np.concatenate(once) >= 1).all() and (np.concatenate(once) == 1).any()
+    found = {r["doc_id"]: r["score"] for r in lm.score(docs, F.col("doc_id") >= 100).collect()}
+    assert found[100] > found[101]
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
