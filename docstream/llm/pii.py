@@ -17,7 +17,8 @@ date      year-month-day, day/month/year or month/day/year, day.month.year;
 email     a name, @ and a domain with a dot                                      domain, stops in the name
 ========  =====================================================================  ==========================
 
-What is not valid stays as it is. A null text stays null with no findings, an empty one empty; repeated rows get
+A run of numbers that is no value as a whole is searched for the values in it: cards and IBANs between separators, the
+longest first (an IBAN has its country's length), then the other kinds in what is left. What is not valid stays as it is. A null text stays null with no findings, an empty one empty; repeated rows get
 equal results; an empty table gives an empty result; texts are worked on whole; other columns pass, but one named
 ``n_found`` is replaced.
 """
@@ -39,7 +40,21 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 LOCAL_PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
 WORLD_PHONE = r"(?<![0-9+])\+[1-9](?:[ ().-]{0,2}[0-9]){7,14}(?![0-9])"
-ANY = "|".join((EMAIL, IBAN, IPV4, ISO_DATE, DAY_DATE, SSN, CARD, LOCAL_PHONE, WORLD_PHONE))
+#: A run of 13 or more digits with single separators, up to a token that an address begins with; an IBAN with the numbers after it.
+TOKEN = r"[ ./-][0-9]++(?![A-Za-z0-9._%+-]{0,64}+@)"
+RUN = rf"(?<![0-9])(?=[0-9](?:[ ./-]?[0-9]){{12}})[0-9]++(?:{TOKEN})*+"
+ANY = "|".join((EMAIL, rf"{IBAN}(?:{TOKEN})*+", IPV4, ISO_DATE, DAY_DATE, SSN, RUN, LOCAL_PHONE, WORLD_PHONE))
+#: What is looked for beside the cards and IBANs of a run.
+BESIDE = "|".join((IPV4, ISO_DATE, DAY_DATE, SSN, LOCAL_PHONE))
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Most tokens that a card or an IBAN has.
+MOST_TOKENS = 19
 ALNUM = "0123456789abcdefghijklmnopqrstuvwxyz"
 FIRST_DAY, N_DAYS = "1900-01-01", 17 * 4297
 ROUNDS = 10
@@ -187,13 +202,69 @@ def pseudonym(key: str, value: Column) -> Column:
     is_a = lambda pattern: value.rlike(f"^(?:{pattern})$")
     kinds = [
         (value.contains("@"), email(key, value)),
-        (value.rlike("^[A-Z]"), iban(key, value)),
+        (is_a(IBAN), iban(key, value)),
         (is_a(IPV4), ipv4(key, value)),
         (is_a(ISO_DATE) | is_a(DAY_DATE), date(key, value)),
         (is_a(SSN), ssn(key, value)),
         (is_a(LOCAL_PHONE) | is_a(WORLD_PHONE), phone(key, value)),
     ]
-    return reduce(lambda case, kind: case.when(*kind), kinds[1:], F.when(*kinds[0])).otherwise(card(key, value))
+    return reduce(lambda case, kind: case.when(*kind), kinds[1:], F.when(*kinds[0])).when(is_a(CARD), card(key, value))
+
+
+def let(value: Column, made) -> Column:
+    """``made(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), made)[0]
+
+
+def within(value: Column) -> Column:
+    """(start, n) of the valid cards and IBANs among the pieces (tokens and separators in turn) of a run, in order; the longest win."""
+    country = lambda x: reduce(lambda case, at: case.when(F.substring(x, 1, 2).isin(at[1].split()), F.lit(at[0])), IBAN_LENGTHS.items(), F.when(F.lit(False), F.lit(0)))
+    compact = lambda x: F.replace(x, F.lit(" "), F.lit(""))
+    valid = lambda x: (
+        F.when(x.rlike(f"^(?:{CARD})$"), F.pmod(luhn_sum(digits(x)), F.lit(10)) == 0)
+        .when(x.rlike(f"^(?:{IBAN})$"), (F.coalesce(country(x), F.length(compact(x))) == F.length(compact(x))) & (mod97(compact(x)) == 1))
+        .otherwise(F.lit(False))
+    )
+
+    def chosen(pieces: Column) -> Column:
+        text = lambda i, k: F.array_join(F.slice(pieces, i + 1, 2 * k + 1), "")
+        spans = lambda i: F.transform(
+            F.sequence(F.lit(0), F.least(F.lit(MOST_TOKENS - 1), F.floor((F.size(pieces) - 1 - i) / 2).cast("int"))),
+            lambda k: F.struct((-F.length(text(i, k))).alias("size"), i.alias("start"), (2 * k + 1).alias("n"), text(i, k).alias("text")),
+        )
+        starts = F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(2))
+        found = F.array_sort(F.filter(F.flatten(F.transform(starts, spans)), lambda c: valid(c["text"])))
+        none = F.array().cast("array<struct<start:int,n:int>>")
+        free = lambda a, c: ~F.exists(a, lambda o: (c["start"] < o["start"] + o["n"]) & (o["start"] < c["start"] + c["n"]))
+        add = lambda a, c: F.when(free(a, c), F.concat(a, F.array(F.struct(c["start"].alias("start"), c["n"].alias("n"))))).otherwise(a)
+        return F.struct(pieces.alias("pieces"), F.array_sort(F.aggregate(found, none, add)).alias("at"))
+
+    return let(F.regexp_extract_all(value, F.lit("[A-Z0-9]+|[^A-Z0-9]"), F.lit(0)), chosen)
+
+
+def replaced(key: str, value: Column) -> Column:
+    """(text, n) of a match of ``ANY``: with pseudonyms for what is valid in it, and how many."""
+
+    def parts(run: Column) -> Column:
+        """Values of a run and what is beside them, as texts with whether they are a value."""
+        cut = lambda start, n: F.array_join(F.slice(run["pieces"], start + 1, n), "")
+        zero = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("told"))
+        # A gap, a value, a gap, ...
+        step = lambda a, c: F.struct((c["start"] + c["n"]).alias("end"), F.concat(a["told"], F.array(cut(a["end"], c["start"] - a["end"]), cut(c["start"], c["n"]))).alias("told"))
+        last = lambda a: F.concat(a["told"], F.array(cut(a["end"], F.size(run["pieces"]) - a["end"])))
+        told = F.aggregate(run["at"], zero, step, last)
+        beside = lambda t: F.zip_with(F.split(t, BESIDE), F.regexp_extract_all(t, F.lit(BESIDE), F.lit(0)), lambda gap, m: F.array(gap, F.coalesce(m, F.lit(""))))
+        return F.flatten(F.transform(told, lambda t, i: F.when(F.pmod(i, F.lit(2)) == 0, F.flatten(beside(t))).otherwise(F.array(t))))
+
+    def made(texts: Column) -> Column:
+        new = F.transform(texts, lambda t: F.struct(t.alias("old"), F.when(t.rlike("[0-9]"), pseudonym(key, t)).alias("new")))
+        return let(new, lambda x: F.struct(F.array_join(F.transform(x, lambda t: F.coalesce(t["new"], t["old"])), "").alias("text"), F.size(F.filter(x, lambda t: t["new"].isNotNull())).alias("n")))
+
+    whole = F.struct(value.alias("text"), F.lit(0).alias("n"))
+    is_run = value.rlike(f"^(?:{IBAN}(?:{TOKEN})*+|{RUN})$")
+    told = lambda new: F.when(new.isNotNull(), F.struct(new.alias("text"), F.lit(1).alias("n"))).when(is_run, let(parts_of(value), made)).otherwise(whole)
+    parts_of = lambda v: let(within(v), parts)
+    return let(pseudonym(key, value), told)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -205,10 +276,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     found = F.when(own.rlike("[0-9@]"), F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rest = [F.col(c) for c in docs.columns if c not in (text, "n_found")]
     df = docs.select(*rest, own.alias(text), F.explode(F.array(F.struct(found.alias("found")))).alias("_at"))
-    new = F.transform(F.col("_at.found"), lambda m: pseudonym(key, m))
-    made = F.when(F.size("_at.found") > 0, F.struct(F.split(F.col(text), ANY).alias("between"), F.col("_at.found").alias("found"), new.alias("new")))
+    new = F.transform(F.col("_at.found"), lambda m: replaced(key, m))
+    made = F.when(F.size("_at.found") > 0, F.struct(F.split(F.col(text), ANY).alias("between"), new.alias("new")))
     df = df.select(*rest, text, F.explode(F.array(made)).alias("_at"))
-    new = F.zip_with(F.col("_at.found"), F.col("_at.new"), lambda old, n: F.coalesce(n, old))
-    woven = F.array_join(F.flatten(F.zip_with(F.col("_at.between"), new, lambda gap, n: F.array(gap, F.coalesce(n, F.lit(""))))), "")
+    woven = F.array_join(F.flatten(F.zip_with(F.col("_at.between"), F.col("_at.new.text"), lambda gap, n: F.array(gap, F.coalesce(n, F.lit(""))))), "")
     order = [F.when(F.col("_at").isNull(), F.col(text)).otherwise(woven).alias(text) if c == text else F.col(c) for c in docs.columns if c != "n_found"]
-    return df.select(*order, F.coalesce(F.size(F.filter("_at.new", lambda n: n.isNotNull())), F.lit(0)).alias("n_found"))
+    return df.select(*order, F.coalesce(F.aggregate("_at.new.n", F.lit(0), lambda a, n: a + n), F.lit(0)).alias("n_found"))

@@ -83,3 +83,27 @@ def test_main_path_is_native(spark, documents):
     plan = pii.pseudonymise(documents, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
     assert pii.pseudonymise(documents.limit(0), "k").count() == 0
+
+
+def test_values_beside_others_are_found(spark):
+    cases = [
+        ("pay 4111 1111 1111 1111 12/25", ["4111 1111 1111 1111"], 1),
+        ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"], 1),
+        ("12 4111 1111 1111 1111", ["4111 1111 1111 1111"], 1),
+        ("4111 1111 1111 1111 5500 0000 0000 0004", ["4111 1111 1111 1111", "5500 0000 0000 0004"], 2),
+        ("415 555 1234 415 555 9876", ["415 555 1234", "415 555 9876"], 2),
+        ("4111 1111 1111 1111 12/25/2024 and 988-555-2485 2024-01-05", ["4111 1111 1111 1111", "12/25/2024", "988-555-2485", "2024-01-05"], 4),
+        ("BE68 5390 0754 7034 EUR", ["5390 0754 7034"], 1),
+        ("AT61 1904 3002 3457 3201 BIC", ["1904 3002 3457 3201"], 1),
+        ("AB12 4111 1111 1111 1111", ["4111 1111 1111 1111"], 1),
+        ("ES91 2100 0418 4502 0005 1332 4111 1111 1111 1111", ["2100 0418 4502 0005 1332", "4111 1111 1111 1111"], 2),
+        ("4111 1111 1111 1111 12bob@example.com", ["4111 1111 1111 1111", "12bob@"], 2),
+        ("5 7 " * 300 + "x", [], None),
+    ]
+    docs = spark.createDataFrame([(k, text) for k, (text, _, _) in enumerate(cases)], "id int, text string")
+    found = {r["id"]: r for r in pii.pseudonymise(docs, "key").collect()}
+    shape = lambda t: re.sub("[0-9]", "9", re.sub("[a-z0-9]+@", "@", t))
+    for k, (text, clear, n) in enumerate(cases):
+        new = found[k]["text"]
+        assert n is None or found[k]["n_found"] == n, (text, new)
+        assert not any(x in new for x in clear) and shape(new) == shape(text), (text, new)
