@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.functions.codecs import codec, encode_bytes, encoder

@@ -1,6 +1,6 @@
 """Rates over a log."""
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from docstream.operators import metrics

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.functions.names import end_key, group_name, lag_key

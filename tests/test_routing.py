@@ -1,7 +1,7 @@
 """Shards, fan-out, eligibility and audits."""
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.operators import audit, routing

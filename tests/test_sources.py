@@ -5,7 +5,7 @@ import json
 import re
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F, types as T
 
 from docstream.config import IngestConfig, parse_topics

@@ -1,7 +1,7 @@
 """The ingest job end to end: counts, crashes, restarts, compaction, control."""
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from docstream.config import IngestConfig

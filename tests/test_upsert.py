@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
