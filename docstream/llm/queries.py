@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstream.llm import chat, decontamination, jaccard_join, lm, packing, pii, quality, token_counts, toxicity, warc
+from docstream.llm import chat, decontamination, jaccard_join, lm, merkle, packing, pii, quality, token_counts, toxicity, warc
 from docstream.llm.tokenizing import tokenizer_path
 from docstream.session import scratch_dir
 
@@ -89,8 +89,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", token_counts.over(1024))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document; those of even checksums are folded up again without their line ends."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(fold(2) == 0, merkle.leaf([*fields[:-1], F.replace("text", F.lit("\n"), F.lit(""))]))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), "source", "doc_id", merkle.leaf(fields), tampered)
+    return found.withColumnRenamed("key", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts)
+    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts, op12_merkle)
     return {query.__name__: query for query in found}
 
 
@@ -156,5 +164,46 @@ FROM based
 """
 
 
+def _merkle_sql(leaf_levels: int = 14, group_levels: int = 10) -> str:
+    """The levels of both trees one by one; 3**14 documents of a source and 3**10 sources at most."""
+    said = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(said(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    # CRC-32 of the decimal digits: eight steps for each of them.
+    text = "list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)"
+    byte = "list_reduce(list_prepend(xor(s & 255, c), range(8)), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {text}), lambda s, c: xor(s >> 8, {byte})), 4294967295)"
+    steps = [
+        f"base AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS g, sha256({head} || {said('text')}) AS leaf, "
+        f"CASE WHEN {crc} % 2 = 0 THEN sha256({head} || {said("replace(text, chr(10), '')")}) END AS other FROM documents)",
+        "s0 AS MATERIALIZED (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS c FROM (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM base))",
+        "m0 AS MATERIALIZED (SELECT r, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, coalesce(other, leaf) AS f, '' AS proof FROM base)",
+    ]
+
+    def level(s: str, m: str, to: str, into: str) -> list[str]:
+        return [
+            f"{to} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS c FROM (SELECT g, i // 3 AS i, CASE WHEN max(c) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h FROM {s} GROUP BY g, i // 3))",
+            f"{into} AS MATERIALIZED (SELECT r, m.g, m.i // 3 AS i, CASE WHEN max(c) > 1 THEN sha256(string_agg(CASE WHEN s.i = m.i THEN f ELSE h END, '' ORDER BY s.i)) ELSE max(f) END AS f, "
+            f"proof || coalesce(string_agg(h, '' ORDER BY s.i) FILTER (s.i <> m.i), '') AS proof FROM {m} m JOIN {s} s ON s.g = m.g AND s.i // 3 = m.i // 3 GROUP BY r, m.g, m.i, proof)",
+        ]
+
+    for k in range(leaf_levels):
+        steps += level(f"s{k}", f"m{k}", f"s{k + 1}", f"m{k + 1}")
+    steps += [
+        f"tops AS MATERIALIZED (SELECT g AS name, row_number() OVER (ORDER BY g) - 1 AS i, h FROM s{leaf_levels})",
+        "t0 AS MATERIALIZED (SELECT '' AS g, i, h, count(*) OVER () AS c FROM tops)",
+        f"n0 AS MATERIALIZED (SELECT r, '' AS g, tops.i, f, proof FROM m{leaf_levels} JOIN tops ON name = g)",
+    ]
+    for k in range(group_levels):
+        steps += level(f"t{k}", f"n{k}", f"t{k + 1}", f"n{k + 1}")
+    return (
+        "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, tops.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t.h AS verified
+FROM base JOIN n{group_levels} n USING (r) JOIN tops ON tops.name = base.g CROSS JOIN t{group_levels} t"""
+    )
+
+
+OP12_SQL = _merkle_sql()
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op5_preferences": OP5_SQL, "op6_quality": OP6_SQL}
+    return {"op1_warc": OP1_SQL, "op5_preferences": OP5_SQL, "op6_quality": OP6_SQL, "op12_merkle": OP12_SQL}
