@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstream.llm import chat, decontamination, jaccard_join, lm, merkle, packing, pii, quality, token_counts, toxicity, warc
+from docstream.llm import chat, decontamination, jaccard_join, licenses, lm, merkle, packing, pii, quality, token_counts, toxicity, warc
 from docstream.llm.tokenizing import tokenizer_path
 from docstream.session import scratch_dir
 
@@ -97,8 +97,25 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id").withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: F.concat(p["label"], F.lit(":"), p["notice"]).isin([f"{n.label}:{n.text}" for n in licenses.PHRASES]))
+    starts = F.transform(base, lambda p: p["first_word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.labels(base).alias("base_labels"),
+        licenses.labels(F.col("places")).alias("labels"),
+        licenses.likeness(F.col("places")).alias("score"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts, op12_merkle)
+    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts, op12_merkle, op13_licenses)
     return {query.__name__: query for query in found}
 
 
