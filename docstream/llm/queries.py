@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstream.llm import chat, decontamination, jaccard_join, licenses, lm, merkle, packing, pii, quality, token_counts, toxicity, warc
+from docstream.llm import alignment, chat, decontamination, jaccard_join, licenses, lm, merkle, packing, pii, quality, token_counts, toxicity, warc
 from docstream.llm.tokenizing import tokenizer_path
 from docstream.session import scratch_dir
 
@@ -89,6 +89,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", token_counts.over(1024))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by two tokenizers, aligned, with the counts of linked pairs in all documents."""
+    return alignment.linked(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and root of every document; those of even checksums are folded up again without their line ends."""
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -115,7 +120,7 @@ def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts, op12_merkle, op13_licenses)
+    found = (op1_warc, op2_pii, op3_jaccard_join, op4_decontamination, op5_preferences, op6_quality, op7_lm, op8_packing, op9_toxicity, op10_token_counts, op11_alignment, op12_merkle, op13_licenses)
     return {query.__name__: query for query in found}
 
 
