@@ -11,6 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from docstream.session import scratch_dir
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many strokes behind it as it takes to differ from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bucket_bits(spark: SparkSession) -> int:
     """Bits of a hash that name its bucket: some eight buckets for each shuffle partition."""
     return max(8, (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length() - 1)

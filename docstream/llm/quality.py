@@ -6,8 +6,8 @@ rejects. Every rule reads the same row, so the order changes the cost, never the
 
 Words are runs of characters other than white space (blank, tab to carriage return); lines end at a line feed.
 A null or empty text has no words and fails the base check; repeated rows are judged each for itself; an empty
-table gives an empty result; texts of any length are read whole; other columns pass ``with_statistics`` and are
-replaced where they have the name of a statistic.
+table gives an empty result; texts of any length are read whole. ``keep`` returns other columns as they are, whatever
+their names; ``judge`` adds its columns and replaces those of the same names.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 WINDOW = 3
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Words of place holders and of pages that were not rendered.
+FILLER = r"(?i)lorem ipsum|(enable|activate|turn on|requires) javascript|javascript is (disabled|required)"
+#: Lines that a rule on lines asks for at least.
+SEVERAL = 3
 #: Rows on which costs and rejections are measured; they decide the order of the rules only.
 SAMPLE_ROWS = 500
 
@@ -40,6 +44,11 @@ def share(part: Column, whole: Column, percent: int) -> Column:
     return F.lit(100) * part > F.lit(percent) * whole
 
 
+def several(part: Column, whole: Column, percent: int) -> Column:
+    """Whether ``part`` is at least ``SEVERAL`` and more than so many percent of ``whole``."""
+    return (part >= SEVERAL) & share(part, whole, percent)
+
+
 def matching(items: Column, pattern: str) -> Column:
     return F.size(F.filter(items, lambda x: x.rlike(pattern)))
 
@@ -55,9 +64,10 @@ def default_rules() -> list[Rule]:
         # One repeated line among three says little.
         Rule("repeated_lines", (F.col("n_dup_lines") > 1) & share(F.col("n_dup_lines"), F.size(lines), 30)),
         Rule("few_letters", share(matching(words, r"^[^\p{L}]+$"), n, 20)),
-        Rule("ellipsis_lines", share(matching(lines, r"(\.\.\.|…)\s*$"), F.size(lines), 30)),
-        Rule("bullet_lines", share(matching(lines, r"^\s*[-*•●]"), F.size(lines), 90)),
-        Rule("filler", share(matching(lines, r"(?i)lorem ipsum|javascript"), F.size(lines), 10)),
+        # A line or two say little in short texts, or in those of few long lines.
+        Rule("ellipsis_lines", several(matching(lines, r"(\.\.\.|…)\s*$"), F.size(lines), 30)),
+        Rule("bullet_lines", several(matching(lines, r"^\s*[-*•●]"), F.size(lines), 90)),
+        Rule("filler", several(matching(lines, FILLER), F.size(lines), 10)),
     ]
 
 
@@ -147,11 +157,23 @@ def rejected_by(rules: Sequence[Rule]) -> Column:
     return case
 
 
-def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with the base statistics, ``base_failed``, ``rejected_by`` and ``kept``."""
+def _judged(docs: DataFrame, rules: Sequence[Rule] | None, sample_rows: int, text: str) -> DataFrame:
+    """``row``, a row of ``docs`` whole, beside what is worked out for it."""
     rules = list(default_rules() if rules is None else rules)
-    rules = ordered(rules, measure(docs, rules, sample_rows)) if len(rules) > 1 else rules
-    df = held(with_statistics(docs), base_failed=base_failed())
+    rules = ordered(rules, measure(docs, rules, sample_rows, text)) if len(rules) > 1 else rules
+    df = with_statistics(docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text")))
+    df = held(df, base_failed=base_failed())
     verdict = F.when(F.col("base_failed"), F.lit("base")).otherwise(rejected_by(rules)) if rules else F.when(F.col("base_failed"), F.lit("base"))
-    df = held(df, rejected_by=verdict).withColumn("kept", F.col("rejected_by").isNull())
-    return df.drop("words", "lines")
+    return held(df, rejected_by=verdict).withColumn("kept", F.col("rejected_by").isNull())
+
+
+def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> DataFrame:
+    """``docs`` with the base statistics, ``base_failed``, ``rejected_by`` and ``kept``."""
+    made = (*STATISTICS, "base_failed", "rejected_by", "kept")
+    rest = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in made]
+    return _judged(docs, rules, sample_rows, text).select(*rest, *made)
+
+
+def keep(docs: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = SAMPLE_ROWS, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that neither the base check nor a rule rejects."""
+    return _judged(docs, rules, sample_rows, text).filter("kept").select("row.*")

@@ -137,6 +137,24 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM headed
 """
 
+OP3_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS s FROM cut),
+sets AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM shingled),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
+  FROM sets a JOIN sets b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs WHERE 100 * common >= 85 * (n + m - common)
+  UNION ALL SELECT b, a FROM pairs WHERE 100 * common >= 85 * (n + m - common)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(b) AS component_id FROM shingled JOIN reached ON a = doc_id GROUP BY doc_id, len(s)
+"""
+
 OP5_SQL = """
 WITH turns AS (
   SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn, coalesce(role, ''), coalesce(text, '')) AS t
@@ -179,10 +197,10 @@ based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 100 * n_symbols > 10 * n_words
     OR (n_dup_lines > 1 AND 100 * n_dup_lines > 30 * len(l)) OR 100 * len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) > 20 * n_words
-    OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) > 30 * len(l)
-    OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•●]'))) > 90 * len(l)
-    OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '(?i)lorem ipsum|javascript'))) > 10 * len(l)) AS kept
-FROM based
+    OR (dots > 2 AND 100 * dots > 30 * len(l)) OR (bullets > 2 AND 100 * bullets > 90 * len(l)) OR (filler > 2 AND 100 * filler > 10 * len(l))) AS kept
+FROM (SELECT *, len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS dots,
+  len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•●]'))) AS bullets,
+  len(list_filter(l, lambda x: regexp_matches(x, '(?i)lorem ipsum|(enable|activate|turn on|requires) javascript|javascript is (disabled|required)'))) AS filler FROM based)
 """
 
 
@@ -228,4 +246,4 @@ OP12_SQL = _merkle_sql()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op5_preferences": OP5_SQL, "op6_quality": OP6_SQL, "op12_merkle": OP12_SQL}
+    return {"op1_warc": OP1_SQL, "op3_jaccard_join": OP3_SQL, "op5_preferences": OP5_SQL, "op6_quality": OP6_SQL, "op12_merkle": OP12_SQL}
