@@ -213,10 +213,16 @@ def pack(
         pool: list[tuple[int | None, bytes]] = []
         held = 0
 
-        def add(keys: list, texts: list[bytes]) -> None:
-            nonlocal held
-            pool.extend(zip(keys, ids.of(texts, end), strict=True))
-            held += sum(len(x) for _, x in pool[-len(keys) :]) // 4
+        def add(keys: list, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+            nonlocal held, sequence
+            for doc, own in zip(keys, ids.of(texts, end), strict=True):
+                pool.append((doc, own))
+                held += len(own) // 4
+                if held >= pool_tokens:
+                    found, sequence = packed(pool, sequence)
+                    yield found
+                    pool.clear()
+                    held = 0
 
         for batch in batches:
             keys, texts, size = [], [], 0
@@ -226,14 +232,10 @@ def pack(
                 texts.append(value)
                 size += len(value)
                 if size >= TEXT_BYTES:
-                    add(keys, texts)
+                    yield from add(keys, texts)
                     keys, texts, size = [], [], 0
-                    if held >= pool_tokens:
-                        found, sequence = packed(pool, sequence)
-                        yield found
-                        pool, held = [], 0
             if keys:
-                add(keys, texts)
+                yield from add(keys, texts)
         if pool:
             yield packed(pool, sequence)[0]
 
