@@ -25,11 +25,15 @@ equal results; an empty table gives an empty result; texts are worked on whole;
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docstream.llm.dealing import unused
+
 #: Patterns of the kinds.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])"
@@ -267,18 +271,26 @@ def replaced(key: str, value: Column) -> Column:
     return let(pseudonym(key, value), told)
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``text`` pseudonymised and ``n_found``, the number of values replaced.
+def working_key(secret: str) -> str:
+    """What the permutations are keyed by: made of the secret, which doesn't show in plans and logs, and can't be had from it."""
+    return hmac.new(secret.encode(), b"format-preserving pseudonyms", hashlib.sha256).hexdigest()
+
+
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", counted: str = "n_found") -> DataFrame:
+    """``docs`` with ``text`` pseudonymised and ``counted``, the number of values replaced.
 
-    ``key`` is the secret: the same key gives the same pseudonyms. Texts without a digit or @ are not searched.
+    ``key`` is the secret: the same key gives the same pseudonyms. Plans hold a key made of it by a one-way function;
+    whoever reads plans or event logs could make the same pseudonyms, but not find the secret of other work. Texts
+    without a digit or @ are not searched.
     """
+    key, at = working_key(key), unused(docs, "_at")
     own = F.col(text).cast("string")
     found = F.when(own.rlike("[0-9@]"), F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rest = [F.col(c) for c in docs.columns if c not in (text, "n_found")]
-    df = docs.select(*rest, own.alias(text), F.explode(F.array(F.struct(found.alias("found")))).alias("_at"))
-    new = F.transform(F.col("_at.found"), lambda m: replaced(key, m))
-    made = F.when(F.size("_at.found") > 0, F.struct(F.split(F.col(text), ANY).alias("between"), new.alias("new")))
-    df = df.select(*rest, text, F.explode(F.array(made)).alias("_at"))
-    woven = F.array_join(F.flatten(F.zip_with(F.col("_at.between"), F.col("_at.new.text"), lambda gap, n: F.array(gap, F.coalesce(n, F.lit(""))))), "")
-    order = [F.when(F.col("_at").isNull(), F.col(text)).otherwise(woven).alias(text) if c == text else F.col(c) for c in docs.columns if c != "n_found"]
-    return df.select(*order, F.coalesce(F.aggregate("_at.new.n", F.lit(0), lambda a, n: a + n), F.lit(0)).alias("n_found"))
+    rest = [F.col(c) for c in docs.columns if c not in (text, counted)]
+    df = docs.select(*rest, own.alias(text), F.explode(F.array(F.struct(found.alias("found")))).alias(at))
+    new = F.transform(F.col(f"{at}.found"), lambda m: replaced(key, m))
+    made = F.when(F.size(f"{at}.found") > 0, F.struct(F.split(F.col(text), ANY).alias("between"), new.alias("new")))
+    df = df.select(*rest, text, F.explode(F.array(made)).alias(at))
+    woven = F.array_join(F.flatten(F.zip_with(F.col(f"{at}.between"), F.col(f"{at}.new.text"), lambda gap, n: F.array(gap, F.coalesce(n, F.lit(""))))), "")
+    order = [F.when(F.col(at).isNull(), F.col(text)).otherwise(woven).alias(text) if c == text else F.col(c) for c in docs.columns if c != counted]
+    return df.select(*order, F.coalesce(F.aggregate(f"{at}.new.n", F.lit(0), lambda a, n: a + n), F.lit(0)).alias(counted))
