@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docstream.llm.dealing import saved, unused
 from docstream.llm.shipping import ship
 from docstream.llm.words import PUNCTUATION, SPACES, blocks
 
@@ -172,19 +173,24 @@ def _found_in(docs: DataFrame, items: Items, text: str, to: str) -> DataFrame:
     return docs.mapInArrow(work, docs.schema)
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", budget: int = BUDGET) -> DataFrame:
-    """``docs`` with ``matches``: (item_id, distance, start, end) of passages within the budget, places in words."""
+def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", budget: int = BUDGET, block_words: int = BLOCK_WORDS, to: str = "matches") -> DataFrame:
+    """``docs`` with ``to``: (item_id, distance, start, end) of passages within the budget, places in words.
+
+    Items come in blocks of about ``block_words`` words, a pass over the texts each; what a pass finds is saved before
+    the next, so a worker holds one block at a time.
+    """
     ship(docs.sparkSession)
-    df = docs.drop("matches").withColumn("matches", F.array().cast(MATCHES))
-    for items in item_blocks(benchmark, item_key, item_text, budget):
-        df = _found_in(df, items, text, "matches")
-    return df.withColumn("matches", F.array_sort("matches"))
+    df = docs.drop(to).withColumn(to, F.array().cast(MATCHES))
+    for number, items in enumerate(item_blocks(benchmark, item_key, item_text, budget, block_words)):
+        df = _found_in(saved(df, "searched") if number else df, items, text, to)
+    return df.withColumn(to, F.array_sort(to))
 
 
-def contaminated() -> Column:
-    return F.size("matches") > 0
+def contaminated(to: str = "matches") -> Column:
+    return F.size(to) > 0
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs`` without those in which a test item is found."""
-    return find_items(docs, benchmark, text, **how).filter(~contaminated()).select(*docs.columns)
+    to = unused(docs, "matches")
+    return find_items(docs, benchmark, text, to=to, **how).filter(~contaminated(to)).select(*docs.columns)
