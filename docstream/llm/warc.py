@@ -34,6 +34,8 @@ INDEX = "file string, offset long, length long, url string, payload_digest strin
 RECORDS = INDEX + ", payload binary"
 #: Ranges closer than this are read as one; one read is not longer than the second, unless a record is.
 GAP_BYTES, READ_BYTES = 1 << 16, 1 << 23
+#: Bytes of archives that one task reads, about.
+TASK_BYTES = 1 << 24
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 URN = "urn:x-record:"
 _BAD = re.compile(r"[\x00-\x20\x7f]")
@@ -102,9 +104,11 @@ def with_types(pages: DataFrame, key: str, url: str, payload: str, min_bytes: in
     letter = lambda x, k: F.substring(F.lit(BASE32), (F.shiftright(x, 15 - 5 * k).bitwiseAND(F.lit(31)) + 1).cast("int"), F.lit(1))
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), F.encode(F.coalesce(F.col(payload).cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("payload_digest", F.concat(*[letter(x, k) for x in bits for k in range(4)])).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-    heads = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.max("key").alias("_head"))
+    heads = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.max("key").alias("_head"), F.count("*").alias("_n"))
+    # Few payloads are there twice; where these are few enough to be broadcast, no payload is shuffled.
+    heads = heads.filter("_n > 1").drop("_n")
     joined = rows.join(heads, "payload_digest", "left")
-    revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("key").eqNullSafe(F.col("_head"))
+    revisit = (F.col("payload_bytes") >= min_bytes) & F.col("_head").isNotNull() & ~F.col("key").eqNullSafe(F.col("_head"))
     return joined.select(
         "key",
         "url",
@@ -204,7 +208,8 @@ def ranges(places: list[tuple[int, int]], gap: int = GAP_BYTES, most: int = READ
 def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records that the rows of ``index`` select, as the archives have them.
 
-    Rows are dealt by ranges of (file, offset) and sorted, so a task reads each of its files once, forwards.
+    Rows are dealt by ranges of (file, offset) and sorted, so a task reads each of its files once, forwards. How many
+    tasks there are goes by the bytes to be read, not by the size of the index.
     """
     ship(index.sparkSession)
     schema = SCHEMA.append(pa.field("payload", pa.binary())) if payloads else SCHEMA
@@ -235,5 +240,6 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
         if places:
             yield from of_file(path, places)
 
-    chosen = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    n_bytes = index.agg(F.sum("length")).first()[0] or 0
+    chosen = index.select("file", "offset", "length").repartitionByRange(-(-n_bytes // TASK_BYTES) or 1, "file", "offset").sortWithinPartitions("file", "offset")
     return chosen.mapInArrow(work, RECORDS if payloads else INDEX)
