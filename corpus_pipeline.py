@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstream.llm import decontamination, jaccard_join, packing, pii, quality
-from docstream.llm.dealing import saved
+from docstream.llm.dealing import saved, unused
 from docstream.llm.queries import PII_KEY, table
 from docstream.llm.tokenizing import tokenizer_path
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base check nor a rule rejects."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return quality.keep(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,11 +26,12 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
-def pseudonymous_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pseudonymous_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, key: str = PII_KEY) -> DataFrame:
     """Documents with personal numbers and dates replaced; their lengths follow."""
-    found = pii.pseudonymise(docs, PII_KEY)
+    counted = unused(docs, "n_found")
+    found = pii.pseudonymise(docs, key, counted=counted)
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("n_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.col(counted) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 
 
@@ -51,9 +52,10 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table; each is written before the next reads it."""
+def run(spark: SparkSession, sf_dir: str, pii_key: str = PII_KEY) -> DataFrame:
+    """All stages over the whole table; each is written before the next reads it. ``pii_key`` keys the pseudonyms."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+        own = {"key": pii_key} if stage is pseudonymous_documents else {}
+        docs = saved(stage(spark, docs, sf_dir, **own), f"stage-{name}")
     return docs
