@@ -6,12 +6,15 @@ words, empty). Two sets link when 100 * |both| >= percent * |either|. All links
 1. Rows with equal sets are one *class*; copies are never paired.
 2. A sieve: a class needs so many shingles that another class has too, among the first of its shingles in a common
    order. Most texts have none and are done. (Counted by a shuffle of packed hashes.)
-3. The shingles of what is left are ordered by rising frequency. Classes with the same smallest hash are similar; they
-   form a group, in which each is compared with the most typical one, and those that link are its core.
-4. Groups of at most some ``GROUP`` classes make up the matrix: one row for each pair of a shingle and a group whose
-   union has it among its members' first shingles. Each class asks the matrix; a bound on the overlap by sizes and
-   positions says which groups may hold a link. Groups that are all of the asking class's own core are left closed.
-5. A group that qualifies is opened: |set and union of the group| bounds the overlap again, then members are counted.
+3. The shingles of what is left are ordered by rising frequency. Classes with the same smallest hash are similar; each is
+   compared with the most typical one of them, and those that link are its *core*. The typical ones and those that
+   didn't link do the same by other hashes, ``PASSES`` times, so that a large group of near copies is nearly one core.
+4. Groups are the cores, and the classes without a core by their smallest hash. They make up the matrix: one row for
+   each pair of a shingle and a group whose union has it among its members' first shingles. Each core, and each class
+   without one, asks the matrix once for all its members; a bound on the overlap by sizes and positions says which
+   other groups may hold a link. Of two groups, the smaller asks.
+5. A group that qualifies is opened, in parts of about ``GROUP`` classes: |set and union of the part| bounds the overlap
+   again, then members are counted. A part whose members are known to be joined to the asking class stays closed.
 6. Components of the links are made by star steps.
 
 Shingles are 64-bit hashes, classes 64-bit hashes of sets. Many askers of one group are dealt to several tasks. A null
@@ -32,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docstream.llm.components import components
-from docstream.llm.dealing import bucket_bits, dealt, saved
+from docstream.llm.dealing import bucket_bits, dealt, saved, unused
 from docstream.llm.shipping import ship
 from docstream.llm.words import blocks, shingles
 
 #: Classes of a group, askers of a group in one task, shingles that a task packs together.
-GROUP, ASKERS, CHUNK = 128, 2048, 1_000_000
+GROUP, ASKERS, CHUNK = 128, 512, 1_000_000
+#: Smallest hashes by which cores are looked for.
+PASSES = 4
 NO_KEY = (1 << 63) - 1
 
 
@@ -196,12 +201,12 @@ def ordered_sets(sets: DataFrame, rule: Rule) -> DataFrame:
     found = tokens.join(often, "h").groupBy("cls", "n").agg(F.sort_array(F.collect_set(F.struct("df", "h"))).alias("t"))
     rows = found.filter(F.size("t") >= rule.c_need(F.col("n")))
     low = F.array_min(F.transform("t", lambda x: x["h"]))
-    mean = F.aggregate("t", F.lit(0.0), lambda a, x: a + x["df"]) / F.size("t")
-    return saved(rows.select("cls", "n", low.alias("low"), F.transform("t", lambda x: x["h"]).alias("shared"), mean.alias("typical")), "ordered")
+    often = F.aggregate("t", F.lit(0).cast("long"), lambda a, x: a + x["df"])
+    return saved(rows.select("cls", "n", low.alias("low"), F.transform("t", lambda x: x["h"]).alias("shared"), often.alias("often")), "ordered")
 
 
 def cores(sets: DataFrame, rule: Rule) -> DataFrame:
-    """``sets`` with ``home``: the most typical class of the group if a class links with it, else the class itself."""
+    """``sets`` with ``home``: the typical class that a class has come to by its links, else the class itself."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,38 +214,57 @@ def cores(sets: DataFrame, rule: Rule) -> DataFrame:
             for _, n, own, _, m, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 both = len(np.intersect1d(np.array(own), np.array(other), assume_unique=True))
                 yes.append(bool(rule.linked(both, n, m)))
-            yield pa.record_batch([batch.column(0), pa.array(np.where(yes, batch.column(3).to_numpy(), batch.column(0).to_numpy()))], names=["cls", "home"])
-
-    heads = sets.groupBy("low").agg(F.count("*").alias("size"), F.max(F.struct("typical", "cls")).alias("top")).filter("size > 1")
-    heads = heads.select(F.col("top.cls").alias("head"), "low").join(sets.select(F.col("cls").alias("head"), F.col("n").alias("m"), F.col("shared").alias("other")), "head")
-    compared = sets.join(heads, "low").select("cls", "n", "shared", "head", "m", "other").mapInArrow(work, "cls long, home long")
-    return sets.join(compared, "cls", "left").withColumn("home", F.coalesce("home", "cls"))
+            yes = np.array(yes, bool)
+            yield pa.record_batch([c.filter(pa.array(yes)) for c in (batch.column(0), batch.column(3))], names=["cls", "to"])
+
+    home = sets.select("cls", F.col("cls").alias("home"))
+    left = sets
+    for turn in range(PASSES):
+        by = F.col("low") if turn == 0 else F.array_min(F.transform("shared", lambda h, k=turn: F.xxhash64(h, F.lit(k))))
+        named = left.select("cls", "n", "often", "shared", by.alias("by"))
+        sizes = named.groupBy("by").agg(F.count("*").alias("size")).filter("size > 1")
+        # What most of a group have counts for a class, what few have against it.
+        typical = F.col("often") - F.col("n") * F.col("size") / 2
+        heads = named.select("by", "cls", "n", "often").join(sizes, "by").groupBy("by").agg(F.max(F.struct(typical.alias("typical"), "cls")).alias("top"))
+        heads = heads.select(F.col("top.cls").alias("head"), "by").join(left.select(F.col("cls").alias("head"), F.col("n").alias("m"), F.col("shared").alias("other")), "head")
+        compared = named.join(heads, "by").filter("cls <> head").select("cls", "n", "shared", "head", "m", "other")
+        moved = saved(compared.mapInArrow(work, "cls long, to long"), "moved")
+        home = home.join(moved.withColumnRenamed("cls", "home"), "home", "left").select("cls", F.coalesce("to", "home").alias("home"))
+        left = left.join(moved, "cls", "left_anti")
+    return sets.join(home, "cls")
 
 
 def grouped(sets: DataFrame) -> DataFrame:
-    """``sets`` with ``grp``: cores, and what is left of the classes of one smallest hash, in parts of about ``GROUP``."""
-    kind = F.when(F.col("home") == F.col("cls"), F.xxhash64(F.lit("rest"), "low")).otherwise(F.xxhash64(F.lit("core"), "home"))
-    rows = sets.withColumn("_kind", kind)
-    parts = rows.groupBy("_kind").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("_parts"))
-    part = F.pmod(F.xxhash64("cls"), F.col("_parts"))
-    return saved(rows.join(parts, "_kind").withColumn("grp", F.xxhash64("_kind", part)).drop("_kind", "_parts"), "grouped")
+    """``sets`` with ``kind``, its group, and ``grp``, its part of about ``GROUP`` classes; saved."""
+    crowd = sets.groupBy("home").agg((F.count("*") > 1).alias("many"))
+    kind = F.when(F.col("many"), F.xxhash64(F.lit("core"), "home")).otherwise(F.xxhash64(F.lit("rest"), "low"))
+    rows = sets.join(crowd, "home").withColumn("kind", kind).drop("many")
+    parts = rows.groupBy("kind").agg(F.count("*").alias("size"))
+    part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP).cast("long"))
+    return saved(rows.join(parts, "kind").withColumn("grp", F.xxhash64("kind", part)), "grouped")
 
 
 def qualifying(rows: DataFrame, rule: Rule) -> DataFrame:
-    """(cls, grp): the groups that each class must open."""
+    """(cls, grp): the parts of groups that each class must open."""
     n = F.col("n")
     lone = n - F.size("shared")
     firsts = F.slice("shared", F.lit(1), F.greatest(F.lit(0), (n - rule.c_need(n) + 1 - lone)).cast("int"))
-    posts = rows.select("cls", "n", "home", "grp", F.posexplode(firsts).alias("k", "h"), lone.alias("lone"))
-    posts = posts.select("cls", "n", "home", "grp", "h", (n - F.col("lone") - F.col("k")).alias("rest"))
-    one_home = F.when(F.min("home") == F.max("home"), F.min("home"))
-    matrix = posts.groupBy("h", "grp").agg(F.max("rest").alias("g_rest"), F.min("n").alias("g_least"), F.max("n").alias("g_most"))
-    homes = rows.groupBy("grp").agg(one_home.alias("g_home"), F.count("*").alias("g_size"))
-    matrix = matrix.join(homes, "grp").withColumnRenamed("grp", "g")
-    least = F.greatest("g_least", rule.c_need(n))
-    may = (rule.c_need(F.col("g_least")) <= n) & (rule.c_need(n) <= F.col("g_most")) & (F.least("rest", "g_rest") >= rule.c_overlap(n, least))
-    other = (F.col("g_home").isNull() | (F.col("g_home") != F.col("home"))) & (F.col("grp") <= F.col("g")) & ((F.col("grp") != F.col("g")) | (F.col("g_size") > 1))
-    return posts.join(matrix, "h").filter(may & other).select("cls", F.col("g").alias("grp")).distinct()
+    posts = rows.select("n", "home", "kind", "size", F.posexplode(firsts).alias("k", "h"), lone.alias("lone"))
+    posts = posts.withColumn("rest", n - F.col("lone") - F.col("k"))
+    bounds = (F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most"))
+    asking = posts.groupBy("h", "home", "kind", "size").agg(*bounds)
+    matrix = posts.groupBy("h", "kind", "size").agg(*bounds).toDF("h", "g", "g_size", "g_rest", "g_least", "g_most")
+    # A class of n may link with sizes from need(n) on; both sides give the overlap that the smallest pair asks for.
+    may = (rule.c_need(F.col("g_least")) <= F.col("most")) & (rule.c_need(F.col("least")) <= F.col("g_most"))
+    low = F.greatest("least", rule.c_need(F.col("g_least")))
+    g_low = F.greatest("g_least", rule.c_need(F.col("least")))
+    may &= F.least("rest", "g_rest") >= rule.c_overlap(low, g_low)
+    other = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("kind") < F.col("g")))
+    # A core doesn't ask itself; classes without a core ask their own group, unless they are alone in it.
+    own = (F.col("kind") == F.col("g")) & (F.col("kind") != F.xxhash64(F.lit("core"), "home")) & (F.col("size") > 1)
+    asks = asking.join(matrix, "h").filter(may & (own | other)).select("home", "g").distinct()
+    groups = rows.select(F.col("kind").alias("g"), "grp").distinct()
+    return rows.select("cls", "home").join(asks.join(groups, "g").select("home", "grp"), "home").select("cls", "grp")
 
 
 def opened(rows: DataFrame, asks: DataFrame, rule: Rule) -> DataFrame:
@@ -264,9 +288,12 @@ def opened(rows: DataFrame, asks: DataFrame, rule: Rule) -> DataFrame:
             own = [np.array(x, np.int64) for x in group["shared"].to_pylist()]
             cls, home, sizes = (group[c].to_numpy() for c in ("cls", "home", "n"))
             union, place = np.unique(np.concatenate(own), return_inverse=True)
+            one_home = int(home[0]) if len(set(home.tolist())) == 1 else None
             who = np.repeat(np.arange(len(own)), [len(x) for x in own])[np.argsort(place, kind="stable")]
             bounds = np.append(0, np.cumsum(np.bincount(place, minlength=len(union))))
             for c, n, h, shared in zip(*(askers[x].to_pylist() for x in ("cls", "n", "home", "shared")), strict=True):
+                if one_home is not None and root(h) == root(one_home):
+                    continue
                 asked = np.array(shared, np.int64)
                 at = np.searchsorted(union, asked)
                 at[at == len(union)] = 0
@@ -329,8 +356,10 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, text:
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest key, of equal keys that of one text."""
     groups = labelled(docs, size, percent, text, key)
-    heads = groups.groupBy("group").agg(F.min(F.struct("key", "mark")).alias("_head")).select("_head").distinct()
+    head = unused(docs, "_head")
+    row = unused(docs, "_row")
+    heads = groups.groupBy("group").agg(F.min(F.struct("key", "mark")).alias(head)).select(head).distinct()
     own = F.struct(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.xxhash64(F.col(text).cast("string")).alias("mark"))
-    kept = docs.withColumn("_head", own).join(heads, "_head", "left_semi")
-    repeat = F.row_number().over(Window.partitionBy("_head").orderBy(F.xxhash64(*docs.columns)))
-    return kept.withColumn("_row", repeat).filter("_row = 1").select(*docs.columns)
+    kept = docs.withColumn(head, own).join(heads, head, "left_semi")
+    repeat = F.row_number().over(Window.partitionBy(head).orderBy(F.xxhash64(*docs.columns)))
+    return kept.withColumn(row, repeat).filter(F.col(row) == 1).select(*docs.columns)
