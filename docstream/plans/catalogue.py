@@ -30,7 +30,8 @@ from docstream.plans.inputs import (
 from docstream.session import scratch_dir
 from docstream.sources.generators import random_documents, sample_documents
 from docstream.sources.json_files import as_records, read_documents, write_documents
-from docstream.sources.record_log import with_positions
+from docstream.sources.record_log import with_positions, write_log
+from docstream.sources.zone_map import ZoneMap
 from docstream.streaming.control import Ingest, ingest_status
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -534,6 +535,28 @@ def replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _zoned(spark: SparkSession, sf_dir: str) -> ZoneMap:
+    """The event log as files of increasing offsets, and the map of them."""
+    path = scratch_dir(spark, "log")
+    write_log(log_of(spark, sf_dir).repartitionByRange(8, "offset"), path)
+    return ZoneMap(spark, path, scratch_dir(spark, "zones")).extend()
+
+
+@registered
+def replay_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5, S7: records read again after a crash, from the files that hold some."""
+    again = _zoned(spark, sf_dir).replay(_committed(spark, sf_dir))
+    return again.groupBy("topic", "partition").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("offset").alias("first_offset"), F.sum(F.length("value")).alias("n_chars")
+    )
+
+
+@registered
+def zoned_end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: end offsets from the zone map of a log, which isn't read for them."""
+    return _zoned(spark, sf_dir).end_offsets()
+
+
 @registered
 def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of missing offsets."""

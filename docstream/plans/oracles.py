@@ -394,6 +394,13 @@ FROM compared GROUP BY group_id""",
 SELECT topic, partition, count(*) AS n_records, min("offset") AS first_offset
 FROM log LEFT JOIN committed USING (topic, partition)
 WHERE "offset" >= coalesce(committed_offset, 0) GROUP BY topic, partition""",
+        "replay_tail": f"""
+{ledger}, {COMMITTED}
+SELECT topic, partition, count(*) AS n_records, min("offset") AS first_offset, CAST(sum(length(value)) AS BIGINT) AS n_chars
+FROM log LEFT JOIN committed USING (topic, partition)
+WHERE "offset" >= coalesce(committed_offset, 0) GROUP BY topic, partition""",
+        "zoned_end_offsets": f"""
+WITH {LOG} SELECT topic, partition, {next_ok} AS end_offset FROM log GROUP BY 1, 2""",
         "offset_gaps": f"""
 WITH {LOG},
 steps AS (

@@ -18,9 +18,10 @@ from docstream.constants import (
     UNKNOWN_MESSAGE,
 )
 from docstream.functions.names import group_name
-from docstream.operators.offsets import end_offsets, lag_report
+from docstream.operators.offsets import end_offsets, in_topics, lag_report, replay_window
 from docstream.operators.routing import check_mode, is_eligible
 from docstream.sources.record_log import read_log
+from docstream.sources.zone_map import ZoneMap
 from docstream.streaming.ingest import Transform, drain, start_query, store_of
 from docstream.streaming.store import CollectionStore
 
@@ -103,14 +104,18 @@ class Ingest:
         return NOT_INITIALIZED if self.store.run_state() == NOT_INITIALIZED else STOPPED
 
     def start(self) -> StreamingQuery:
-        """Start the job, or return the one that runs already."""
+        """Start the job, or return the one that runs already.
+
+        A job of the same collection in another session is fenced off: its next batch fails.
+        """
         if self.targets is not None:
             check_mode(self.targets, self.config.collection, self.config.all_shards)
         running = self.query()
         if running is not None:
             return running
         self.store.set_run_state(RUNNING)
-        return start_query(self.spark, self.config, self.transform, self.stream)
+        epoch = self.store.claim_epoch()
+        return start_query(self.spark, self.config, self.transform, self.stream, epoch)
 
     def stop(self) -> None:
         """Stop the job; nothing happens when it does not run."""
@@ -168,12 +173,13 @@ class Ingest:
         """Ends of the log (A2).
 
         From Kafka they are what the running query was last told, else the log is read from the
-        committed offsets on, never from its start. Of a parquet log two columns are read.
+        committed offsets on, never from its start. A parquet log has a zone map in the store: the
+        offsets of a file are read once, when it is new.
         """
         if self.log is not None:
             return end_offsets(self.log, self.config.topics)
         if self.config.source_kind == "parquet":
-            return end_offsets(read_log(self.spark, self.config), self.config.topics)
+            return self.zone_map().extend().end_offsets(self.config.topics)
         running = self.query()
         if running is not None and running.lastProgress is not None:
             return reported_ends(self.spark, running.lastProgress.sources[0].latestOffset)
@@ -185,6 +191,19 @@ class Ingest:
             F.max("end_offset").alias("end_offset")
         )
 
+    def zone_map(self) -> ZoneMap:
+        """Offsets by file of the configured parquet log."""
+        return ZoneMap(self.spark, self.config.source, f"{self.config.store}/zone_map")
+
+    def replay(self) -> DataFrame:
+        """Records that would be read again after a crash, from the files that hold some (ST5)."""
+        committed = self.store.committed()
+        if committed is None:
+            return read_log(self.spark, self.config)
+        if self.config.source_kind != "parquet":
+            return replay_window(read_log(self.spark, self.config, committed), committed)
+        return self.zone_map().extend().replay(committed).filter(in_topics(self.config.topics))
+
     def _core_flag(self, flag: Column, default: bool) -> bool:
         if self.targets is None or self.config.core is None:
             return default

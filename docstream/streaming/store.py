@@ -10,6 +10,8 @@
     folded/committed/gen=G             committed offset per (group, topic, partition) so far
     generations/gen=G                  one row, written last: the generation is complete
     run_state                          what was last asked for: RUNNING or STOPPED
+    epochs/N                           an empty file for every start; batches of an older one are refused
+    zone_map                           offsets by file of the parquet log that the job reads
 
 A batch is written in one pass, without a shuffle; the newest version per key is worked out where
 it is read, and for good by ``compact``, which also folds what batches committed and set aside, so
@@ -32,6 +34,10 @@ from docstream.operators.upsert import between_partitions, latest_per_partition,
 from docstream.session import shuffle_partitions
 
 
+class FencedError(RuntimeError):
+    """A batch of a job that another one has taken over from."""
+
+
 def merged_type(old: T.DataType, new: T.DataType, name: str = "document") -> T.DataType:
     """A type that holds values of both: fields of structs are joined by name.
 
@@ -114,6 +120,32 @@ class CollectionStore:
                 return None
             raise
 
+    # One writer at a time ----------------------------------------------------------------------
+
+    def _epochs(self) -> list[int]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("epochs"))
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        return [int(status.getPath().getName()) for status in files.listStatus(folder)]
+
+    def claim_epoch(self) -> int:
+        """A number higher than any before, held by an empty file that only one caller can create."""
+        files = None
+        epoch = max(self._epochs(), default=0) + 1
+        while True:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(f"epochs/{epoch}"))
+            files = files or path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if files.createNewFile(path):
+                return epoch
+            epoch += 1
+
+    def check_epoch(self, epoch: int) -> None:
+        """Raise if a job was started on this collection after the one that holds ``epoch``."""
+        newest = max(self._epochs(), default=0)
+        if newest > epoch:
+            raise FencedError(f"epoch {epoch} of {self.base} has ended: epoch {newest} was started")
+
     # Writing one batch -------------------------------------------------------------------------
 
     def write_records(self, rows: DataFrame, batch_id: int) -> None:
@@ -161,6 +193,11 @@ class CollectionStore:
     def write_ledger(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
 
+    def batch_positions(self, batch_id: int) -> list[tuple[str, int]]:
+        """The (topic, partition) pairs of a batch's commit record."""
+        rows = self.spark.read.parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
+        return [tuple(row) for row in rows.select("topic", "partition").distinct().collect()]
+
     def complete_batch(self, batch_id: int, started_ms: int, columns: T.StructType) -> None:
         """Mark a batch complete, with its counts, times and columns."""
         (
