@@ -43,6 +43,8 @@ class IngestConfig:
     available_now: bool = False
     # Field of a document that holds its id; without one, or where it is empty, the record key is the id.
     id_field: str | None = None
+    # Keep which offsets every batch held, so that gaps are told without reading the log.
+    track_offsets: bool = False
     # Buckets of the first snapshot, by default one per shard; ``compact`` can be told a new number.
     buckets: int | None = None
     kafka_options: Mapping[str, str] = field(default_factory=dict)

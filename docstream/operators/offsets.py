@@ -264,6 +264,40 @@ def offset_gaps(log: DataFrame, block: int = GAP_BLOCK) -> DataFrame:
     )
 
 
+def seen_runs(log: DataFrame) -> DataFrame:
+    """Runs of offsets without a gap, (first_offset, last_offset), per (topic, partition)."""
+    gaps = offset_gaps(log).select(*POSITION, "offset", "next_offset")
+    edges = log.groupBy(*POSITION).agg(F.min("offset").alias("least"), F.max("offset").alias("offset"))
+    ends = gaps.unionByName(edges.drop("least").withColumn("next_offset", F.lit(None).cast("bigint")))
+    along = Window.partitionBy(*POSITION).orderBy("offset")
+    begun = ends.withColumn("begun", F.lag("next_offset").over(along))
+    # Logs hold few topics and partitions beside their records.
+    return begun.join(edges.drop("offset"), POSITION).select(
+        *POSITION, F.coalesce("begun", "least").alias("first_offset"), F.col("offset").alias("last_offset")
+    )
+
+
+def merge_runs(runs: DataFrame) -> DataFrame:
+    """Runs that touch or overlap as one, so replayed and late offsets count once.
+
+    The window goes over the runs of a partition, of which there are as many as gaps and batches.
+    """
+    order = Window.partitionBy(*POSITION).orderBy("first_offset", "last_offset")
+    reached = F.max("last_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("first_offset") > reached + 1, F.lit(True))
+    numbered = runs.withColumn("_opens", opens.cast("int")).withColumn("_run", F.sum("_opens").over(order))
+    return numbered.groupBy(*POSITION, "_run").agg(
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset")
+    ).drop("_run")
+
+
+def gaps_between(runs: DataFrame) -> DataFrame:
+    """Runs of missing offsets between runs of seen ones, as ``offset_gaps`` gives them of a log."""
+    along = Window.partitionBy(*POSITION).orderBy("first_offset")
+    ends = merge_runs(runs).select(*POSITION, F.col("last_offset").alias("offset"), F.lead("first_offset").over(along).alias("next_offset"))
+    return ends.filter(F.col("next_offset").isNotNull()).withColumn("n_missing", F.col("next_offset") - F.col("offset") - 1)
+
+
 def gap_totals(log: DataFrame) -> DataFrame:
     """Missing offsets per (topic, partition), from counts alone."""
     return log.groupBy(*POSITION).agg(

@@ -766,6 +766,14 @@ def stream_lag_before_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.lag_summary(_ingest(spark, sf_dir, run=False).lag())
 
 
+@registered
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W3, ST1: runs of missing offsets from what batches kept of theirs, folded by compaction."""
+    job = _ingest(spark, sf_dir, track_offsets=True)
+    job.store.compact()
+    return job.store.gaps()
+
+
 @registered
 def stream_commit_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST3, W2: commit rounds of a streaming run over a damaged log: a batch is a round."""

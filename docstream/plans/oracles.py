@@ -403,6 +403,13 @@ WHERE "offset" >= coalesce(committed_offset, 0) GROUP BY topic, partition""",
 WITH {LOG} SELECT topic, partition, {next_ok} AS end_offset FROM log GROUP BY 1, 2""",
         "offset_gaps": f"""
 WITH {LOG},
+steps AS (
+  SELECT topic, partition, "offset",
+         lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS next_offset
+  FROM log)
+SELECT *, next_offset - "offset" - 1 AS n_missing FROM steps WHERE next_offset - "offset" > 1""",
+        "stream_gaps": f"""
+WITH {LOG},
 steps AS (
   SELECT topic, partition, "offset",
          lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS next_offset

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -67,6 +69,21 @@ def reported_ends(spark: SparkSession, latest: str) -> DataFrame:
     ).withColumn("partition", F.col("partition").cast("int"))
 
 
+@dataclass(frozen=True)
+class DrainReport:
+    """Why a watched drain ended, and the total lag at each of its polls."""
+
+    reason: str
+    polls: list[tuple[int, int]]
+    n_still: int
+    collection: str
+
+    def history(self, spark: SparkSession) -> DataFrame:
+        """The polls, by group, as ``stall_count`` takes them."""
+        rows = spark.createDataFrame(self.polls, "poll bigint, total_lag bigint")
+        return rows.select(group_name(F.lit(self.collection)).alias("group_id"), "poll", "total_lag")
+
+
 class Ingest:
     """Handle of one collection's ingest job."""
 
@@ -143,6 +160,31 @@ class Ingest:
         if running is not None:
             drain(running)
 
+    def drain_watched(self, limit: int = 10, poll_seconds: float | None = None, expected: int = 0) -> DrainReport:
+        """Poll the job's lag until it has caught up or stands still (W1, ST7).
+
+        A poll stands still if the total lag is positive and that of the poll before, the first one
+        ``expected``. More than ``limit`` such polls in all end the drain; the job is left as it is.
+        Polls are ``poll_seconds`` apart, by default the commit interval. The report holds the polls
+        in the form that ``stall_count`` takes.
+        """
+        pause = self.config.commit_interval_ms / 1000 if poll_seconds is None else poll_seconds
+        polls: list[tuple[int, int]] = []
+        previous, still = expected, 0
+        while True:
+            total = self.lag().agg(F.coalesce(F.sum(F.greatest("lag", F.lit(0))), F.lit(0))).first()[0]
+            polls.append((len(polls), total))
+            still += total > 0 and total == previous
+            previous = total
+            if total <= 0:
+                return DrainReport("caught up", polls, still, self.config.collection)
+            if still > limit:
+                return DrainReport("stalled", polls, still, self.config.collection)
+            running = self.query()
+            if running is None or running.exception() is not None:
+                return DrainReport("not running", polls, still, self.config.collection)
+            time.sleep(pause)
+
     def lag(self, include_uncommitted: bool = True) -> DataFrame:
         """Lag of the collection's group against the end of its log (ST11)."""
         committed = self.store.committed()

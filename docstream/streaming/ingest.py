@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docstream.config import IngestConfig
 from docstream.functions.names import group_name
 from docstream.operators.documents import accepted, classify, identify, is_accepted
-from docstream.operators.offsets import POSITION, in_topics
+from docstream.operators.offsets import POSITION, in_topics, seen_runs
 from docstream.operators.routing import assign_shard
 from docstream.sources.record_log import stream_log
 from docstream.streaming.store import CollectionStore
@@ -123,6 +123,9 @@ def batch_writer(config: IngestConfig, transform: Transform | None = None, epoch
             written = store.records(batch_id - 1, batch_id, columns)
             found = batch_offsets(judged if written is None else written, config)
         store.write_ledger(found, batch_id)
+        if config.track_offsets:
+            written = None if transform is not None else store.records(batch_id - 1, batch_id, columns)
+            store.write_seen(seen_runs((judged if written is None else written).select(*POSITION, "offset")), batch_id)
         if commits is None and transform is None:
             seen = store.batch_positions(batch_id)
             known.extend(sorted(set(seen) - set(known), key=repr))

@@ -10,6 +10,8 @@
     folded/committed/gen=G             committed offset per (group, topic, partition) so far
     generations/gen=G                  one row, written last: the generation is complete
     run_state                          what was last asked for: RUNNING or STOPPED
+    seen/batch_id=K                    runs of offsets of one batch, where they are tracked
+    folded/seen/gen=G                  runs of offsets of all batches so far
     epochs/N                           an empty file for every start; batches of an older one are refused
     zone_map                           offsets by file of the parquet log that the job reads
 
@@ -29,11 +31,17 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 from pyspark.sql.utils import AnalysisException
 
 from docstream.constants import NOT_INITIALIZED
+from docstream.operators.offsets import gaps_between, merge_runs
 from docstream.operators.routing import every_shard
 from docstream.operators.upsert import between_partitions, latest_per_partition, merge_latest
 from docstream.session import shuffle_partitions
 
 
+def files_exist(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 class FencedError(RuntimeError):
     """A batch of a job that another one has taken over from."""
 
@@ -193,6 +201,9 @@ class CollectionStore:
     def write_ledger(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
 
+    def write_seen(self, runs: DataFrame, batch_id: int) -> None:
+        runs.write.mode("overwrite").parquet(self.path(f"seen/batch_id={batch_id}"))
+
     def batch_positions(self, batch_id: int) -> list[tuple[str, int]]:
         """The (topic, partition) pairs of a batch's commit record."""
         rows = self.spark.read.parquet(self.path(f"commit_ledger/batch_id={batch_id}"))
@@ -337,6 +348,21 @@ class CollectionStore:
             .agg(F.max("next_offset").alias("committed_offset"))
         )
 
+    def seen(self, through: int | None = None) -> DataFrame | None:
+        """Runs of offsets that complete batches held (W3); those of compacted batches come merged."""
+        generation = self.generation()
+        folded = None if generation is None else self._read(f"folded/seen/gen={generation['gen']}")
+        last = self.last_batch() if through is None else through
+        return self._together(folded, self._batch_rows("seen", self._since(generation), last))
+
+    def gaps(self) -> DataFrame | None:
+        """Offsets missing between those that batches held; the log isn't read.
+
+        There for jobs that have kept ``track_offsets`` on from their first batch.
+        """
+        runs = self.seen()
+        return None if runs is None else gaps_between(runs)
+
     def snapshot(self, generation: Row) -> DataFrame:
         """A snapshot as a bucketed table, so that plans can use where its keys lie."""
         name = self._table_name(generation["gen"])
@@ -385,12 +411,15 @@ class CollectionStore:
 
     def _fold(self, old: Row | None, through: int, gen: int) -> None:
         """Carry what the batches since the last generation committed and set aside."""
-        after, commits = self._since(old), self.committed()
+        after, commits, runs = self._since(old), self.committed(), None
+        if files_exist(self.spark, self.path("seen")):
+            runs = self.seen(through)
         parts = {
             "commit_ledger": self._batch_rows("commit_ledger", after, through),
             "quarantine": self._set_aside(after, through),
             "committed": None if commits is None else commits.withColumnRenamed("committed_offset", "next_offset"),
         }
+        parts["seen"] = None if runs is None else merge_runs(runs)
         for part, rows in parts.items():
             if rows is not None:
                 rows.write.mode("overwrite").parquet(self.path(f"folded/{part}/gen={gen}"))
