@@ -23,6 +23,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -33,12 +34,14 @@ from pyspark.sql import functions as F
 
 from docstream.llm.dealing import bucket_bits, by_bucket, dealt, saved, summed
 from docstream.llm.shipping import ship
-from docstream.llm.token_counts import byte_letters
-from docstream.llm.tokenizing import load, once, tokenizer_file
+from docstream.llm.token_counts import OTHER_SPACE, PIECES, byte_letters
+from docstream.llm.tokenizing import Memory, load, once, tokenizer_file
 from docstream.llm.words import mix
 
 #: Bytes of text that are tokenised together, links that a packed row holds, ends for each that starts a lane.
-BLOCK_BYTES, CHUNK_LINKS, LANE = 1 << 20, 500_000, 64
+BLOCK_BYTES, CHUNK_LINKS, LANE = 1 << 20, 200_000, 8
+#: Pieces of text whose ids a worker remembers.
+REMEMBERED = 300_000
 
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -120,17 +123,35 @@ class Pair:
         self.digits = np.zeros((max(len(pieces), len(self.bytes_a)), width), np.uint8)
         for k in range(len(self.digits)):
             self.digits[k, width - len(str(k)) :] = np.frombuffer(str(k).encode(), np.uint8)
-
-    def ids(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of A and of B; none for a text whose bytes they don't give."""
-        found_a: list[list[int]] = [[] for _ in texts]
+        self.n_digits = (self.digits > 0).sum(axis=1)
+        self.memory = Memory(self._encoded, REMEMBERED)
+
+    def _encoded(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of A, packed, of each text; null for one whose bytes they don't give."""
+        found = []
+        for text, told in zip(texts, self.a.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            same = b"".join([self.bytes_a[i] for i in told.ids]) == text.encode()
+            found.append(np.array(told.ids, "<u4").tobytes() if same else None)
+        return found
+
+    def ids_a(self, texts: list[str]) -> list[bytes | None]:
+        """Pieces cut at ASCII white space give the ids that they give within the text; other white space goes the long way."""
+        cut = [None if OTHER_SPACE.search(text) else PIECES.findall(text) for text in texts]
+        known = self.memory.ready(set().union(*(pieces for pieces in cut if pieces)))
+        whole = iter(self._encoded([text for text, pieces in zip(texts, cut, strict=True) if pieces is None]))
+        found = [next(whole) if pieces is None else [known[piece] for piece in pieces] for pieces in cut]
+        return [x if not isinstance(x, list) else None if None in x else b"".join(x) for x in found]
+
+    def ids(self, texts: list[str | None]) -> tuple[list[bytes], list[list[int]]]:
+        """Ids of A, packed, and of B; none for a text whose bytes they don't give."""
+        found_a: list[bytes] = [b""] * len(texts)
         found_b: list[list[int]] = [[] for _ in texts]
         some = [k for k, text in enumerate(texts) if text]
-        got_a = self.a.encode_batch_fast([" " + texts[k] for k in some], add_special_tokens=False)
+        got_a = self.ids_a([" " + texts[k] for k in some])
         got_b = self.b.encode([texts[k] for k in some], num_threads=1) if some else []
-        for k, told, b in zip(some, got_a, got_b, strict=True):
-            whole, a = b" " + texts[k].encode(), told.ids
-            if b"".join([self.bytes_a[i] for i in a]) == whole == b"".join([self.bytes_b[i] for i in b]):
+        for k, a, b in zip(some, got_a, got_b, strict=True):
+            whole = b" " + texts[k].encode()
+            if a is not None and whole == b"".join([self.bytes_b[i] for i in b]):
                 found_a[k], found_b[k] = a, b
         return found_a, found_b
 
@@ -141,10 +162,12 @@ class Pair:
 class Block:
     """The tokens of some texts, aligned."""
 
-    def __init__(self, pair: Pair, ids_a: list[list[int]], ids_b: list[list[int]]):
+    def __init__(self, pair: Pair, ids_a: list[bytes], ids_b: list[list[int]]):
         self.pair = pair
-        self.n_a, self.n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        self.a, self.b = (np.fromiter((i for x in ids for i in x), np.int64, n.sum()) for ids, n in ((ids_a, self.n_a), (ids_b, self.n_b)))
+        self.n_a = np.array([len(x) // 4 for x in ids_a], np.int64)
+        self.n_b = np.array([len(x) for x in ids_b], np.int64)
+        self.a = np.frombuffer(b"".join(ids_a), "<u4").astype(np.int64)
+        self.b = np.fromiter(chain.from_iterable(ids_b), np.int64, self.n_b.sum())
         self.bounds_a, self.bounds_b = (np.append(0, np.cumsum(n)) for n in (self.n_a, self.n_b))
         # The bytes of a text are as many for A as for B, so texts in a row stay aligned.
         self.found = align(np.cumsum(pair.size_a[self.a]), np.cumsum(pair.size_b[self.b]))
@@ -156,23 +179,23 @@ class Block:
 
     def groups(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2`` of each text: ids of the groups in order."""
-        group_a = np.searchsorted(self.found.a, np.arange(len(self.a)))
-        group_b = np.searchsorted(self.found.b, np.arange(len(self.b)))
-        before = np.append(0, self.found.b + 1)
+        # Tokens of a side that lie before each token's group on the other side, or up to its end.
+        ends_a, ends_b = (np.zeros(len(own), np.int64) for own in (self.a, self.b))
+        ends_a[self.found.a], ends_b[self.found.b] = 1, 1
+        before = np.append(0, self.found.b + 1)[np.cumsum(ends_a) - ends_a]
+        up_to = (self.found.a + 1)[np.cumsum(ends_b) - ends_b] if len(self.b) else self.b
         width = self.pair.digits.shape[1]
-        said = np.zeros((len(self.a) + len(self.b), width + 1), np.uint8)
-        for ids, place, ends, stop in (
-            (self.a, np.arange(len(self.a)) + before[group_a], self.found.a, b"|"),
-            (self.b, np.arange(len(self.b)) + self.found.a[group_b] + 1, self.found.b, b";"),
-        ):
+        said = np.empty((len(self.a) + len(self.b), width + 1), np.uint8)
+        size = np.empty(len(said), np.int64)
+        for ids, place, ends, stop in ((self.a, before, ends_a, b"|"), (self.b, up_to, ends_b, b";")):
+            place = place + np.arange(len(ids))
             said[place, :width] = self.pair.digits[ids]
-            said[place, width] = ord(",")
-            said[place[ends], width] = ord(stop)
+            said[place, width] = np.where(ends, ord(stop), ord(","))
+            size[place] = self.pair.n_digits[ids] + 1
         bounds = self.bounds_a + self.bounds_b
-        said[bounds[1:][np.diff(bounds) > 0] - 1, width] = 0
         flat = said[said > 0].tobytes()
-        cuts = np.append(0, np.cumsum((said > 0).sum(axis=1)))[bounds].tolist()
-        return [flat[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+        cuts = np.append(0, np.cumsum(size))[bounds].tolist()
+        return [flat[x : max(x, y - 1)] for x, y in zip(cuts, cuts[1:], strict=False)]
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -245,7 +268,7 @@ def _chunks(rows: DataFrame, pair) -> DataFrame:
         def packed() -> pa.RecordBatch:
             keys, n_a, n_b, n_links, digests = ([x for part in held for x in part[k]] for k in range(5))
             pairs, which, counts = np.unique(np.concatenate([part[5] for part in held]), return_inverse=True, return_counts=True)
-            row = (number, keys, n_a, n_b, n_links, digests, which.astype(np.uint32).tobytes(), pairs.tobytes(), counts.astype(np.int64).tobytes())
+            row = (number, keys, n_a, n_b, n_links, digests, which.astype(np.uint16 if len(pairs) <= 1 << 16 else np.uint32).tobytes(), pairs.tobytes(), counts.astype(np.int64).tobytes())
             return pa.record_batch([pa.array([x], f.type) for x, f in zip(row, _CHUNK, strict=True)], schema=_CHUNK)
 
         size = 0
@@ -335,13 +358,14 @@ def linked(docs: DataFrame, file_a: str, file_b: str, text: str = "text", key: s
                     order = np.argsort(mix(own.astype(np.uint64)), kind="stable")
                     count[order] = np.concatenate([np.frombuffer(x["totals"], np.int64) for x in sorted(told, key=lambda x: x["bucket"])])
                 best = (count == most.value[own >> 32]).astype(np.int64)
-                at, bounds = np.frombuffer(which, np.uint32), np.append(0, np.cumsum(n_links)).astype(np.int64)
+                at, bounds = np.frombuffer(which, np.uint16 if len(own) <= 1 << 16 else np.uint32), np.append(0, np.cumsum(n_links)).astype(np.int64)
                 sums = [np.append(0, np.cumsum(values[at]))[bounds] for values in (best, count)]
                 figures = [keys, n_a, n_b, n_links, n_links, *(np.diff(x) for x in sums)]
                 yield pa.record_batch([*(pa.array(x, pa.int64()) for x in figures), pa.array(digests, pa.string())], names=NAMES)
 
+    # The same plan at every size: a broadcast of the totals would grow with the corpus.
     back = totals.filter("chunk is not null").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "totals")).alias("told"))
-    rows = chunks.drop("counts").join(back, "chunk", "left").select("keys", "n_a", "n_b", "n_links", "digests", "which", "pairs", "told")
+    rows = chunks.drop("counts").join(back.hint("merge"), "chunk", "left").select("keys", "n_a", "n_b", "n_links", "digests", "which", "pairs", "told")
     schema = ", ".join(f"{name} {'string' if name == 'groups_sha256' else 'long'}" for name in NAMES)
     return rows.mapInArrow(work, schema).withColumnRenamed("key", key)
 
