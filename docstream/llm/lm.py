@@ -10,7 +10,7 @@ and probed, and only their levels go back to the chunk. So its size has no bound
 
 The weights come from one expectation step over all training rows, each token left out of its own counts.
 
-The *base* score beside it is exact: the most frequent words (``HEAD_WORDS``, a fixed number) are broadcast with
+The *base* score beside it is exact: the most frequent words (at most ``HEAD_WORDS``) are broadcast with
 their counts; every other word of every row meets its count in a join.
 
 A null or empty text is one end token; repeated rows are scored and counted each for itself; a null key is scored
@@ -35,8 +35,10 @@ from docstream.llm.words import Words, blocks, mix
 #: Word that stands for the end of a text, before its first word and after its last.
 END = np.uint64(0x5EED0FE4D0000001)
 #: Tokens that a task counts at once; bytes of text in a chunk of rows (a longer text is a chunk of its own); words
-#: whose counts are broadcast; default bound of ``build_filter``, which ``score`` doesn't use.
-CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS, FILTER_BYTES = 2_000_000, 12 << 20, 1 << 18, 1 << 26
+#: whose counts are broadcast, at most.
+CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 2_000_000, 12 << 20, 1 << 18
+#: Steps of a doubling in which counts are binned to choose those words.
+STEPS = 16
 #: Bits of the filter for each (n-gram, level) it holds, and probes for each.
 ENTRY_BITS, PROBES = 10, 5
 LEVELS = 64
@@ -70,43 +72,6 @@ def typical(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (1.5 * 2.0 ** (levels - 1)) - 0.5, 0.0)
 
 
-def count_grams(train: DataFrame, text: str = "text") -> DataFrame:
-    """Saved exact counts: (bucket, n, hashes, counts) for words (n = 1) and pairs (n = 2), and ``held`` by level."""
-    ship(train.sparkSession)
-    bits = bucket_bits(train.sparkSession)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams: list[list[np.ndarray]] = [[], []]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows = []
-            for n, values in enumerate(grams, 1):
-                if values:
-                    own, counts = np.unique(np.concatenate(values), return_counts=True)
-                    rows += [(b, n, h.tobytes(), c.astype(np.uint32).tobytes()) for b, h, (c,) in dealt(own, bits, counts)]
-                values.clear()
-            if rows:
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "n", "hashes", "counts"])
-
-        for batch in batches:
-            for _, _, words in blocks(batch.column(0)):
-                word, before, _ = tokens(words)
-                grams[0].append(word)
-                grams[1].append(pair(before, word))
-                if sum(map(len, grams[0])) >= CHUNK_TOKENS:
-                    yield from flush()
-        yield from flush()
-
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, n), (hashes, counts) in by_bucket(batches, 2).items():
-            own, total = summed([np.frombuffer(x, np.uint64) for x in hashes], [np.frombuffer(x, np.uint32) for x in counts])
-            held = np.bincount(level(total), minlength=LEVELS).tolist() if len(total) else [0] * LEVELS
-            yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([n], pa.int32()), pa.array([own.tobytes()]), pa.array([total.astype(np.int64).tobytes()]), pa.array([held], pa.list_(pa.int64()))], names=["bucket", "n", "hashes", "counts", "held"])
-
-    found = train.select(F.col(text).cast("string")).mapInArrow(partial, "bucket int, n int, hashes binary, counts binary")
-    return saved(found.repartition("bucket").mapInArrow(merged, "bucket int, n int, hashes binary, counts binary, held array<long>"), "gram-counts")
-
-
 def word_counts(grams: DataFrame) -> DataFrame:
     """(word, c) of all training words, as rows."""
 
@@ -118,6 +83,20 @@ def word_counts(grams: DataFrame) -> DataFrame:
     return grams.filter("n = 1").select("hashes", "counts").mapInArrow(work, "word long, c long")
 
 
+def frequent_words(vocabulary: DataFrame) -> DataFrame:
+    """The rows of ``vocabulary`` with the largest counts, whole bins of them, at most ``HEAD_WORDS`` in all.
+
+    What comes to the driver to choose them is one number for each bin of counts, whatever the corpus.
+    """
+    size = F.floor(F.log2(F.col("c").cast("double")) * STEPS)
+    held, least = 0, LEVELS * STEPS
+    for at, n in sorted(vocabulary.groupBy(size.alias("bin")).count().collect(), reverse=True):
+        if held + n > HEAD_WORDS:
+            break
+        held, least = held + n, at
+    return vocabulary.filter(size >= least)
+
+
 class CountFilter:
     """Quantised counts by membership probes; one part for each bucket of hashes."""
 
@@ -164,39 +143,6 @@ class CountFilter:
         return found
 
 
-def build_filter(grams: DataFrame, limit_bytes: int = FILTER_BYTES) -> CountFilter:
-    """A filter in one piece of saved counts, for a caller who wants it not larger than ``limit_bytes``.
-
-    What doesn't fit is left out, the pairs of the lowest levels first; ``score`` doesn't use it.
-    """
-    bits = bucket_bits(grams.sparkSession)
-    held = {n: np.zeros(LEVELS, np.int64) for n in (1, 2)}
-    for n, j, total in grams.select("n", F.posexplode("held")).groupBy("n", "pos").agg(F.sum("col")).collect():
-        held[n][j] = total
-    above = {n: x[::-1].cumsum()[::-1] for n, x in held.items()}
-    least = {1: 1, 2: 1}
-    entries = lambda: sum(int(above[n][least[n] :].sum()) for n in (1, 2))
-    while entries() * ENTRY_BITS > 8 * limit_bytes:
-        least[2 if least[2] < LEVELS - 1 else 1] += 1
-    part_bits = -(-entries() * ENTRY_BITS // (1 << bits) // 64) * 64
-    made = CountFilter(bits, part_bits, least)
-    if not part_bits:
-        return made
-    shape = CountFilter.__new__(CountFilter)
-    shape.bits, shape.part_bits, shape.least = bits, part_bits, least
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bucket, n, hashes, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = shape.part(n, np.frombuffer(hashes, np.uint64), np.frombuffer(counts, np.int64)).tobytes()
-                yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([data])], names=["bucket", "data"])
-
-    parts = made.parts.reshape(1 << bits, part_bits // 8)
-    for bucket, data in grams.select("bucket", "n", "hashes", "counts").mapInArrow(work, "bucket int, data binary").toLocalIterator():
-        parts[bucket] |= np.frombuffer(data, np.uint8)
-    return made
-
-
 def chunked(rows: DataFrame) -> DataFrame:
     """Saved ``rows`` (key, held_out, text), about ``CHUNK_BYTES`` of text packed into each: (chunk, rows)."""
     kind = rows.schema["key"].dataType.simpleString()
@@ -343,7 +289,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
     grams = read_grams(chunks)
     vocabulary = word_counts(grams.filter("chunk is null"))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    head = vocabulary.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).toPandas().sort_values("word")
+    head = frequent_words(vocabulary).toPandas().sort_values("word")
     shared = spark.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
     names = ["key", "held_out", "n_tokens", "n_known", "logs", "words", "times", "word_levels", "pair_levels"]

@@ -59,11 +59,18 @@ def test_filter_never_undercounts(frame):
     assert lm.typical(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
 
 
-def test_small_filter_and_empty_tables(spark, frame, documents):
+def test_frequent_words_are_whole_bins(frame, monkeypatch):
+    words = frame([(k, 1 + 4000 // (k + 1)) for k in range(500)] + [(900 + k, 10**7) for k in range(3)], "word long, c long")
+    monkeypatch.setattr(lm, "HEAD_WORDS", 60)
+    head = lm.frequent_words(words).collect()
+    assert 40 < len(head) <= 60 and min(r["c"] for r in head) > max(r["c"] for r in words.collect() if r not in head)
+    monkeypatch.setattr(lm, "HEAD_WORDS", 2)
+    assert lm.frequent_words(words).count() == 0
+    assert lm.frequent_words(words.limit(0)).count() == 0
+
+
+def test_empty_tables(spark, frame, documents):
     docs = documents.select("doc_id", "text")
-    grams = lm.count_grams(docs)
-    small = lm.build_filter(grams, limit_bytes=1 << 16)
-    assert len(small.parts) <= (1 << 16) + 8 * (1 << small.bits) and small.least[2] > 2
     none = lm.score(docs.limit(0), F.lit(False))
     assert none.count() == 0
     untrained = lm.score(docs.limit(3), F.lit(True)).collect()
@@ -71,13 +78,10 @@ def test_small_filter_and_empty_tables(spark, frame, documents):
 
 
 def test_no_pair_is_left_out_for_size(frame, documents, monkeypatch):
-    """Scores don't change with the bound of the filter in one piece, nor with the number of chunks."""
+    """Scores don't change with the number of chunks."""
     docs = documents.select("doc_id", "text").limit(100).unionByName(frame([(7_000_000 + k, "one two " * 40) for k in range(8)], "doc_id long, text string"))
     scores = lambda: {r["doc_id"]: round(r["score"], 9) for r in lm.score(docs, F.lit(False)).collect()}
     whole = scores()
-    monkeypatch.setattr(lm, "FILTER_BYTES", 1 << 8)
-    monkeypatch.setattr(lm.build_filter, "__defaults__", (1 << 8,))
-    assert scores() == whole
     monkeypatch.setattr(lm, "CHUNK_BYTES", 1 << 12)
     assert scores() == whole
 
