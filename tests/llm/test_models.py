@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def test_toxicity_on_held_out_rows(spark):
     machine = toxicity.train(docs.filter(fold(3) != 1).join(labels, "doc_id"))
     found = toxicity.score(docs, machine).join(labels, "doc_id").filter(fold(3) == 1).select("toxic", "score").toPandas()
     toxic, clean = found[found.toxic == 1].score.to_numpy(), found[found.toxic == 0].score.to_numpy()
-    assert (toxic[:, None] > clean[None, :]).mean() > 0.92
+    assert (toxic[:, None] > clean[None, :]).mean() > 0.96
     assert (clean >= 0.7).mean() < 0.01 and (toxic >= 0.7).mean() > 0.7
 
 
@@ -123,6 +124,53 @@ def test_pairs_of_terms_are_learnt():
     assert np.abs(machine.factors).max() > 0.05
 
 
+def meetings():
+    """Texts with words for a group (toxic as often as any other text), an insult (toxic only beside the group) and a slur."""
+    rng = np.random.default_rng(1)
+    order = rng.permutation(4000)
+    group, insult, toxic = (np.zeros(4000, bool) for _ in range(3))
+    group[order[:30]] = insult[order[:30]] = toxic[order[:30]] = True
+    insult[order[30:100]] = True
+    group[order[100:1270]] = True
+    toxic[order[100:200]] = toxic[order[1270:1572]] = True
+    texts = []
+    for k in range(4000):
+        words = [f"w{x}" for x in rng.integers(0, 3000, 60)]
+        words += ["groupname"] * int(group[k]) + ["insulting"] * int(insult[k]) + ["slurred"] * int(toxic[k] and not insult[k])
+        texts.append(" ".join(rng.permutation(words)))
+    assert abs(toxic[group].mean() - toxic.mean()) < 0.002
+    return texts, toxic.astype(int)
+
+
+def test_a_pair_of_neutral_words_is_toxic(frame):
+    """Neither the group nor the insult tells a toxic text; both together do. Sums over all pairs equal the scores."""
+    texts, toxic = meetings()
+    docs = frame([(k, x, int(y)) for k, (x, y) in enumerate(zip(texts, toxic, strict=True))], "doc_id long, text string, toxic int")
+    machine = toxicity.train(docs)
+    probes = ["the groupname here", "an insulting word", "groupname and insulting", "slurred", "plain", "", texts[3]]
+    found = [r["score"] for r in toxicity.score(frame(list(enumerate(probes)), "doc_id long, text string"), machine).orderBy("doc_id").collect()]
+    alone, insult, both, slur, plain = found[:5]
+    assert both > 0.7 and slur > 0.7 and max(alone, insult, plain) < 0.7
+    for value, terms in zip(found, toxicity.terms_of(pa.array(probes)), strict=True):
+        pairs = sum(float(machine.factors[a] @ machine.factors[b]) for k, a in enumerate(terms) for b in terms[k + 1 :])
+        total = machine.bias + float(machine.weights[terms].sum()) + pairs
+        assert value == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
+def test_sample_is_the_same_in_any_order(frame):
+    """Bounds of rows and of terms hold, and partitions in another order give the same machine."""
+    docs = frame([(k, f"common {'bad' if k % 3 == 0 else 'good'} " + " ".join(f"x{k}y{j}" for j in range(k % 40)), int(k % 3 == 0)) for k in range(600)], "doc_id long, text string, toxic int")
+    docs = docs.unionByName(frame([(9999, "copy of a row", 0)] * 300, "doc_id long, text string, toxic int"))
+    for bounds in ((200, 10**6), (10**6, 4000)):
+        one = toxicity.train(docs.repartition(3), sample_rows=bounds[0], sample_terms=bounds[1])
+        other = toxicity.train(docs.orderBy("toxic", F.desc("doc_id")), sample_rows=bounds[0], sample_terms=bounds[1])
+        assert one.told().any() and np.array_equal(one.weights, other.weights) and np.array_equal(one.factors, other.factors)
+    known = docs.selectExpr("pmod(xxhash64(doc_id), 1073741824) AS place", "CAST(length(text) AS double) AS n_terms").cache()
+    for bounds in ((200, 10**6), (10**6, 4000)):
+        rows, terms = toxicity.sampled(known, *bounds).selectExpr("count(*)", "sum(n_terms)").first()
+        assert 0 < rows <= bounds[0] and terms <= bounds[1]
+
+
 def test_odd_rows_and_few_labels(frame):
     docs = frame([(1, "an idiot", 1, "x"), (None, None, 0, None), (2, "", None, None), (3, "w " * 50_000, 0, None)], "doc_id long, text string, toxic int, score string")
     machine = toxicity.train(docs)
