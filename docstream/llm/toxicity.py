@@ -151,8 +151,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rate: float = 0.1, factor_ra
 def sampled(rows: DataFrame, sample_rows: int, sample_terms: int) -> DataFrame:
     """Rows (place, n_terms) of consecutive hash ranges, as many as hold at most so many rows and terms.
 
-    Ranges come in the order of their hashes; one that is over a bound by itself (repeated rows have equal hashes) is
-    passed over. The driver gets two numbers for each of ``RANGES`` ranges.
+    Ranges come in the order of their hashes; one that is over a bound by itself (rows of a key have equal hashes) is
+    passed over. Null keys share one. The driver gets two numbers for each of ``RANGES`` ranges.
     """
     width = int(rows.agg(F.max("place")).first()[0] or 0) // RANGES + 1
     at = F.floor(F.col("place") / width)
@@ -173,7 +173,8 @@ def sampled(rows: DataFrame, sample_rows: int, sample_terms: int) -> DataFrame:
 def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS, sample_terms: int = SAMPLE_TERMS) -> Machine:
     """A machine learnt from at most ``sample_rows`` rows with a label 0 or 1, of at most ``sample_terms`` terms.
 
-    Where there are more, those are taken whose hash of key, label and text lies in a range; they are turned into
+    Where there are more, those are taken whose hash of ``key`` lies in a range, a filter that also holds below a join
+    by it; they are turned into
     terms where they lie, and only the terms of the sample come to the driver.
     """
     ship(labelled.sparkSession)
@@ -184,7 +185,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic", key: st
             yield pa.record_batch([pa.array(terms, pa.binary()), batch.column(1), batch.column(2)], names=["terms", "label", "place"])
 
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label"), F.col(key).alias("key")).filter(F.col("label").isin(0, 1))
-    rows = rows.select("text", "label", F.pmod(F.xxhash64("key", "label", "text"), F.lit(PARTS)).alias("place"))
+    rows = rows.select("text", "label", F.pmod(F.xxhash64("key"), F.lit(PARTS)).alias("place"))
     total = rows.select("label").count()
     # A little more than the share, as hashes don't fall evenly; the ranges then keep to the bounds.
     near = rows.filter(F.col("place") < int(min(PARTS, PARTS * 1.1 * sample_rows / max(total, 1))))
