@@ -2,9 +2,13 @@
 
 Words and pairs of neighbouring words of the training rows, those seen once too, are counted exactly by a shuffle. A count c is quantised
 to the level 1 + floor(log2 c), and the filter holds (n-gram, j) for every level j up to its own; a count is read back
-by probing j = 1, 2, ... until a probe fails. The filter is in parts, one for each bucket of hashes, and is nowhere
-in one piece: the distinct n-grams of each chunk of rows are dealt to the buckets, counted there, made into the part
-and probed, and only their levels go back to the chunk. So its size has no bound, and no n-gram is left out for it.
+by probing j = 1, 2, ... until a probe fails.
+
+The filter is broadcast to the workers, block by block: a block is the part of it for a range of hashes, at most
+``BLOCK_BYTES``, so what a worker holds doesn't grow with the corpus; only the number of blocks does. Chunks of rows
+write the distinct n-grams they ask for once, in a folder for each block. Each pass broadcasts a block, probes it for
+the n-grams of its folder alone and writes their levels; then the block is given up. So an n-gram is asked once,
+whatever the number of blocks, none is left out for size, and the exact counts of pairs aren't kept.
 
     P(w | h) = weight[level of h] * count(h w) / count(h)  +  (1 - weight[level of h]) * (count(w) + 1) / (N + V + 1)
 
@@ -31,12 +35,17 @@ from pyspark.sql import functions as F
 from docstream.llm.dealing import bucket_bits, by_bucket, dealt, saved, summed
 from docstream.llm.shipping import ship
 from docstream.llm.words import Words, blocks, mix
+from docstream.session import scratch_dir
 
 #: Word that stands for the end of a text, before its first word and after its last.
 END = np.uint64(0x5EED0FE4D0000001)
 #: Tokens that a task counts at once; bytes of text in a chunk of rows (a longer text is a chunk of its own); words
 #: whose counts are broadcast, at most.
 CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 2_000_000, 12 << 20, 1 << 18
+#: Bytes of the filter that are broadcast at once, at most.
+BLOCK_BYTES = 16 << 20
+#: Bits of a hash, after those of its bucket, by which the filter knows an n-gram; bytes of them in a question.
+KEY_BITS, KEY_BYTES = 40, 5
 #: Steps of a doubling in which counts are binned to choose those words.
 STEPS = 16
 #: Bits of the filter for each (n-gram, level) it holds, and probes for each.
@@ -126,6 +135,13 @@ class CountFilter:
         made.parts = made.part(n, hashes, counts)
         return made
 
+    @classmethod
+    def of_bytes(cls, n: int, part: bytes) -> CountFilter:
+        """The filter of one part that has these bytes."""
+        made = cls(0, 8 * len(part), {n: 1})
+        made.parts = np.frombuffer(part, np.uint8)
+        return made
+
     def levels(self, n: int, hashes: np.ndarray) -> np.ndarray:
         """The level that each n-gram has in the filter; 0 if it is not there."""
         found = np.zeros(len(hashes), dtype=np.int64)
@@ -144,14 +160,17 @@ class CountFilter:
 
 
 def chunked(rows: DataFrame) -> DataFrame:
-    """Saved ``rows`` (key, held_out, text), about ``CHUNK_BYTES`` of text packed into each: (chunk, rows)."""
-    kind = rows.schema["key"].dataType.simpleString()
+    """Saved ``rows`` (key, held_out, text), about ``CHUNK_BYTES`` of text packed into each: (chunk, rows).
+
+    ``rows`` is one compressed Arrow stream, which is what is kept and shuffled of a chunk's texts.
+    """
 
     def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(parts).combine_chunks()
-        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
-        own = pa.StructArray.from_arrays(columns, names=["key", "held_out", "text"])
-        return pa.record_batch([pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)], names=["rows"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            for part in parts:
+                stream.write_batch(part)
+        return pa.record_batch([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["rows"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
@@ -170,55 +189,120 @@ def chunked(rows: DataFrame) -> DataFrame:
         if parts:
             yield packed(parts)
 
-    found = rows.mapInArrow(work, f"rows array<struct<key:{kind},held_out:boolean,text:string>>")
+    found = rows.mapInArrow(work, "rows binary")
     return saved(found.withColumn("chunk", F.monotonically_increasing_id()), "lm-chunks")
 
 
-def read_grams(chunks: DataFrame) -> DataFrame:
-    """Saved (bucket, n, hashes, counts) for the exact counts of words and (chunk, bucket, n, levels) for the n-grams of chunks.
+def rows_of(packed: bytes) -> pa.Table:
+    """The rows (key, held_out, text) of a chunk."""
+    with pa.ipc.open_stream(packed) as stream:
+        return stream.read_all().combine_chunks()
+
+
+def column_of(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).combine_chunks()
+    return column if isinstance(column, pa.Array) else column.chunk(0)
+
+
+def grams_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, one past the last, words, pairs, bounds by text) of a block of texts at a time."""
+    for first, last, words in blocks(texts):
+        word, before, bounds = tokens(words)
+        yield first, last, word, pair(before, word), bounds
+
+
+def short_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """What the filter knows of a hash within its bucket."""
+    return (hashes << np.uint64(bits)) >> np.uint64(64 - KEY_BITS)
+
 
-    The distinct n-grams of a chunk, those of held-out rows too, meet the counts of the training rows in their bucket;
-    ``levels`` has what the filter says of each, in the order of their hashes.
+def hash_bits(chunks: DataFrame) -> int:
+    """Bits of a hash that name its bucket: also so many that a bucket has the n-grams of four chunks at most."""
+    return max(bucket_bits(chunks.sparkSession), chunks.count().bit_length() - 2)
+
+
+def count_grams(chunks: DataFrame, bits: int) -> DataFrame:
+    """Saved (bucket, n, part, hashes, counts) of the training rows: the filter's part of each bucket, and the exact counts of words.
+
+    Counts are added up within a chunk before they are shuffled.
     """
-    bits = bucket_bits(chunks.sparkSession)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, chunk in enumerate(batch.column(0).to_pylist()):
-                texts, held_out = batch.column(1)[at].values, batch.column(2)[at].values.to_numpy(zero_copy_only=False).astype(bool)
-                grams, trained = [[], []], []
-                for first, last, words in blocks(texts):
-                    word, before, bounds = tokens(words)
-                    grams[0].append(word)
-                    grams[1].append(pair(before, word))
-                    trained.append(np.repeat(~held_out[first:last], np.diff(bounds)))
-                trained = np.concatenate(trained)
-                for n, values in enumerate(grams, 1):
-                    own, place = np.unique(np.concatenate(values), return_inverse=True)
-                    counts = np.bincount(place[trained], minlength=len(own)).astype(np.uint32)
-                    rows = [(chunk, b, n, h.tobytes(), c.tobytes()) for b, h, (c,) in dealt(own, bits, counts)]
-                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "hashes", "counts"])
+            for packed in batch.column(0).to_pylist():
+                own = rows_of(packed)
+                texts = pc.filter(column_of(own, "text"), pc.invert(column_of(own, "held_out")))
+                cut = [(word, both) for _, _, word, both, _ in grams_of(texts)]
+                for n, values in enumerate(zip(*cut, strict=True), 1):
+                    hashes, counts = np.unique(np.concatenate(values), return_counts=True)
+                    rows = [(b, n, h.tobytes(), c.tobytes()) for b, h, (c,) in dealt(hashes, bits, counts.astype(np.uint32))]
+                    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "n", "hashes", "counts"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, n), (chunks, hashes, counts) in by_bucket(in_order(batches), 2).items():
-            hashes = [np.frombuffer(x, np.uint64) for x in hashes]
-            own, total = summed(hashes, [np.frombuffer(x, np.uint32) for x in counts])
-            seen = total > 0
-            levels = CountFilter.of_bucket(n, own[seen], total[seen]).levels(n, own).astype(np.uint8)
-            rows = [(c, bucket, n, None, None, levels[np.searchsorted(own, h)].tobytes()) for c, h in zip(chunks, hashes, strict=True)]
-            if n == 1 and seen.any():
-                rows.append((None, bucket, n, own[seen].tobytes(), total[seen].tobytes(), None))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "hashes", "counts", "levels"])
-
-    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.select(["bucket", "n", "chunk", "hashes", "counts"])
+        for (bucket, n), (hashes, counts) in by_bucket(batches, 2).items():
+            own, total = summed([np.frombuffer(x, np.uint64) for x in hashes], [np.frombuffer(x, np.uint32) for x in counts])
+            part = CountFilter.of_bucket(n, short_keys(own, bits), total).parts.tobytes()
+            words = (own.tobytes(), total.tobytes()) if n == 1 else (None, None)
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.record_batch([pa.array([x], k) for x, k in zip((bucket, n, part, *words), kinds, strict=True)], names=["bucket", "n", "part", "hashes", "counts"])
+
+    found = chunks.select("rows").mapInArrow(partial, "bucket int, n int, hashes binary, counts binary")
+    return saved(found.repartition("bucket").mapInArrow(merged, "bucket int, n int, part binary, hashes binary, counts binary"), "gram-counts")
+
+
+def buckets_a_block(counts: DataFrame, bits: int, block_bytes: int) -> int:
+    """How many buckets next to each other make a block of at most ``block_bytes``, measured by the largest parts."""
+    largest = sum(size for _, size in counts.groupBy("n").agg(F.max(F.length("part"))).collect())
+    if largest > block_bytes:
+        raise ValueError(f"a bucket's part of the filter has {largest} bytes, more than the {block_bytes} of a block: more shuffle partitions make smaller buckets")
+    return min(block_bytes // max(largest, 1), 1 << bits)
 
-    schema = "chunk long, bucket int, n int, hashes binary, counts binary"
-    found = chunks.select("chunk", "rows.text", "rows.held_out").mapInArrow(partial, schema)
-    return saved(found.repartition("bucket").mapInArrow(merged, f"{schema}, levels binary"), "gram-levels")
+
+def asked(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
+    """Saved (chunk, bucket, n, keys, block): the distinct n-grams of each chunk, in a folder for each block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                cut = [(word, both) for _, _, word, both, _ in grams_of(column_of(rows_of(packed), "text"))]
+                for n, values in enumerate(zip(*cut, strict=True), 1):
+                    hashes = np.unique(np.concatenate(values))
+                    keys = short_keys(hashes, bits).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+                    rows = [(chunk, b, n, k.tobytes(), b // buckets) for b, _, (k,) in dealt(hashes, bits, keys)]
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "keys", "block"])
+
+    schema = "chunk long, bucket int, n int, keys binary, block int"
+    path = scratch_dir(chunks.sparkSession, "lm-asked")
+    chunks.select("chunk", "rows").mapInArrow(work, schema).write.partitionBy("block").parquet(path)
+    return chunks.sparkSession.read.schema(schema).parquet(path)
+
+
+def read_levels(chunks: DataFrame, counts: DataFrame, bits: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Saved (chunk, bucket, n, levels): what the filter says of the distinct n-grams of each chunk, in the order of their hashes."""
+    spark = chunks.sparkSession
+    buckets = buckets_a_block(counts, bits, block_bytes)
+    questions = asked(chunks, bits, buckets)
+    path, schema = scratch_dir(spark, "gram-levels"), "chunk long, bucket int, n int, levels binary"
+    for block in range(-(-(1 << bits) // buckets)):
+        own = counts.filter(F.col("bucket").between(block * buckets, (block + 1) * buckets - 1))
+        shared = spark.sparkContext.broadcast({(b, n): part for b, n, part in own.select("bucket", "n", "part").toArrow().to_pandas().itertuples(index=False)})
+
+        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                levels = []
+                for bucket, n, keys in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "keys")), strict=True):
+                    whole = np.zeros((len(keys) // KEY_BYTES, 8), np.uint8)
+                    whole[:, :KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
+                    part = CountFilter.of_bytes(n, shared.value.get((bucket, n), b""))
+                    levels.append(part.levels(n, whole.view("<u8").ravel()).astype(np.uint8).tobytes())
+                yield pa.record_batch([*(batch.column(c) for c in ("chunk", "bucket", "n")), pa.array(levels, pa.binary())], names=["chunk", "bucket", "n", "levels"])
+
+        answers = questions.filter(F.col("block") == block).select("chunk", "bucket", "n", "keys").mapInArrow(work, schema)
+        answers.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(schema).parquet(path)
 
 
 class Model:
@@ -280,30 +364,34 @@ def fit_weights(model: Model, train: DataFrame) -> None:
         model.weights[at] = (told + 0.01) / (seen + 1)
 
 
-def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of each row."""
+def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of each row.
+
+    ``block_bytes`` bounds what is broadcast of the filter at once; scores don't depend on it.
+    """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).cast("string").alias("text"))
     chunks = chunked(rows)
-    grams = read_grams(chunks)
-    vocabulary = word_counts(grams.filter("chunk is null"))
+    bits = hash_bits(chunks)
+    grams = count_grams(chunks, bits)
+    answered = read_levels(chunks, grams, bits, block_bytes)
+    vocabulary = word_counts(grams.filter("n = 1"))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     head = frequent_words(vocabulary).toPandas().sort_values("word")
     shared = spark.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
     names = ["key", "held_out", "n_tokens", "n_known", "logs", "words", "times", "word_levels", "pair_levels"]
 
-    def work(own: pa.Table, answers: pa.Table) -> pa.Table:
+    def work(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        own = rows_of(chunk.column("rows")[0].as_py())
         frequent, counts = shared.value
         logs = np.log10(counts + 1.0)
         told: dict[int, list[tuple[int, bytes]]] = {1: [], 2: []}
         for bucket, n, levels in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "levels")), strict=True):
             told[n].append((bucket, levels))
-        texts, made = own.column("text").combine_chunks(), []
-        cut = [(first, last, *tokens(words)) for first, last, words in blocks(texts)]
-        levels = []
-        for n, values in ((1, [word for _, _, word, _, _ in cut]), (2, [pair(before, word) for _, _, word, before, _ in cut])):
+        cut, made, levels = list(grams_of(column_of(own, "text"))), [], []
+        for n, values in ((1, [word for _, _, word, _, _ in cut]), (2, [both for _, _, _, both, _ in cut])):
             distinct, place = np.unique(np.concatenate(values), return_inverse=True)
             # The hashes of a bucket are next to each other, so levels by bucket are levels by hash.
             found = np.frombuffer(b"".join(x for _, x in sorted(told[n])), np.uint8)
@@ -332,9 +420,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
 
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, logs double, words array<long>, times array<int>, word_levels binary, pair_levels binary"
-    of_rows = chunks.select("chunk", F.explode("rows").alias("r")).select("chunk", "r.*")
-    of_grams = grams.filter("chunk is not null").select("chunk", "bucket", "n", "levels")
-    found = of_rows.groupBy("chunk").cogroup(of_grams.groupBy("chunk")).applyInArrow(work, schema)
+    found = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(work, schema)
     table = saved(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
     model = Model(total, distinct)
     fit_weights(model, table.filter(~F.col("held_out")))

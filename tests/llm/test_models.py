@@ -87,13 +87,58 @@ def test_no_pair_is_left_out_for_size(frame, documents, monkeypatch):
     assert scores() == whole
 
 
+def test_scores_are_the_same_for_any_number_of_blocks(documents):
+    docs = documents.select("doc_id", "text").limit(60)
+    chunks = lm.chunked(docs.selectExpr("doc_id AS key", "false AS held_out", "text"))
+    bits = lm.hash_bits(chunks)
+    counts = lm.count_grams(chunks, bits)
+    assert lm.buckets_a_block(counts, bits, lm.BLOCK_BYTES) == 1 << bits
+    small = sum(r[1] for r in counts.groupBy("n").agg(F.max(F.length("part"))).collect()) * (1 << bits) // 20
+    assert (1 << bits) // lm.buckets_a_block(counts, bits, small) >= 15
+    with pytest.raises(ValueError, match="more shuffle partitions"):
+        lm.buckets_a_block(counts, bits, 8)
+    scores = lambda **bound: sorted(lm.score(docs, fold(7) == 2, **bound).collect())
+    assert scores(block_bytes=small) == scores()
+
+
+def test_scores_from_exact_counts(documents):
+    """The model's score, worked out by hand from exact counts, up to the filter's rare errors."""
+    docs = documents.select("doc_id", "text").limit(150)
+    rows = {r["doc_id"]: tokens(r["text"]) for r in docs.collect()}
+    trained = [t for key, t in rows.items() if zlib.crc32(str(key).encode()) % 7 != 2]
+    words, pairs = Counter(), Counter()
+    for text in trained:
+        words.update(text)
+        pairs.update(zip([None, *text], text))
+    size = sum(words.values()) + len(words) + 1
+    lev = lambda c: int(math.log2(c)) + 1 if c else 0
+    mid = lambda c: 1.5 * 2 ** (lev(c) - 1) - 0.5 if c else 0.0
+
+    def parts(text, out):
+        for before, word in zip([None, *text], text):
+            around, both, single = mid(words[before]) - out, max(mid(pairs[before, word]) - out, 0), max(mid(words[word]) - out, 0)
+            yield lev(words[before]), min(both / max(around, 1), 1) if around > 0 else 0, (single + 1) / size
+
+    told, seen = Counter(), Counter()
+    for text in trained:
+        for at, share, single in parts(text, 1):
+            told[at] += 0.2 * share / (0.2 * share + 0.8 * single)
+            seen[at] += 1
+    weight = {at: (told[at] + 0.01) / (seen[at] + 1) for at in range(lm.LEVELS)}
+    found = {r["doc_id"]: r["score"] for r in lm.score(docs, fold(7) == 2).collect()}
+    off = [abs(found[key] - sum(math.log10(weight[at] * share + (1 - weight[at]) * single) for at, share, single in parts(text, 0))) / len(text) for key, text in rows.items()]
+    assert len(found) == len(rows) and np.mean(off) < 0.02 and max(off) < 0.2
+
+
 def test_pairs_seen_once_are_in_the_model(frame):
     """A passage that occurs once in training scores above the same words in another order."""
     trained = [(k, " ".join(f"w{(k * 7 + j * (k % 5 + 1)) % 50}" for j in range(50))) for k in range(20)]
     passage = trained[3][1].split()
     docs = frame([*trained, (100, " ".join(passage)), (101, " ".join(passage[::-1]))], "doc_id long, text string")
-    grams = lm.read_grams(lm.chunked(docs.filter("doc_id < 20").selectExpr("doc_id AS key", "false AS held_out", "text")))
-    once = [np.frombuffer(r["levels"], np.uint8) for r in grams.filter("n = 2 AND chunk IS NOT NULL").collect()]
+    chunks = lm.chunked(docs.filter("doc_id < 20").selectExpr("doc_id AS key", "false AS held_out", "text"))
+    bits = lm.hash_bits(chunks)
+    grams = lm.read_levels(chunks, lm.count_grams(chunks, bits), bits)
+    once = [np.frombuffer(r["levels"], np.uint8) for r in grams.filter("n = 2").collect()]
     assert (np.concatenate(once) >= 1).all() and (np.concatenate(once) == 1).any()
     found = {r["doc_id"]: r["score"] for r in lm.score(docs, F.col("doc_id") >= 100).collect()}
     assert found[100] > found[101]
