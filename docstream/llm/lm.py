@@ -41,11 +41,12 @@ from docstream.session import scratch_dir
 END = np.uint64(0x5EED0FE4D0000001)
 #: Tokens that a task counts at once; bytes of text in a chunk of rows (a longer text is a chunk of its own); words
 #: whose counts are broadcast, at most.
-CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 2_000_000, 12 << 20, 1 << 18
+CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 2_000_000, 8 << 20, 1 << 18
 #: Bytes of the filter that are broadcast at once, at most.
 BLOCK_BYTES = 16 << 20
-#: Bits of a hash, after those of its bucket, by which the filter knows an n-gram; bytes of them in a question.
-KEY_BITS, KEY_BYTES = 40, 5
+#: By how many bits of a hash, after those of its bucket, the filter knows an n-gram. A bucket has the n-grams of a few
+#: chunks, so that two of them are equal in these far more rarely than the filter errs.
+KEY_BITS = 32
 #: Steps of a doubling in which counts are binned to choose those words.
 STEPS = 16
 #: Bits of the filter for each (n-gram, level) it holds, and probes for each.
@@ -193,9 +194,9 @@ def chunked(rows: DataFrame) -> DataFrame:
     return saved(found.withColumn("chunk", F.monotonically_increasing_id()), "lm-chunks")
 
 
-def rows_of(packed: bytes) -> pa.Table:
+def rows_of(packed: pa.BinaryScalar) -> pa.Table:
     """The rows (key, held_out, text) of a chunk."""
-    with pa.ipc.open_stream(packed) as stream:
+    with pa.ipc.open_stream(packed.as_buffer()) as stream:
         return stream.read_all().combine_chunks()
 
 
@@ -212,8 +213,8 @@ def grams_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def short_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """What the filter knows of a hash within its bucket."""
-    return (hashes << np.uint64(bits)) >> np.uint64(64 - KEY_BITS)
+    """What the filter knows of a hash within its bucket; sorted as the hashes of a bucket are."""
+    return ((hashes << np.uint64(bits)) >> np.uint64(64 - KEY_BITS)).astype(np.uint32)
 
 
 def hash_bits(chunks: DataFrame) -> int:
@@ -224,25 +225,27 @@ def hash_bits(chunks: DataFrame) -> int:
 def count_grams(chunks: DataFrame, bits: int) -> DataFrame:
     """Saved (bucket, n, part, hashes, counts) of the training rows: the filter's part of each bucket, and the exact counts of words.
 
-    Counts are added up within a chunk before they are shuffled.
+    Counts are added up within a chunk before they are shuffled. Pairs are shuffled by what the filter knows of them.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
+            for packed in batch.column(0):
                 own = rows_of(packed)
                 texts = pc.filter(column_of(own, "text"), pc.invert(column_of(own, "held_out")))
                 cut = [(word, both) for _, _, word, both, _ in grams_of(texts)]
                 for n, values in enumerate(zip(*cut, strict=True), 1):
                     hashes, counts = np.unique(np.concatenate(values), return_counts=True)
-                    rows = [(b, n, h.tobytes(), c.tobytes()) for b, h, (c,) in dealt(hashes, bits, counts.astype(np.uint32))]
+                    known = hashes if n == 1 else short_keys(hashes, bits)
+                    rows = [(b, n, k.tobytes(), c.tobytes()) for b, _, (k, c) in dealt(hashes, bits, known, counts.astype(np.uint32))]
                     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "n", "hashes", "counts"])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, n), (hashes, counts) in by_bucket(batches, 2).items():
-            own, total = summed([np.frombuffer(x, np.uint64) for x in hashes], [np.frombuffer(x, np.uint32) for x in counts])
-            part = CountFilter.of_bucket(n, short_keys(own, bits), total).parts.tobytes()
+            own, total = summed([np.frombuffer(x, np.uint64 if n == 1 else np.uint32) for x in hashes], [np.frombuffer(x, np.uint32) for x in counts])
+            keys = short_keys(own, bits) if n == 1 else own
+            part = CountFilter.of_bucket(n, keys.astype(np.uint64), total).parts.tobytes()
             words = (own.tobytes(), total.tobytes()) if n == 1 else (None, None)
             kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.record_batch([pa.array([x], k) for x, k in zip((bucket, n, part, *words), kinds, strict=True)], names=["bucket", "n", "part", "hashes", "counts"])
@@ -264,12 +267,11 @@ def asked(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 cut = [(word, both) for _, _, word, both, _ in grams_of(column_of(rows_of(packed), "text"))]
                 for n, values in enumerate(zip(*cut, strict=True), 1):
                     hashes = np.unique(np.concatenate(values))
-                    keys = short_keys(hashes, bits).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-                    rows = [(chunk, b, n, k.tobytes(), b // buckets) for b, _, (k,) in dealt(hashes, bits, keys)]
+                    rows = [(chunk, b, n, k.tobytes(), b // buckets) for b, _, (k,) in dealt(hashes, bits, short_keys(hashes, bits))]
                     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "keys", "block"])
 
@@ -293,10 +295,8 @@ def read_levels(chunks: DataFrame, counts: DataFrame, bits: int, block_bytes: in
             for batch in batches:
                 levels = []
                 for bucket, n, keys in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "keys")), strict=True):
-                    whole = np.zeros((len(keys) // KEY_BYTES, 8), np.uint8)
-                    whole[:, :KEY_BYTES] = np.frombuffer(keys, np.uint8).reshape(-1, KEY_BYTES)
                     part = CountFilter.of_bytes(n, shared.value.get((bucket, n), b""))
-                    levels.append(part.levels(n, whole.view("<u8").ravel()).astype(np.uint8).tobytes())
+                    levels.append(part.levels(n, np.frombuffer(keys, np.uint32).astype(np.uint64)).astype(np.uint8).tobytes())
                 yield pa.record_batch([*(batch.column(c) for c in ("chunk", "bucket", "n")), pa.array(levels, pa.binary())], names=["chunk", "bucket", "n", "levels"])
 
         answers = questions.filter(F.col("block") == block).select("chunk", "bucket", "n", "keys").mapInArrow(work, schema)
@@ -384,22 +384,24 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
     names = ["key", "held_out", "n_tokens", "n_known", "logs", "words", "times", "word_levels", "pair_levels"]
 
     def work(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        own = rows_of(chunk.column("rows")[0].as_py())
+        own = rows_of(chunk.column("rows")[0])
         frequent, counts = shared.value
         logs = np.log10(counts + 1.0)
         told: dict[int, list[tuple[int, bytes]]] = {1: [], 2: []}
         for bucket, n, levels in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "levels")), strict=True):
             told[n].append((bucket, levels))
         cut, made, levels = list(grams_of(column_of(own, "text"))), [], []
-        for n, values in ((1, [word for _, _, word, _, _ in cut]), (2, [both for _, _, _, both, _ in cut])):
-            distinct, place = np.unique(np.concatenate(values), return_inverse=True)
+        own = own.drop_columns(["text"])
+        for n in (1, 2):
+            distinct, place = np.unique(np.concatenate([x[n + 1] for x in cut]), return_inverse=True)
             # The hashes of a bucket are next to each other, so levels by bucket are levels by hash.
             found = np.frombuffer(b"".join(x for _, x in sorted(told[n])), np.uint8)
             if len(found) != len(distinct):
                 raise ValueError(f"levels of {len(found)} of {len(distinct)} n-grams came back")
             levels.append(found[place])
-        start = 0
-        for first, last, word, _, bounds in cut:
+            del distinct, place
+        cut, start = [(first, last, word, bounds) for first, last, word, _, bounds in cut], 0
+        for first, last, word, bounds in cut:
             word = word.view(np.int64)
             at = np.searchsorted(frequent, word)
             at[at == len(frequent)] = 0

@@ -126,8 +126,11 @@ def test_scores_from_exact_counts(documents):
             seen[at] += 1
     weight = {at: (told[at] + 0.01) / (seen[at] + 1) for at in range(lm.LEVELS)}
     found = {r["doc_id"]: r["score"] for r in lm.score(docs, fold(7) == 2).collect()}
-    off = [abs(found[key] - sum(math.log10(weight[at] * share + (1 - weight[at]) * single) for at, share, single in parts(text, 0))) / len(text) for key, text in rows.items()]
-    assert len(found) == len(rows) and np.mean(off) < 0.02 and max(off) < 0.2
+    off = {key: found[key] - sum(math.log10(weight[at] * share + (1 - weight[at]) * single) for at, share, single in parts(text, 0)) for key, text in rows.items()}
+    n_tokens = sum(map(len, rows.values()))
+    # A probe errs for about one n-gram in a hundred, which moves a token by a few orders: rare, so short texts are mostly exact.
+    assert len(found) == len(rows) and sum(map(abs, off.values())) < 0.02 * n_tokens
+    assert all(abs(off[key]) < 6 * (2 + 0.03 * len(text)) for key, text in rows.items())
 
 
 def test_pairs_seen_once_are_in_the_model(frame):
