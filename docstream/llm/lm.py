@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docstream.llm.dealing import bucket_bits, by_bucket, dealt, saved, summed
+from docstream.llm.dealing import bucket_bits, by_bucket, dealt, forget, saved, summed
 from docstream.llm.shipping import ship
 from docstream.llm.words import Words, blocks, mix
 from docstream.session import scratch_dir
@@ -262,8 +262,8 @@ def buckets_a_block(counts: DataFrame, bits: int, block_bytes: int) -> int:
     return min(block_bytes // max(largest, 1), 1 << bits)
 
 
-def asked(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
-    """Saved (chunk, bucket, n, keys, block): the distinct n-grams of each chunk, in a folder for each block."""
+def asked(chunks: DataFrame, bits: int, buckets: int, path: str) -> DataFrame:
+    """(chunk, bucket, n, keys, block) saved at ``path``: the distinct n-grams of each chunk, in a folder for each block."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +276,6 @@ def asked(chunks: DataFrame, bits: int, buckets: int) -> DataFrame:
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "keys", "block"])
 
     schema = "chunk long, bucket int, n int, keys binary, block int"
-    path = scratch_dir(chunks.sparkSession, "lm-asked")
     chunks.select("chunk", "rows").mapInArrow(work, schema).write.partitionBy("block").parquet(path)
     return chunks.sparkSession.read.schema(schema).parquet(path)
 
@@ -285,8 +284,8 @@ def read_levels(chunks: DataFrame, counts: DataFrame, bits: int, block_bytes: in
     """Saved (chunk, bucket, n, levels): what the filter says of the distinct n-grams of each chunk, in the order of their hashes."""
     spark = chunks.sparkSession
     buckets = buckets_a_block(counts, bits, block_bytes)
-    questions = asked(chunks, bits, buckets)
-    path, schema = scratch_dir(spark, "gram-levels"), "chunk long, bucket int, n int, levels binary"
+    asked_at, path, schema = scratch_dir(spark, "lm-asked"), scratch_dir(spark, "gram-levels"), "chunk long, bucket int, n int, levels binary"
+    questions = asked(chunks, bits, buckets, asked_at)
     for block in range(-(-(1 << bits) // buckets)):
         own = counts.filter(F.col("bucket").between(block * buckets, (block + 1) * buckets - 1))
         shared = spark.sparkContext.broadcast({(b, n): part for b, n, part in own.select("bucket", "n", "part").toArrow().to_pandas().itertuples(index=False)})
@@ -302,6 +301,8 @@ def read_levels(chunks: DataFrame, counts: DataFrame, bits: int, block_bytes: in
         answers = questions.filter(F.col("block") == block).select("chunk", "bucket", "n", "keys").mapInArrow(work, schema)
         answers.write.mode("append").parquet(path)
         shared.destroy()
+        # The levels are written, so no lost executor brings these questions back.
+        forget(spark, f"{asked_at}/block={block}")
     return spark.read.schema(schema).parquet(path)
 
 
