@@ -39,9 +39,9 @@ from docstream.session import scratch_dir
 
 #: Word that stands for the end of a text, before its first word and after its last.
 END = np.uint64(0x5EED0FE4D0000001)
-#: Tokens that a task counts at once; bytes of text in a chunk of rows (a longer text is a chunk of its own); words
+#: Tokens whose levels a task looks at at once (a longer text is looked at whole); bytes of text in a chunk of rows (a longer text is a chunk of its own); words
 #: whose counts are broadcast, at most.
-CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 2_000_000, 8 << 20, 1 << 18
+CHUNK_TOKENS, CHUNK_BYTES, HEAD_WORDS = 500_000, 8 << 20, 1 << 18
 #: Bytes of the filter that are broadcast at once, at most.
 BLOCK_BYTES = 16 << 20
 #: By how many bits of a hash, after those of its bucket, the filter knows an n-gram. A bucket has the n-grams of a few
@@ -212,6 +212,34 @@ def grams_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield first, last, word, pair(before, word), bounds
 
 
+def distinct(cut: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes and how often each occurs."""
+    values = np.concatenate(cut)
+    values.sort()
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+def distinct_grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(n, hashes, counts) of the distinct words, then of the distinct pairs of a chunk; nothing without texts."""
+    cut = {1: [], 2: []}
+    for _, _, word, both, _ in grams_of(texts):
+        cut[1].append(word)
+        cut[2].append(both)
+    for n in (1, 2):
+        if own := cut.pop(n):
+            yield n, *distinct(own)
+
+
+def ranks(cut: list[np.ndarray], hashes: np.ndarray) -> Iterator[np.ndarray]:
+    """Where each hash of a block stands in the sorted ``hashes``, which hold it, block by block."""
+    for block in cut:
+        order = np.argsort(block)
+        found = np.empty(len(block), np.int32)
+        found[order] = np.searchsorted(hashes, block[order])
+        yield found
+
+
 def short_keys(hashes: np.ndarray, bits: int) -> np.ndarray:
     """What the filter knows of a hash within its bucket; sorted as the hashes of a bucket are."""
     return ((hashes << np.uint64(bits)) >> np.uint64(64 - KEY_BITS)).astype(np.uint32)
@@ -233,9 +261,7 @@ def count_grams(chunks: DataFrame, bits: int) -> DataFrame:
             for packed in batch.column(0):
                 own = rows_of(packed)
                 texts = pc.filter(column_of(own, "text"), pc.invert(column_of(own, "held_out")))
-                cut = [(word, both) for _, _, word, both, _ in grams_of(texts)]
-                for n, values in enumerate(zip(*cut, strict=True), 1):
-                    hashes, counts = np.unique(np.concatenate(values), return_counts=True)
+                for n, hashes, counts in distinct_grams(texts):
                     known = hashes if n == 1 else short_keys(hashes, bits)
                     rows = [(b, n, k.tobytes(), c.tobytes()) for b, _, (k, c) in dealt(hashes, bits, known, counts.astype(np.uint32))]
                     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -268,9 +294,7 @@ def asked(chunks: DataFrame, bits: int, buckets: int, path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                cut = [(word, both) for _, _, word, both, _ in grams_of(column_of(rows_of(packed), "text"))]
-                for n, values in enumerate(zip(*cut, strict=True), 1):
-                    hashes = np.unique(np.concatenate(values))
+                for n, hashes, _ in distinct_grams(column_of(rows_of(packed), "text")):
                     rows = [(chunk, b, n, k.tobytes(), b // buckets) for b, _, (k,) in dealt(hashes, bits, short_keys(hashes, bits))]
                     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32())
                     yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["chunk", "bucket", "n", "keys", "block"])
@@ -306,32 +330,49 @@ def read_levels(chunks: DataFrame, counts: DataFrame, bits: int, block_bytes: in
     return spark.read.schema(schema).parquet(path)
 
 
+def triples(words: np.ndarray, pairs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Levels of the context, the word and the pair of each token as one number.
+
+    ``words`` and ``pairs`` are levels, bytes; the last token of a text is its end, which also stands before its first.
+    """
+    context = np.empty_like(words)
+    context[1:] = words[:-1]
+    context[bounds[:-1]] = words[bounds[1:] - 1]
+    found = context.astype(np.int32)
+    for levels in (words, pairs):
+        found *= LEVELS
+        found += levels
+    return found
+
+
 class Model:
-    """Smoothed probabilities of tokens from the levels of their n-grams."""
+    """Smoothed probabilities of tokens from the levels of their n-grams.
+
+    All it knows of a token are three levels, so it works them out for every triple of levels and looks tokens up there:
+    what a worker holds for a token is a place in that table and a number, whatever the formula.
+    """
 
     def __init__(self, total: int, distinct: int):
         self.size = total + distinct + 1
         self.weights = np.full(LEVELS, 0.2)
 
-    def parts(self, words: np.ndarray, pairs: np.ndarray, bounds: np.ndarray, left_out: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(level of the context, share of the pair in its context, probability of the word alone) by token.
-
-        ``words`` and ``pairs`` are levels; the last token of a text is its end, which also stands before its first.
-        """
-        context = np.zeros(len(words), np.int64)
-        context[1:] = words[:-1]
-        context[bounds[:-1]] = words[bounds[1:] - 1]
-        single, both, around = typical(words.astype(np.int64)), typical(pairs.astype(np.int64)), typical(context)
+    def mixed(self, left_out: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(part by the pair in its context, part by the word alone) of the probability for each context, word and pair level."""
+        around, single, both = np.meshgrid(*[typical(np.arange(LEVELS))] * 3, indexing="ij", sparse=True)
         if left_out:
             both, around, single = np.maximum(both - 1, 0), around - 1, np.maximum(single - 1, 0)
         share = np.minimum(np.where(around > 0, both / np.maximum(around, 1), 0), 1)
-        return context, share, (single + 1) / self.size
+        weight = self.weights[:, None, None]
+        return weight * share, (1 - weight) * ((single + 1) / self.size)
 
-    def scores(self, words: np.ndarray, pairs: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each text of a block."""
-        context, share, single = self.parts(words, pairs, bounds)
-        weight = self.weights[context]
-        return np.add.reduceat(np.log10(weight * share + (1 - weight) * single), bounds[:-1])
+    def logs(self) -> np.ndarray:
+        """log10 of the probability of a token by its triple of levels."""
+        return np.log10(sum(self.mixed())).ravel()
+
+    def explained(self) -> np.ndarray:
+        """The share of a training token that its pair, not the word alone, explains, by its triple of levels."""
+        by_pair, alone = self.mixed(left_out=True)
+        return (by_pair / (by_pair + alone)).ravel()
 
 
 def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -346,19 +387,31 @@ def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.n
         first = last
 
 
+def level_counts(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+    """How many tokens of these rows have each triple of levels."""
+    seen = np.zeros(LEVELS**3, dtype=np.int64)
+    for batch in batches:
+        for _, _, words, pairs, bounds in unpacked(batch):
+            seen += np.bincount(triples(words, pairs, bounds), minlength=LEVELS**3)
+    return seen
+
+
+def text_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """(rows, log10 of the probability of their texts), some rows at a time."""
+    logs = model.logs()
+    for batch in batches:
+        for first, last, words, pairs, bounds in unpacked(batch):
+            yield batch.slice(first, last - first), pa.array(np.add.reduceat(logs[triples(words, pairs, bounds)], bounds[:-1]))
+
+
 def fit_weights(model: Model, train: DataFrame) -> None:
     """One expectation step over all training rows: how often the pair, not the word alone, explains a token."""
     shared = train.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, seen = np.zeros(LEVELS), np.zeros(LEVELS)
-        for batch in batches:
-            for _, _, words, pairs, bounds in unpacked(batch):
-                context, share, single = shared.value.parts(words, pairs, bounds, left_out=True)
-                weight = shared.value.weights[context]
-                told += np.bincount(context, weight * share / (weight * share + (1 - weight) * single), LEVELS)
-                seen += np.bincount(context, minlength=LEVELS)
-        yield pa.record_batch([pa.array(range(LEVELS), pa.int32()), pa.array(told), pa.array(seen)], names=["level", "told", "seen"])
+        seen = level_counts(batches)
+        told = (seen * shared.value.explained()).reshape(LEVELS, -1).sum(axis=1)
+        yield pa.record_batch([pa.array(range(LEVELS), pa.int32()), pa.array(told), pa.array(seen.reshape(LEVELS, -1).sum(axis=1).astype(float))], names=["level", "told", "seen"])
 
     found = train.select("word_levels", "pair_levels").mapInArrow(work, "level int, told double, seen double")
     for at, told, seen in found.groupBy("level").agg(F.sum("told"), F.sum("seen")).collect():
@@ -378,7 +431,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
     grams = count_grams(chunks, bits)
     answered = read_levels(chunks, grams, bits, block_bytes)
     vocabulary = word_counts(grams.filter("n = 1"))
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    total, n_distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     head = frequent_words(vocabulary).toPandas().sort_values("word")
     shared = spark.sparkContext.broadcast((head["word"].to_numpy(np.int64), head["c"].to_numpy(np.int64)))
     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -391,18 +444,22 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
         told: dict[int, list[tuple[int, bytes]]] = {1: [], 2: []}
         for bucket, n, levels in zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "levels")), strict=True):
             told[n].append((bucket, levels))
-        cut, made, levels = list(grams_of(column_of(own, "text"))), [], []
+        spans, grams, made, levels = [], {1: [], 2: []}, [], {}
+        for first, last, word, both, bounds in grams_of(column_of(own, "text")):
+            spans.append((first, last, bounds))
+            grams[1].append(word)
+            grams[2].append(both)
         own = own.drop_columns(["text"])
-        for n in (1, 2):
-            distinct, place = np.unique(np.concatenate([x[n + 1] for x in cut]), return_inverse=True)
+        for n in (2, 1):
+            hashes, _ = distinct(grams[n])
             # The hashes of a bucket are next to each other, so levels by bucket are levels by hash.
-            found = np.frombuffer(b"".join(x for _, x in sorted(told[n])), np.uint8)
-            if len(found) != len(distinct):
-                raise ValueError(f"levels of {len(found)} of {len(distinct)} n-grams came back")
-            levels.append(found[place])
-            del distinct, place
-        cut, start = [(first, last, word, bounds) for first, last, word, _, bounds in cut], 0
-        for first, last, word, bounds in cut:
+            found = np.frombuffer(b"".join(x for _, x in sorted(told.pop(n))), np.uint8)
+            if len(found) != len(hashes):
+                raise ValueError(f"levels of {len(found)} of {len(hashes)} n-grams came back")
+            levels[n] = [found[rank] for rank in ranks(grams[n], hashes)]
+            if n == 2:
+                del grams[n]
+        for (first, last, bounds), word, *by_n in zip(spans, grams[1], levels[1], levels[2], strict=True):
             word = word.view(np.int64)
             at = np.searchsorted(frequent, word)
             at[at == len(frequent)] = 0
@@ -415,8 +472,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
                 rest.append(rare)
                 times.append(n)
             columns = [pa.array(list(c), k) for c, k in zip((np.diff(bounds), n_known, sums, rest, times), kinds, strict=True)]
-            columns += [pa.array([x[start + a : start + b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()) for x in levels]
-            start += len(word)
+            columns += [pa.array([x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()) for x in by_n]
             part = own.slice(first, last - first)
             made.append(pa.table([part.column("key"), part.column("held_out"), *columns], names=names))
         return pa.concat_tables(made)
@@ -425,21 +481,19 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
     schema = f"key {kind}, held_out boolean, n_tokens long, n_known long, logs double, words array<long>, times array<int>, word_levels binary, pair_levels binary"
     found = chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(work, schema)
     table = saved(found.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    model = Model(total, distinct)
+    model = Model(total, n_distinct)
     fit_weights(model, table.filter(~F.col("held_out")))
     fitted = spark.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rest = batch.select(["row", "key", "held_out", "n_tokens", "n_known", "logs"])
-            for first, last, words, pairs, bounds in unpacked(batch):
-                score = pa.array(fitted.value.scores(words, pairs, bounds))
-                yield pa.record_batch([*rest.slice(first, last - first).columns, score], names=[*rest.schema.names, "score"])
+        for rows, score in text_scores(batches, fitted.value):
+            rest = rows.select(["row", "key", "held_out", "n_tokens", "n_known", "logs"])
+            yield pa.record_batch([*rest.columns, score], names=[*rest.schema.names, "score"])
 
     told = table.drop("words", "times").mapInArrow(scored, f"row long, key {kind}, held_out boolean, n_tokens long, n_known long, logs double, score double")
     rare = table.select("row", F.explode(F.arrays_zip("words", "times")).alias("t")).select("row", F.col("t.words").alias("word"), F.col("t.times").alias("n"))
     met = rare.join(vocabulary, "word").groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
-    size = float(np.log10(total + distinct + 1))
+    size = float(np.log10(total + n_distinct + 1))
     return told.join(met, "row", "left").select(
         F.col("key").alias(key),
         "held_out",

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -147,6 +148,71 @@ def test_pairs_seen_once_are_in_the_model(frame):
     assert found[100] > found[101]
 
 
+def leveled(rng, lengths, top=lm.LEVELS):
+    """Rows of word and pair levels; as the table of scores has them."""
+    return pa.record_batch([pa.array([rng.integers(0, top, n, dtype=np.uint8).tobytes() for n in lengths], pa.binary()) for _ in range(2)], names=["word_levels", "pair_levels"])
+
+
+def test_tokens_by_their_triples_of_levels(monkeypatch):
+    """Scores and the expectation step, token by token from the formula; texts of one token, and a text longer than what is looked at at once."""
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 50)
+    rng = np.random.default_rng(2)
+    batches = [leveled(rng, [1, 7, 200, 1, 30]), leveled(rng, [3, 1], 3)]
+    model = lm.Model(10**6, 10**5)
+    model.weights = rng.random(lm.LEVELS) * 0.9 + 0.05
+    mid = lm.typical(np.arange(lm.LEVELS)).tolist()
+    scores, told, seen = [], np.zeros(lm.LEVELS), np.zeros(lm.LEVELS)
+    for batch in batches:
+        for words, pairs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            score = 0.0
+            for around, word, both in zip([words[-1], *words], words, pairs):
+                weight = model.weights[around]
+                share = min(mid[both] / max(mid[around], 1), 1) if mid[around] > 0 else 0
+                score += math.log10(weight * share + (1 - weight) * (mid[word] + 1) / model.size)
+                share = min(max(mid[both] - 1, 0) / max(mid[around] - 1, 1), 1) if mid[around] > 1 else 0
+                told[around] += weight * share / (weight * share + (1 - weight) * (max(mid[word] - 1, 0) + 1) / model.size)
+                seen[around] += 1
+            scores.append(score)
+    found = [x for _, part in lm.text_scores(iter(batches), model) for x in part.to_pylist()]
+    assert found == pytest.approx(scores, rel=1e-12)
+    counts = lm.level_counts(iter(batches))
+    assert counts.reshape(lm.LEVELS, -1).sum(axis=1).tolist() == seen.tolist()
+    assert (counts * model.explained()).reshape(lm.LEVELS, -1).sum(axis=1) == pytest.approx(told, rel=1e-12)
+
+
+def test_a_worker_holds_little_for_a_token():
+    """Four million tokens in one batch, in texts of usual length or in one: what a task needs beside them."""
+    rng = np.random.default_rng(4)
+    for lengths, most in (([1000] * 4000, 40e6), ([4_000_000], 100e6)):
+        batch = leveled(rng, lengths)
+        for work in (lm.level_counts, lambda batches: list(lm.text_scores(batches, lm.Model(10**6, 10**5)))):
+            tracemalloc.start()
+            work(iter([batch]))
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert peak < most
+
+
+def test_distinct_grams_of_a_chunk():
+    """Words and pairs of a chunk as a plain count has them; their levels come back to each token; memory of a few copies."""
+    rng = np.random.default_rng(5)
+    texts = pa.array([None, "", *(" ".join(f"w{x}" for x in rng.zipf(1.3, 2000) % 9000) for _ in range(500))])
+    cut = list(lm.grams_of(texts))
+    assert len(cut) > 2
+    for n, hashes, counts in lm.distinct_grams(texts):
+        expected, place, times = np.unique(np.concatenate([x[n + 1] for x in cut]), return_inverse=True, return_counts=True)
+        assert np.array_equal(hashes, expected) and np.array_equal(counts, times)
+        assert np.array_equal(np.concatenate(list(lm.ranks([x[n + 1] for x in cut], hashes))), place)
+    assert list(lm.distinct_grams(texts[:0])) == []
+    blocks = [x[3] for x in cut]
+    tracemalloc.start()
+    for _ in lm.ranks(blocks, lm.distinct(blocks)[0]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * sum(x.nbytes for x in blocks)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
