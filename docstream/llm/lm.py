@@ -200,6 +200,12 @@ def rows_of(packed: pa.BinaryScalar) -> pa.Table:
         return stream.read_all().combine_chunks()
 
 
+def training_texts(packed: pa.BinaryScalar) -> pa.Array:
+    """The texts of a chunk's training rows."""
+    own = rows_of(packed)
+    return pc.filter(column_of(own, "text"), pc.invert(column_of(own, "held_out")))
+
+
 def column_of(table: pa.Table, name: str) -> pa.Array:
     column = table.column(name).combine_chunks()
     return column if isinstance(column, pa.Array) else column.chunk(0)
@@ -212,9 +218,8 @@ def grams_of(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
         yield first, last, word, pair(before, word), bounds
 
 
-def distinct(cut: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes and how often each occurs."""
-    values = np.concatenate(cut)
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes and how often each occurs; ``values`` are sorted in place."""
     values.sort()
     first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
     return values[first], np.diff(np.append(first, len(values)))
@@ -226,9 +231,10 @@ def distinct_grams(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarra
     for _, _, word, both, _ in grams_of(texts):
         cut[1].append(word)
         cut[2].append(both)
+    del texts
     for n in (1, 2):
-        if own := cut.pop(n):
-            yield n, *distinct(own)
+        if cut[n]:
+            yield n, *distinct(np.concatenate(cut.pop(n)))
 
 
 def ranks(cut: list[np.ndarray], hashes: np.ndarray) -> Iterator[np.ndarray]:
@@ -259,9 +265,7 @@ def count_grams(chunks: DataFrame, bits: int) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed in batch.column(0):
-                own = rows_of(packed)
-                texts = pc.filter(column_of(own, "text"), pc.invert(column_of(own, "held_out")))
-                for n, hashes, counts in distinct_grams(texts):
+                for n, hashes, counts in distinct_grams(training_texts(packed)):
                     known = hashes if n == 1 else short_keys(hashes, bits)
                     rows = [(b, n, k.tobytes(), c.tobytes()) for b, _, (k, c) in dealt(hashes, bits, known, counts.astype(np.uint32))]
                     kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -451,7 +455,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc
             grams[2].append(both)
         own = own.drop_columns(["text"])
         for n in (2, 1):
-            hashes, _ = distinct(grams[n])
+            hashes, _ = distinct(np.concatenate(grams[n]))
             # The hashes of a bucket are next to each other, so levels by bucket are levels by hash.
             found = np.frombuffer(b"".join(x for _, x in sorted(told.pop(n))), np.uint8)
             if len(found) != len(hashes):

@@ -206,7 +206,7 @@ def test_distinct_grams_of_a_chunk():
     assert list(lm.distinct_grams(texts[:0])) == []
     blocks = [x[3] for x in cut]
     tracemalloc.start()
-    for _ in lm.ranks(blocks, lm.distinct(blocks)[0]):
+    for _ in lm.ranks(blocks, lm.distinct(np.concatenate(blocks))[0]):
         pass
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
