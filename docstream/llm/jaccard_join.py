@@ -38,9 +38,12 @@ from docstream.llm.components import components
 from docstream.llm.dealing import bucket_bits, dealt, saved, unused
 from docstream.llm.shipping import ship
 from docstream.llm.words import blocks, shingles
+from docstream.session import batch_rows
 
 #: Classes of a group, askers of a group in one task, shingles that a task packs together.
-GROUP, ASKERS, CHUNK = 128, 512, 1_000_000
+GROUP, ASKERS, CHUNK = 128, 512, 250_000
+#: Rows that a worker gets at a time: texts, or pairs of sets, of some megabytes together.
+BATCH_ROWS = 1000
 #: Smallest hashes by which cores are looked for.
 PASSES = 4
 NO_KEY = (1 << 63) - 1
@@ -337,9 +340,11 @@ def labelled(docs: DataFrame, size: int, percent: int, text: str, key: str) -> D
     ship(docs.sparkSession)
     rule = Rule(percent)
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).cast("string").alias("text"))
-    own = members(rows, size)
-    classes = own.filter("cls is not null").groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n"))
-    found = components(links(rows, classes, size, rule))
+    # All that runs in Python is saved in here.
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        own = members(rows, size)
+        classes = own.filter("cls is not null").groupBy("cls").agg(F.min("key").alias("key"), F.first("n").alias("n"))
+        found = components(links(rows, classes, size, rule))
     named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("key").alias("component"))
     named = named.join(least, "root").select("cls", "root", "component")

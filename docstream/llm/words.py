@@ -15,7 +15,7 @@ import pyarrow as pa
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Texts are worked on in blocks of about so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _FACTOR = 0x9E3779B97F4A7C15
 
 
