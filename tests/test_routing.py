@@ -1,5 +1,7 @@
 """Shards, fan-out, eligibility and audits."""
 
+from contextlib import contextmanager
+
 import pytest
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
@@ -63,6 +65,50 @@ def test_fan_out_reaches_every_target_of_its_collection_once(spark, salts):
     assert rows(routing.fan_out_counts(docs, cores), "n_docs") == [(20,)] * 20
 
 
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_fan_out_by_blocks_is_the_plain_join(spark, monkeypatch, broadcast):
+    """Part blocks, several slabs, rows that come twice, nulls and collections on one side only."""
+    monkeypatch.setattr(routing, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(routing, "SLAB_BLOCKS", 2)
+    docs = spark.createDataFrame(
+        [(f"k{i % 19}", f"c{i % 3}", i % 5) for i in range(40)] + [(None, "c0", 1), (None, "c0", 1), ("k", None, 2)],
+        "key string, collection string, n int",
+    )
+    cores = spark.createDataFrame(
+        [(i, f"c{i * i % 5}", f"core{i % 23}") for i in range(31)] + [(None, "c0", None), (7, None, "x")] + [(0, "c0", "core0")] * 2,
+        "shard_id int, collection string, core string",
+    )
+    with _broadcast(spark, broadcast):
+        out, plain = routing.fan_out(docs, cores, salts=3), docs.join(cores, "collection")
+        assert out.dtypes == plain.dtypes
+        assert rows(out) == rows(plain)
+
+
+@contextmanager
+def _broadcast(spark, most):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_fan_out_to_many_targets_is_stored_small(spark, tmp_path):
+    """Six million rows; in the order document by document, targets repeat too far apart to shrink."""
+    docs = keys(spark, 500).withColumn("collection", F.lit("c"))
+    cores = spark.range(12_000).select(
+        F.lit("c").alias("collection"), F.format_string("Supplier#%09d", F.col("id") * 7919 % 1_000_003).alias("core")
+    )
+    path = f"{tmp_path}/copies"
+    with _broadcast(spark, "-1"):
+        routing.fan_out(docs, cores, salts=1).write.parquet(path)
+    found = spark.read.parquet(path).groupBy("core").agg(F.count_distinct("key").alias("keys"), F.count(F.lit(1)).alias("n"))
+    assert rows(found.groupBy("keys", "n").count()) == [(500, 500, 12_000)]
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < 0.4 * 6_000_000
+
+
 T = [
     ("c", 0, "a", "NRT", "active", False, 5),
     ("c", 0, "b", "PULL", "active", True, 5),
